@@ -17,7 +17,7 @@ def repeated_keys(df: DataFrame, keys: list[str]) -> DataFrame:
 def orphans(df: DataFrame, column: str, target: DataFrame, target_column: str) -> DataFrame:
     """Rows whose value has no row in the target table. NULL and empty values are not references."""
     known = target.select(F.col(target_column).alias(column))
-    return df.filter(F.col(column) != "").join(known, column, "left_anti")
+    return df.filter(F.col(column).cast("string") != "").join(known, column, "left_anti")
 
 
 def unreferenced(df: DataFrame, column: str, pointing: DataFrame, pointing_column: str) -> DataFrame:

@@ -10,8 +10,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from termspark.constants import MAX_POSITIONS_PER_LEXEME
+from termspark.constants import MAX_POSITIONS_PER_LEXEME, WHOLE_GROUP_ROWS
 from termspark.functions import text as X
+from termspark.operators.numbering import large_groups, running_totals
 
 VECTOR_TYPE = "array<struct<lexeme:string,positions:array<struct<pos:int,weight:string>>>>"
 
@@ -97,6 +98,27 @@ def text_vectors(
     return merge_entries(spread_entries(placed, "_entries", keys), keys)
 
 
+def aggregate_texts(
+    df: DataFrame,
+    group: str,
+    order: str,
+    text: str,
+    weight: str = "D",
+    config: str = X.ENGLISH,
+    whole_group_rows: int = WHOLE_GROUP_ROWS,
+) -> DataFrame:
+    """Vector aggregate: the vectors of a group's texts one after the other, in the given order.
+
+    (group, lexeme, positions). ``order`` is unique inside a group.
+    """
+    lexed = df.select(group, order, X.lexize(X.tokenize(F.col(text)), config).alias("_lexemes"))
+    lexed = lexed.withColumn("_top", X.last_position(F.col("_lexemes")))
+    large = large_groups(df.select(group), [group], whole_group_rows)
+    placed = running_totals(lexed, [group], [order], {"_before": F.col("_top")}, large)
+    entries = placed.select(group, X.entries(F.col("_lexemes"), weight, F.col("_before")).alias("_entries"))
+    return merge_entries(spread_entries(entries, "_entries", [group]), [group])
+
+
 def nest(
     rows: DataFrame, keys: list[str], columns: dict[str, str], kept: dict[str, Column] | None = None
 ) -> DataFrame:

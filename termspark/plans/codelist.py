@@ -59,23 +59,18 @@ def vector_parts(concepts: DataFrame, synonyms: DataFrame, lists: DataFrame) ->
     ``lists`` has one row per (code, chunk) and the code-list columns; a list's chunks go one after
     the other.
     """
+    def text(part: int, sub: Column, value: Column) -> Column:
+        return F.struct(F.lit(part).alias("part"), sub.cast("bigint").alias("sub"), value.alias("text"))
+
+    named = F.coalesce("description", F.lit(""))
     own = concepts.select(
         "code",
-        F.inline(
-            F.array(
-                F.struct(F.lit(CODE_PART).alias("part"), F.lit(0).cast("bigint").alias("sub"), F.col("code").alias("text")),
-                F.struct(F.lit(DESCRIPTION_PART), F.lit(0).cast("bigint"), F.coalesce("description", F.lit(""))),
-            )
-        ),
+        F.inline(F.array(text(CODE_PART, F.lit(0), F.col("code")), text(DESCRIPTION_PART, F.lit(0), named))),
     )
     known = synonyms.join(concepts.select("code"), "code", "left_semi")
     texts = F.array(
         *[
-            F.struct(
-                F.lit(FIRST_LIST_PART + i).alias("part"),
-                F.col("chunk").cast("bigint").alias("sub"),
-                scalar.codes_text(F.col(column)).alias("text"),
-            )
+            text(FIRST_LIST_PART + i, F.col("chunk"), scalar.codes_text(F.col(column)))
             for i, column in enumerate(CODE_LIST_COLUMNS)
         ]
     )

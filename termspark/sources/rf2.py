@@ -78,7 +78,8 @@ def read_layout(
     header = first["value"]
     names = [n.strip() for n in header.split(separator)]
     line = F.col("value")
-    is_header = F.substring_index(line, separator, 1).isin(*table.columns[0].headers)
+    known = {names[0], *(h for c in table.columns for h in c.headers)}
+    is_header = F.substring_index(line, separator, 1).isin(*sorted(known))
     other = F.raise_error(F.concat(F.lit("another header in the same files: "), line))
     body = lines.filter(F.when(is_header, F.when(line == header, False).otherwise(other.cast("boolean"))).otherwise(True))
     fields = split_fields(line, separator, table.trim, shift_empty)
