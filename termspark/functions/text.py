@@ -61,13 +61,13 @@ def fits(lexeme: Column) -> Column:
     return F.octet_length(lexeme) <= C.MAX_LEXEME_BYTES
 
 
-def entries(lexemes: Column, weight: str, offset: Column | int = 0) -> Column:
-    """Array of (lexeme, pos, weight) for one text, positions shifted by ``offset``."""
-    shift = F.lit(offset) if isinstance(offset, int) else offset
+def as_vector(lexemes: Column, weight: str) -> Column:
+    """Lexeme array as vector entries, one per token, in token order."""
     placed = F.transform(
         lexemes,
         lambda x, i: F.struct(
-            x.alias("lexeme"), saturate(i + 1 + shift).alias("pos"), F.lit(weight).alias("weight")
+            x.alias("lexeme"),
+            F.array(F.struct(saturate(i + 1).alias("pos"), F.lit(weight).alias("weight"))).alias("positions"),
         ),
     )
     return F.filter(placed, lambda e: e["lexeme"].isNotNull())

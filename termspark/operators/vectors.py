@@ -36,24 +36,20 @@ def top_position(vector: Column) -> Column:
     return F.coalesce(F.array_max(tops), F.lit(0))
 
 
-def flat_entries(vector: Column, weight: str | None = None, offset: Column | int = 0) -> Column:
-    """Nested vector to an array of (lexeme, pos, weight), shifted and optionally re-weighted."""
-    shift = F.lit(offset) if isinstance(offset, int) else offset
-
-    def flat(e: Column) -> Column:
-        return F.transform(
-            e["positions"],
-            lambda p: F.struct(
-                e["lexeme"].alias("lexeme"),
-                X.saturate(p["pos"] + shift).alias("pos"),
-                (F.lit(weight) if weight else p["weight"]).alias("weight"),
-            ),
-        )
-
-    return F.coalesce(F.flatten(F.transform(vector, flat)), F.array().cast(ENTRY_TYPE))
-
+def concatenate(df: DataFrame, keys: list[str], parts: list[tuple[Column, Column, str]]) -> DataFrame:
+    """Entry rows (keys, lexeme, pos, weight) of nested vectors set one after the other.
 
-ENTRY_TYPE = "array<struct<lexeme:string,pos:int,weight:string>>"
+    ``parts`` are (vector, offset, weight): positions are shifted by the offset, weights replaced.
+    """
+    each = [
+        F.struct(v.alias("_vector"), at.cast("int").alias("_offset"), F.lit(w).alias("_weight")) for v, at, w in parts
+    ]
+    rows = df.select(*keys, F.inline(F.array(*each)))
+    rows = rows.select(*keys, "_offset", "_weight", F.inline("_vector"))
+    rows = rows.select(*keys, "lexeme", "_offset", "_weight", F.inline("positions"))
+    return rows.select(
+        *keys, "lexeme", X.saturate(F.col("pos") + F.col("_offset")).alias("pos"), F.col("_weight").alias("weight")
+    )
 
 
 def tidy_positions(found: Column) -> Column:
@@ -63,11 +59,19 @@ def tidy_positions(found: Column) -> Column:
     return F.slice(first, 1, MAX_POSITIONS_PER_LEXEME)
 
 
-def spread_entries(df: DataFrame, entries: str, keys: list[str]) -> DataFrame:
-    """One row per entry; a dotted code also stands as its pieces. Oversized lexemes are left out."""
-    rows = df.select(*keys, F.inline(entries))
-    whole = rows.select(*keys, F.explode(X.pieces(F.col("lexeme"))).alias("lexeme"), "pos", "weight")
-    return whole.filter(X.fits(F.col("lexeme")))
+def spread_tokens(df: DataFrame, keys: list[str], lexemes: str, weight: str, offset: str) -> DataFrame:
+    """One row per lexeme of each row's token array: (keys, lexeme, pos, weight).
+
+    A dotted code also stands as its pieces. Stop words (NULL) and oversized lexemes are left out.
+    """
+    rows = df.select(*keys, weight, offset, F.posexplode(lexemes).alias("_place", "_whole"))
+    rows = rows.filter(F.col("_whole").isNotNull())
+    return rows.select(
+        *keys,
+        F.explode(X.pieces(F.col("_whole"))).alias("lexeme"),
+        X.saturate(F.col("_place") + 1 + F.col(offset)).alias("pos"),
+        F.col(weight).alias("weight"),
+    ).filter(X.fits(F.col("lexeme")))
 
 
 def merge_entries(rows: DataFrame, keys: list[str]) -> DataFrame:
@@ -82,20 +86,22 @@ def text_vectors(
 ) -> DataFrame:
     """Vector of several texts of one row, one after the other: (keys, lexeme, positions).
 
-    ``parts`` are (text, weight); each part's positions go on from the highest one before it. The
-    whole concatenation happens inside the row, so the only shuffle is the one by (keys, lexeme).
+    ``parts`` are (text, weight); each part's positions go on from the highest one before it.
+    ``keys`` is unique per row. The texts are spread by key while they are still texts, the smallest
+    form; all later steps stay in that partitioning.
     """
     names = [f"_part{i}" for i in range(len(parts))]
-    lexed = df.select(
-        *keys, *[X.lexize(X.tokenize(text), config).alias(n) for n, (text, _) in zip(names, parts)]
-    )
+    texts = df.select(*keys, *[text.alias(n) for n, (text, _) in zip(names, parts)]).repartition(*keys)
+    lexed = texts.select(*keys, *[X.lexize(X.tokenize(F.col(n)), config).alias(n) for n in names])
     offset: Column = F.lit(0)
-    pieces = []
+    each = []
     for name, (_, weight) in zip(names, parts):
-        pieces.append(X.entries(F.col(name), weight, offset))
+        each.append(
+            F.struct(F.col(name).alias("_lexemes"), F.lit(weight).alias("_weight"), offset.alias("_offset"))
+        )
         offset = offset + X.last_position(F.col(name))
-    placed = lexed.select(*keys, F.concat(*pieces).alias("_entries"))
-    return merge_entries(spread_entries(placed, "_entries", keys), keys)
+    placed = lexed.select(*keys, F.inline(F.array(*each)))
+    return merge_entries(spread_tokens(placed, keys, "_lexemes", "_weight", "_offset"), keys)
 
 
 def aggregate_texts(
@@ -115,8 +121,8 @@ def aggregate_texts(
     lexed = lexed.withColumn("_top", X.last_position(F.col("_lexemes")))
     large = large_groups(df.select(group), [group], whole_group_rows)
     placed = running_totals(lexed, [group], [order], {"_before": F.col("_top")}, large)
-    entries = placed.select(group, X.entries(F.col("_lexemes"), weight, F.col("_before")).alias("_entries"))
-    return merge_entries(spread_entries(entries, "_entries", [group]), [group])
+    placed = placed.withColumn("_weight", F.lit(weight))
+    return merge_entries(spread_tokens(placed, [group], "_lexemes", "_weight", "_before"), [group])
 
 
 def nest(

@@ -40,16 +40,18 @@ def tag_vectors(codelist: DataFrame, config: str = X.ENGLISH) -> DataFrame:
         }
     )
     placed = placed.withColumn("relation_at", F.col("code_at") + X.last_position(F.col("code_lexemes")))
-    none = F.array().cast(vectors.ENTRY_TYPE)
-    own = F.concat(
-        X.entries(F.col("description_lexemes"), "A"), X.entries(F.col("code_lexemes"), "A", F.col("code_at"))
+    first = F.col("chunk") == 0
+    rows = vectors.concatenate(
+        placed,
+        ["code", "chunks"],
+        [
+            (F.when(first, X.as_vector(F.col("description_lexemes"), "A")), F.lit(0), "A"),
+            (F.when(first, X.as_vector(F.col("code_lexemes"), "A")), F.col("code_at"), "A"),
+            (F.col("relation_vector"), F.col("relation_at"), "B"),
+            (F.col("synonyms_vector"), F.col("relation_at") + F.col("relation_top"), "B"),
+        ],
     )
-    entries = F.concat(
-        F.when(F.col("chunk") == 0, own).otherwise(none),
-        vectors.flat_entries(F.col("relation_vector"), "B", F.col("relation_at")),
-        vectors.flat_entries(F.col("synonyms_vector"), "B", F.col("relation_at") + F.col("relation_top")),
-    )
-    rows = vectors.spread_entries(placed.select("code", "chunks", entries.alias("_entries")), "_entries", ["code", "chunks"])
+    rows = rows.withColumn("lexeme", F.explode(X.pieces(F.col("lexeme")))).filter(X.fits(F.col("lexeme")))
     merged = vectors.merge_entries(rows, ["code", "chunks"])
     cut = merged.withColumn("chunk", F.pmod(F.xxhash64("lexeme"), F.col("chunks")).cast("int"))
     return vectors.nest(cut, ["code", "chunk"], {"search_vector": "positions"})

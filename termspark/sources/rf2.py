@@ -12,6 +12,12 @@ from termspark.schemas import CTV_MAP, RAW_TABLES, REFSET_MAP, Table
 
 TAB = "\t"
 
+# --- fixed values: the white space dropped before a field ---
+WHITE_SPACE = (
+    "\t\n\x0b\f\r \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000"
+)
+
 
 def read_lines(spark: SparkSession, paths: str | list[str], comment: str | None = None) -> DataFrame:
     """Non-empty lines (column ``value``), ``\\r\\n`` read as ``\\n``; comment lines left out.
@@ -25,21 +31,21 @@ def read_lines(spark: SparkSession, paths: str | list[str], comment: str | None
     return lines if comment is None else lines.filter(~F.col("value").startswith(comment))
 
 
-def split_fields(
-    line: Column, separator: str = TAB, trim: bool = False, shift_empty: bool = False
-) -> Column:
+def trim_left(text: Column) -> Column:
+    return F.ltrim(text, F.lit(WHITE_SPACE))
+
+
+def split_fields(line: Column, separator: str = TAB, shift_empty: bool = False) -> Column:
     """Fields of a line, any number of them.
 
-    ``trim`` drops leading white space of each field. ``shift_empty`` does it the way a parser does
-    that takes the separator itself for white space: an empty cell vanishes and later ones move left.
+    ``shift_empty`` splits the way a trimming parser does that takes the separator itself for white
+    space: an empty cell vanishes and later ones move left.
     """
-    pattern = separator if len(separator) == 1 and separator not in ".$|()[{^?*+\\" else f"\\Q{separator}\\E"
-    if trim and shift_empty:
-        return F.split(F.regexp_replace(line, r"^(?U)\s+", ""), pattern + r"(?U)\s*", -1)
-    fields = F.split(line, pattern, -1)
-    if not trim:
-        return fields
-    return F.transform(fields, lambda x: F.regexp_replace(x, r"^(?U)\s+", ""))
+    special = len(separator) != 1 or separator in ".$|()[{^?*+\\"
+    pattern = f"\\Q{separator}\\E" if special else separator
+    if shift_empty:
+        return F.split(trim_left(line), f"{pattern}[{WHITE_SPACE}]*", -1)
+    return F.split(line, pattern, -1)
 
 
 def checked_fields(fields: Column, line: Column, width: int | None, strict_quotes: bool) -> Column:
@@ -82,13 +88,14 @@ def read_layout(
     is_header = F.substring_index(line, separator, 1).isin(*sorted(known))
     other = F.raise_error(F.concat(F.lit("another header in the same files: "), line))
     body = lines.filter(F.when(is_header, F.when(line == header, False).otherwise(other.cast("boolean"))).otherwise(True))
-    fields = split_fields(line, separator, table.trim, shift_empty)
+    fields = split_fields(line, separator, table.trim and shift_empty)
     fields = checked_fields(fields, line, len(names) if exact_width else None, strict_quotes)
     body = body.select(fields.alias("_fields"))
     columns = []
     for column in table.columns:
         place = next((names.index(h) for h in column.headers if h in names), None)
         text = F.lit(None).cast("string") if place is None else F.get("_fields", place)
+        text = trim_left(text) if table.trim else text
         columns.append(D.decode(column.kind, text, column.default, strict).alias(column.name))
     return body.select(*columns)
 
