@@ -61,13 +61,14 @@ def has_lexemes(tokens: Column, lexemes: list[str], every: bool = True) -> Colum
 
 def vector_has(vector: Column, lexemes: list[str], weights: str = "ABCD") -> Column:
     """All lexemes are in a nested vector at one of the weights."""
+
+    def held(lexeme: str) -> Column:
+        weighted = lambda e: F.exists(e["positions"], lambda p: p["weight"].isin(*weights))
+        return F.exists(vector, lambda e: (e["lexeme"] == lexeme) & weighted(e))
+
     hit = F.lit(True)
     for lexeme in lexemes:
-        hit = hit & F.exists(
-            vector,
-            lambda e, w=lexeme: (e["lexeme"] == w)
-            & F.exists(e["positions"], lambda p: p["weight"].isin(*weights)),
-        )
+        hit = hit & held(lexeme)
     return hit
 
 
