@@ -39,6 +39,11 @@ def lexize(tokens: Column, config: str = ENGLISH) -> Column:
     raise ValueError(f"unknown text configuration {config!r}")
 
 
+def term_count(text: Column) -> Column:
+    """Size of a text in terms of the usual bound of 256 characters, at least 1."""
+    return 1 + F.floor(F.length(F.coalesce(text, F.lit(""))) / 256)
+
+
 def last_position(lexemes: Column) -> Column:
     """Highest position that holds a lexeme; 0 for none."""
     kept = F.transform(lexemes, lambda x, i: F.when(x.isNotNull(), i + 1))

@@ -97,9 +97,13 @@ def similar_rows(
 
 
 def trigram_postings(df: DataFrame, owner: str, text: str) -> DataFrame:
-    """(gram, owner, n): one row per distinct trigram, with the owner's trigram count."""
+    """(gram, owner, n): one row per distinct trigram, with the owner's trigram count.
+
+    The outer explode keeps the optimizer from adding a size filter that would build them twice.
+    """
     grams = df.select(owner, X.trigrams(F.col(text)).alias("_grams"))
-    return grams.select(F.explode("_grams").alias("gram"), owner, F.size("_grams").alias("n"))
+    rows = grams.select(F.explode_outer("_grams").alias("gram"), owner, F.size("_grams").alias("n"))
+    return rows.filter(F.col("gram").isNotNull())
 
 
 def similar_owners(

@@ -50,13 +50,18 @@ def dense_ids(df: DataFrame, order: list[Column], out: str = "id") -> DataFrame:
 
 
 def large_groups(
-    df: DataFrame, group: list[str], whole_group_rows: int = WHOLE_GROUP_ROWS
+    df: DataFrame,
+    group: list[str],
+    whole_group_rows: int = WHOLE_GROUP_ROWS,
+    size: Column | None = None,
 ) -> DataFrame | None:
     """The groups of more than ``whole_group_rows`` rows with ``n``, staged; None if there are none.
 
-    One aggregation, combined before the shuffle; its result stays distributed.
+    ``size`` counts a row as more than one, for long texts. One aggregation, combined before the
+    shuffle; its result stays distributed.
     """
-    counted = df.groupBy(*group).agg(F.count("*").alias("n")).filter(F.col("n") > whole_group_rows)
+    total = F.count("*") if size is None else F.sum(size)
+    counted = df.groupBy(*group).agg(total.alias("n")).filter(F.col("n") > whole_group_rows)
     return None if counted.isEmpty() else stage(counted, "large-groups")
 
 

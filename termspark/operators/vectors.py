@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from termspark.constants import MAX_POSITIONS_PER_LEXEME, WHOLE_GROUP_ROWS
+from termspark.constants import MAX_POSITION, MAX_POSITIONS_PER_LEXEME, WHOLE_GROUP_ROWS
 from termspark.functions import text as X
 from termspark.operators.numbering import large_groups, running_totals
 
@@ -52,23 +52,41 @@ def concatenate(df: DataFrame, keys: list[str], parts: list[tuple[Column, Column
     )
 
 
-def tidy_positions(found: Column) -> Column:
-    """Sorted positions, one weight each (the highest), cut at the documented number."""
-    ordered = F.sort_array(found)
-    first = F.filter(ordered, lambda p, i: (i == 0) | (p["pos"] != F.get(ordered, i - 1)["pos"]))
-    return F.slice(first, 1, MAX_POSITIONS_PER_LEXEME)
+def place_number(pos: Column, weight: Column) -> Column:
+    """Position and weight as one small number that sorts by position, then weight."""
+    return (pos * 4 + F.ascii(weight) - F.ascii(F.lit("A"))).cast("int")
+
+
+def tidy_positions(numbers: Column) -> Column:
+    """Sorted (pos, weight) from place numbers, cut at the documented number of positions.
+
+    Several weights at one position happen only at the last possible one; the highest stays.
+    """
+    ordered = F.sort_array(numbers)
+    last = F.lit(4 * MAX_POSITION)
+    below = F.filter(ordered, lambda n: n < last)
+    at_last = F.slice(F.filter(ordered, lambda n: n >= last), 1, 1)
+    kept = F.when(F.array_max(ordered) > last, F.concat(below, at_last)).otherwise(ordered)
+    return F.transform(
+        F.slice(kept, 1, MAX_POSITIONS_PER_LEXEME),
+        lambda n: F.struct(
+            F.shiftright(n, 2).alias("pos"),
+            F.substring(F.lit("ABCD"), n.bitwiseAND(F.lit(3)) + 1, F.lit(1)).alias("weight"),
+        ),
+    )
 
 
 def spread_tokens(df: DataFrame, keys: list[str], lexemes: str, weight: str, offset: str) -> DataFrame:
     """One row per lexeme of each row's token array: (keys, lexeme, pos, weight).
 
     A dotted code also stands as its pieces. Stop words (NULL) and oversized lexemes are left out.
+    The outer forms keep the optimizer from adding a size filter that would tokenise twice.
     """
-    rows = df.select(*keys, weight, offset, F.posexplode(lexemes).alias("_place", "_whole"))
+    rows = df.select(*keys, weight, offset, F.posexplode_outer(lexemes).alias("_place", "_whole"))
     rows = rows.filter(F.col("_whole").isNotNull())
     return rows.select(
         *keys,
-        F.explode(X.pieces(F.col("_whole"))).alias("lexeme"),
+        F.explode_outer(X.pieces(F.col("_whole"))).alias("lexeme"),
         X.saturate(F.col("_place") + 1 + F.col(offset)).alias("pos"),
         F.col(weight).alias("weight"),
     ).filter(X.fits(F.col("lexeme")))
@@ -77,7 +95,8 @@ def spread_tokens(df: DataFrame, keys: list[str], lexemes: str, weight: str, off
 def merge_entries(rows: DataFrame, keys: list[str]) -> DataFrame:
     """(keys, lexeme, positions) from entry rows; combined before the shuffle and bounded by the
     position limit."""
-    merged = rows.groupBy(*keys, "lexeme").agg(F.collect_set(F.struct("pos", "weight")).alias("_found"))
+    number = place_number(F.col("pos"), F.col("weight"))
+    merged = rows.groupBy(*keys, "lexeme").agg(F.collect_set(number).alias("_found"))
     return merged.select(*keys, "lexeme", tidy_positions(F.col("_found")).alias("positions"))
 
 
@@ -119,7 +138,7 @@ def aggregate_texts(
     """
     lexed = df.select(group, order, X.lexize(X.tokenize(F.col(text)), config).alias("_lexemes"))
     lexed = lexed.withColumn("_top", X.last_position(F.col("_lexemes")))
-    large = large_groups(df.select(group), [group], whole_group_rows)
+    large = large_groups(df, [group], whole_group_rows, X.term_count(F.col(text)))
     placed = running_totals(lexed, [group], [order], {"_before": F.col("_top")}, large)
     placed = placed.withColumn("_weight", F.lit(weight))
     return merge_entries(spread_tokens(placed, [group], "_lexemes", "_weight", "_before"), [group])

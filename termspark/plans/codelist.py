@@ -93,8 +93,8 @@ def concept_vectors(
     """(code, chunk, search_vector, synonyms_vector, relation_vector) from the parts of concepts.
 
     All three vectors come from one pass: one window by code for the offsets, one aggregation by
-    lexeme. ``sizes`` has a ``code`` column and bounds the parts per code. Codes with more parts than
-    ``whole_group_rows`` get several rows, cut by lexeme. Without synonyms the search and synonyms
+    lexeme. ``sizes`` holds the synonym texts (code, text), which decide how large a concept is. One with
+    more of them than ``whole_group_rows`` gets several rows, cut by lexeme. Without synonyms the search and synonyms
     vectors are NULL; ``null_safe`` makes them empty.
     """
     part = F.col("part")
@@ -102,7 +102,7 @@ def concept_vectors(
     lexed = parts.select("code", "part", "sub", X.lexize(X.tokenize(F.col("text")), config).alias("lexemes"))
     top = F.col("top").cast("bigint")
     lexed = lexed.withColumn("top", X.last_position(F.col("lexemes")))
-    large = large_groups(sizes, ["code"], whole_group_rows)
+    large = large_groups(sizes, ["code"], whole_group_rows, X.term_count(F.col("text")))
     placed = running_totals(
         lexed,
         ["code"],
@@ -138,8 +138,8 @@ def _grouped_vectors(placed: DataFrame, in_synonyms: Column, in_relation: Column
     held = F.col("lexeme").isNotNull()
 
     def placed_at(start: str, weight: Column, condition: Column) -> Column:
-        pos = X.saturate(F.col("place") + 1 + F.col(start)).alias("pos")
-        return F.collect_set(F.when(held & condition, F.struct(pos, weight.alias("weight"))))
+        pos = X.saturate(F.col("place") + 1 + F.col(start))
+        return F.collect_set(F.when(held & condition, vectors.place_number(pos, weight)))
 
     merged = rows.groupBy("code", "chunks", "lexeme").agg(
         placed_at("search_at", F.col("weight"), F.lit(True)).alias("_search"),
@@ -225,8 +225,7 @@ def build_codelist(
     lists = stage(maps.list_columns(ordered, CODE_LIST_COLUMNS, whole_group_rows), "lists")
     synonyms = synonym_texts(description)
     parts = vector_parts(concepts, synonyms, lists)
-    sizes = synonyms.select("code")
-    nested = concept_vectors(parts, sizes, config, null_safe, whole_group_rows)
+    nested = concept_vectors(parts, synonyms, config, null_safe, whole_group_rows)
     rows = nested.join(lists, ["code", "chunk"], "full")
     return concepts.join(rows, "code", "left").select(
         "id",

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from termspark import constants as C
 from termspark.functions import scalar
@@ -21,9 +20,13 @@ def number_tags(codes: DataFrame, root: str = C.ROOT_CONCEPT, code: str = "code"
 def tag_vectors(codelist: DataFrame, config: str = X.ENGLISH) -> DataFrame:
     """(code, chunk, search_vector) of the tags: description A, code A, relation B, synonyms B.
 
-    One shuffle by code; several chunks of a code share its offsets.
+    The rows of a code with several chunks share its offsets; they come from a small aggregate per
+    code, so that no task has to hold such a code.
     """
-    per_code = Window.partitionBy("code")
+    tops = codelist.groupBy("code").agg(
+        F.max(vectors.top_position(F.col("relation_vector"))).alias("relation_top"),
+        (F.max("chunk") + 1).alias("chunks"),
+    )
     lexed = codelist.select(
         "code",
         "chunk",
@@ -32,13 +35,7 @@ def tag_vectors(codelist: DataFrame, config: str = X.ENGLISH) -> DataFrame:
         "relation_vector",
         "synonyms_vector",
     )
-    placed = lexed.withColumns(
-        {
-            "relation_top": F.max(vectors.top_position(F.col("relation_vector"))).over(per_code),
-            "chunks": F.max("chunk").over(per_code) + 1,
-            "code_at": X.last_position(F.col("description_lexemes")),
-        }
-    )
+    placed = lexed.join(tops, "code").withColumn("code_at", X.last_position(F.col("description_lexemes")))
     placed = placed.withColumn("relation_at", F.col("code_at") + X.last_position(F.col("code_lexemes")))
     first = F.col("chunk") == 0
     rows = vectors.concatenate(
@@ -51,7 +48,7 @@ def tag_vectors(codelist: DataFrame, config: str = X.ENGLISH) -> DataFrame:
             (F.col("synonyms_vector"), F.col("relation_at") + F.col("relation_top"), "B"),
         ],
     )
-    rows = rows.withColumn("lexeme", F.explode(X.pieces(F.col("lexeme")))).filter(X.fits(F.col("lexeme")))
+    rows = rows.withColumn("lexeme", F.explode_outer(X.pieces(F.col("lexeme")))).filter(X.fits(F.col("lexeme")))
     merged = vectors.merge_entries(rows, ["code", "chunks"])
     cut = merged.withColumn("chunk", F.pmod(F.xxhash64("lexeme"), F.col("chunks")).cast("int"))
     return vectors.nest(cut, ["code", "chunk"], {"search_vector": "positions"})

@@ -43,8 +43,9 @@ def staging_root(spark: SparkSession) -> str:
 
 
 def staging_path(spark: SparkSession, label: str) -> str:
-    """A fresh path below the staging folder."""
-    return f"{staging_root(spark)}/termspark/{label}-{uuid.uuid4().hex}"
+    """A fresh path below the staging folder, grouped by application so that old runs can be dropped."""
+    run = spark.sparkContext.applicationId
+    return f"{staging_root(spark)}/termspark/{run}/{label}-{uuid.uuid4().hex}"
 
 
 def stage(df: DataFrame, label: str = "stage") -> DataFrame:

@@ -239,7 +239,7 @@ def test_codelist_vectors_of_a_hot_concept(spark, whole):
     synonym_df = spark.createDataFrame(synonyms, "code string, sub bigint, text string")
     list_df = spark.createDataFrame(lists, f"code string, chunk int, {columns}")
     parts = codelist.vector_parts(concept_df, synonym_df, list_df)
-    rows = codelist.concept_vectors(parts, synonym_df.select("code"), X.SIMPLE, False, whole).collect()
+    rows = codelist.concept_vectors(parts, synonym_df, X.SIMPLE, False, whole).collect()
     assert (max(r["chunk"] for r in rows) > 0) == (whole == 25)
     for code, name in concepts:
         own = sorted((k, t) for c, k, t in synonyms if c == code)
