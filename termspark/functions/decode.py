@@ -16,13 +16,12 @@ UUID_SPELLINGS = (
 
 def decode_date(text: Column, strict: bool = True) -> Column:
     """``yyyyMMdd`` text to a date. Bad text raises, or is NULL when not strict."""
-    day = F.try_to_date(text, DATE_FORMAT)
-    # the parser would take other digit counts too
-    day = F.when(text.rlike(r"^\d{8}$"), day)
+    dashed = F.concat_ws("-", F.substring(text, 1, 4), F.substring(text, 5, 2), F.substring(text, 7, 2))
+    day = F.when(text.rlike(r"^\d{8}$"), dashed.try_cast("date"))
     if not strict:
         return day
-    problem = F.raise_error(F.concat(F.lit("bad date: "), text))
-    return F.when(text.isNull() | day.isNotNull(), day).otherwise(problem.cast("date"))
+    problem = F.raise_error(F.concat(F.lit("bad date: "), text)).cast("date")
+    return F.coalesce(day, F.when(text.isNotNull(), problem))
 
 
 def encode_date(day: Column) -> Column:
@@ -43,12 +42,11 @@ def encode_uuid(value: Column) -> Column:
 
 def decode_flag(text: Column, strict: bool = True) -> Column:
     """Boolean text; missing or empty is false. Unknown text raises, or is false when not strict."""
-    low = F.lower(F.trim(text))
-    flag = low.try_cast("boolean")
+    flag = F.trim(text).try_cast("boolean")
     if not strict:
         return F.coalesce(flag, F.lit(False))
     problem = F.raise_error(F.concat(F.lit("bad flag: "), text)).cast("boolean")
-    return F.when(text.isNull() | (low == ""), F.lit(False)).when(flag.isNotNull(), flag).otherwise(problem)
+    return F.coalesce(flag, F.when(text.isNull() | (F.trim(text) == ""), F.lit(False)), problem)
 
 
 def decode_int(text: Column, default: int = 0, strict: bool = True) -> Column:
@@ -57,11 +55,7 @@ def decode_int(text: Column, default: int = 0, strict: bool = True) -> Column:
     if not strict:
         return F.coalesce(number, F.lit(default))
     problem = F.raise_error(F.concat(F.lit("bad number: "), text)).cast("int")
-    return (
-        F.when(text.isNull() | (F.trim(text) == ""), F.lit(default))
-        .when(number.isNotNull(), number)
-        .otherwise(problem)
-    )
+    return F.coalesce(number, F.when(text.isNull() | (F.trim(text) == ""), F.lit(default)), problem)
 
 
 def decode(kind: str, text: Column, default: str | None = None, strict: bool = True) -> Column:

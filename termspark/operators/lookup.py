@@ -15,14 +15,13 @@ from termspark.functions import text as X
 SIMILARITY_THRESHOLD = 0.3
 
 
-def write_clustered(df: DataFrame, path: str, keys: list[str], mode: str = "errorifexists") -> DataFrame:
-    """Write a posting table range-clustered by ``keys``.
+def clustered(df: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows range-clustered by ``keys``, ready to be written as a posting table.
 
     Name the owner column last in ``keys``: a key held by a third of all rows is then cut into many
-    files.
+    files, each skipped or read by its min and max.
     """
-    df.repartitionByRange(*keys).sortWithinPartitions(*keys).write.mode(mode).parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return df.repartitionByRange(*keys).sortWithinPartitions(*keys)
 
 
 def query_lexemes(spark: SparkSession, query: str, config: str = X.ENGLISH) -> list[str]:

@@ -9,6 +9,7 @@ from termspark.constants import WHOLE_GROUP_ROWS
 from termspark.functions import text as X
 from termspark.plans.classify import classify_descriptions
 from termspark.plans.codelist import build_codelist
+from termspark.plans.indexes import build_indexes
 from termspark.plans.ontology import build_edges, build_tags
 from termspark.session import stage
 from termspark.sources import rf2, tables
@@ -47,7 +48,10 @@ def derive(
     null_safe: bool = False,
     whole_group_rows: int = WHOLE_GROUP_ROWS,
 ) -> None:
-    """Classify descriptions, then build and store the codelist, the tags and the edges."""
+    """Classify descriptions, then build and store the codelist, the tags and the edges.
+
+    ``managed`` recreates the tables and their posting tables; otherwise they are emptied and refilled.
+    """
     stored = S.RAW_PREFIX + "description"
     plain = raw_table(spark, "description").select(*S.DESCRIPTION.names)
     classified = stage(classify_descriptions(plain, raw_table(spark, "refset_lang")), "description")
@@ -64,6 +68,7 @@ def derive(
         whole_group_rows,
     )
     tables.replace(codelist, S.CODELIST_TABLE, managed)
+    build_indexes(spark)
     tags = build_tags(spark.table(S.CODELIST_TABLE), config)
     tables.replace(tags, S.TAG_TABLE, managed)
     edges = build_edges(raw_table(spark, "relationship"), spark.table(S.TAG_TABLE))

@@ -173,9 +173,12 @@ RAW_PREFIX = "clinicalcode_snomed_"
 CODELIST_TABLE = "clinicalcode_snomed_codes"
 TAG_TABLE = "clinicalcode_ontologytag"
 EDGE_TABLE = "clinicalcode_ontologytagedge"
+LEXEME_INDEX = CODELIST_TABLE + "_lexemes"
+CODE_INDEX = CODELIST_TABLE + "_targets"
+TRIGRAM_INDEX = CODELIST_TABLE + "_trigrams"
 TABLE_GROUPS = {
     "releases": tuple(RAW_PREFIX + name for name in RAW_TABLES),
-    "codelist": (CODELIST_TABLE,),
+    "codelist": (CODELIST_TABLE, LEXEME_INDEX, CODE_INDEX, TRIGRAM_INDEX),
     "ontology": (TAG_TABLE, EDGE_TABLE),
 }
 

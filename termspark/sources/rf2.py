@@ -91,13 +91,13 @@ def read_layout(
     fields = split_fields(line, separator, table.trim and shift_empty)
     fields = checked_fields(fields, line, len(names) if exact_width else None, strict_quotes)
     body = body.select(fields.alias("_fields"))
-    columns = []
+    texts = []
     for column in table.columns:
         place = next((names.index(h) for h in column.headers if h in names), None)
         text = F.lit(None).cast("string") if place is None else F.get("_fields", place)
-        text = trim_left(text) if table.trim else text
-        columns.append(D.decode(column.kind, text, column.default, strict).alias(column.name))
-    return body.select(*columns)
+        texts.append((trim_left(text) if table.trim else text).alias(column.name))
+    decoded = [D.decode(c.kind, F.col(c.name), c.default, strict).alias(c.name) for c in table.columns]
+    return body.select(*texts).select(*decoded)
 
 
 def keep_rows(df: DataFrame, table: Table) -> DataFrame:

@@ -297,7 +297,8 @@ def named(spark):
 
 def test_text_lookup_on_postings(spark, named, tmp_path):
     rows = vectors.text_vectors(named, ["code"], [(F.col("code"), "A"), (F.col("name"), "B")])
-    postings = lookup.write_clustered(rows.select("code", "lexeme", F.inline("positions")), str(tmp_path / "p"), ["lexeme", "code"])
+    lookup.clustered(rows.select("code", "lexeme", F.inline("positions")), ["lexeme", "code"]).write.parquet(str(tmp_path / "p"))
+    postings = spark.read.parquet(str(tmp_path / "p"))
     lexemes = lookup.query_lexemes(spark, "the disorders of a HEART")
     assert lexemes == ["disord", "heart"]
     codes = lambda df: sorted(r["code"] for r in df.collect())

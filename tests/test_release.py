@@ -11,7 +11,7 @@ import tiny_release as tiny
 from termspark import constants as C
 from termspark import schemas as S
 from termspark.operators import checks
-from termspark.plans import build
+from termspark.plans import build, indexes
 from termspark.sources import delimited, rf2, tables
 
 
@@ -224,6 +224,33 @@ def test_edges(built):
     assert checks.broken_edges(built.table(S.EDGE_TABLE), built.table(S.TAG_TABLE), ["child_id", "parent_id"]).isEmpty()
 
 
+def codes(df):
+    return sorted(r["code"] for r in df.collect())
+
+
+def test_text_search(built):
+    assert codes(indexes.search_text(built, "diseases of the heart")) == ["200"]
+    assert codes(indexes.search_text(built, "heart")) == ["200", "300"]
+    assert codes(indexes.search_text(built, "heart", weights="A")) == ["200"]
+    assert codes(indexes.search_text(built, "clinical inflammation", every=False)) == ["100", "300"]
+    assert codes(indexes.search_text(built, "K40.1", vector="relation")) == ["200"]
+    assert codes(indexes.search_text(built, "the of")) == []
+
+
+def test_code_and_similarity_search(built):
+    assert codes(indexes.search_targets(built, "ICD-10", ["I25", "none"])) == ["200"]
+    assert codes(indexes.search_targets(built, "OPCS4", ["I25"])) == []
+    # 9 of 30 and 18 of 24 trigrams shared
+    found = indexes.search_similar(built, "myocardites disorder").collect()
+    assert sorted((r["code"], r["sim"]) for r in found) == [("200", 0.3), ("300", 0.75)]
+    assert codes(indexes.search_similar(built, "300", "code")) == ["300"]
+
+
+def test_search_reads_only_its_keys(built):
+    plan = indexes.search_text(built, "heart")._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters" in plan and "EqualTo(lexeme,heart)" in plan
+
+
 def test_second_build_loads_nothing(built, base):
     assert not build.build_release(built, base, [(tiny.NAME, 6)])
 
