@@ -1,6 +1,6 @@
 """DuckDB SQL with the same results as the registered queries.
 
-``english_vector`` and ``codelist_english`` have none: stemming is not expressible in SQL.
+Only ``english_vector`` has none: the stems of free text are not expressible in SQL.
 """
 
 from __future__ import annotations
@@ -249,6 +249,25 @@ e as (select p_brand, unnest(toks) as tok, unnest(range(1, len(toks) + 1)) + bef
     "weighted_vector": WEIGHTED,
     "reweighted_vector": f"select p_partkey, lexeme, pos, 'C' as weight from ({WEIGHTED})",
     "document_vector": text_positions("doc_id", "documents", "text", "D"),
+    "english_part_vector": f"""
+with t as (select p_partkey, {tokens("p_brand")} as ta, {tokens("'The ' || p_name || ' of ' || p_type")} as tb from part),
+e as (
+  select p_partkey, unnest(ta) as tok, unnest(range(1, len(ta) + 1)) as pos, 'A' as weight from t
+  union all
+  select p_partkey, unnest(tb), unnest(range(len(ta) + 1, len(ta) + len(tb) + 1)), 'B' from t),
+x as (
+  select p_partkey, case tok when 'large' then 'larg' when 'economy' then 'economi' else tok end as lexeme,
+         cast(pos as integer) as pos, weight
+  from e where tok not in ('the', 'of'))
+select distinct p_partkey, lexeme, pos, weight from x""",
+    "codelist_english": f"""
+with {CONCEPTS}, {CODE_LISTS}, {VECTOR_PARTS}, {lexeme_rows("code, kind", "entries")},
+n as (select code, kind, cast(count(distinct lexeme) as integer) as n from placed
+      where lexeme not in ('the', 'of') group by code, kind)
+select c.id, c.code, s.n as search_vector, y.n as synonyms_vector, r.n as relation_vector
+from concepts c left join n s on s.code = c.code and s.kind = 'search'
+left join n y on y.code = c.code and y.kind = 'synonyms'
+left join n r on r.code = c.code and r.kind = 'relation'""",
     "codelist": f"""
 with {CONCEPTS}, {CODE_LISTS},
 wide as (

@@ -459,6 +459,15 @@ def english_vector(spark, sf_dir):
     return rows.select("doc_id", "lexeme", positions_text(F.col("positions")).alias("positions"))
 
 
+@query
+def english_part_vector(spark, sf_dir):
+    """Part names and types with English stop words and stems."""
+    part = table(spark, sf_dir, "part")
+    text = F.concat_ws(" ", F.lit("The"), "p_name", F.lit("of"), "p_type")
+    rows = vectors.text_vectors(part, ["p_partkey"], [(F.col("p_brand"), "A"), (text, "B")], X.ENGLISH)
+    return rows.select("p_partkey", "lexeme", F.inline("positions"))
+
+
 def order_maps(spark, sf_dir) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Orders as code maps of customers, and a customer -> codes table."""
     orders = table(spark, sf_dir, "orders")
