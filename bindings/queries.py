@@ -428,8 +428,7 @@ def part_vectors(spark, sf_dir) -> DataFrame:
 
 @query
 def weighted_vector(spark, sf_dir):
-    rows = part_vectors(spark, sf_dir)
-    return rows.select("p_partkey", "lexeme", F.inline("positions"))
+    return vectors.open_positions(part_vectors(spark, sf_dir), ["p_partkey"])
 
 
 @query
@@ -465,7 +464,7 @@ def english_part_vector(spark, sf_dir):
     part = table(spark, sf_dir, "part")
     text = F.concat_ws(" ", F.lit("The"), "p_name", F.lit("of"), "p_type")
     rows = vectors.text_vectors(part, ["p_partkey"], [(F.col("p_brand"), "A"), (text, "B")], X.ENGLISH)
-    return rows.select("p_partkey", "lexeme", F.inline("positions"))
+    return vectors.open_positions(rows, ["p_partkey"])
 
 
 def order_maps(spark, sf_dir) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -592,7 +591,7 @@ def posting_match(spark, sf_dir):
     """Documents that hold all lexemes of a query, from postings."""
     documents = table(spark, sf_dir, "documents")
     rows = vectors.text_vectors(documents, ["doc_id"], [(F.col("source"), "A"), (F.col("text"), "D")], X.SIMPLE)
-    postings = rows.select("doc_id", "lexeme", F.inline("positions"))
+    postings = vectors.open_positions(rows, ["doc_id"])
     return lookup.match_lexemes(postings, ["and", "the"], owner="doc_id", weights="D")
 
 

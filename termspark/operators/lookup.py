@@ -49,13 +49,11 @@ def match_lexemes(
 
 
 def has_lexemes(tokens: Column, lexemes: list[str], every: bool = True) -> Column:
-    """Row-wise form of the text match on a token array: no shuffle."""
+    """Row-wise form of the text match on a token array: no shuffle, tokens made once."""
+    wanted = F.array(*[F.lit(x) for x in lexemes])
     if not every:
-        return F.arrays_overlap(tokens, F.array(*[F.lit(x) for x in lexemes]))
-    hit = F.lit(True)
-    for lexeme in lexemes:
-        hit = hit & F.array_contains(tokens, lexeme)
-    return hit
+        return F.arrays_overlap(tokens, wanted)
+    return F.size(F.array_except(wanted, tokens)) == 0
 
 
 def vector_has(vector: Column, lexemes: list[str], weights: str = "ABCD") -> Column:
@@ -98,10 +96,11 @@ def similar_rows(
 def trigram_postings(df: DataFrame, owner: str, text: str) -> DataFrame:
     """(gram, owner, n): one row per distinct trigram, with the owner's trigram count.
 
-    The outer explode keeps the optimizer from adding a size filter that would build them twice.
+    The outer explode and the count that is never NULL keep the optimizer from adding filters that
+    would build the trigrams twice.
     """
     grams = df.select(owner, X.trigrams(F.col(text)).alias("_grams"))
-    rows = grams.select(F.explode_outer("_grams").alias("gram"), owner, F.size("_grams").alias("n"))
+    rows = grams.select(F.explode_outer("_grams").alias("gram"), owner, F.coalesce(F.size("_grams"), F.lit(0)).alias("n"))
     return rows.filter(F.col("gram").isNotNull())
 
 

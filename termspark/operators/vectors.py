@@ -161,7 +161,15 @@ def nest(
     return rows.groupBy(*keys).agg(*[one(p).alias(c) for c, p in columns.items()], *extra)
 
 
+def open_positions(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """(keys, lexeme, positions) to posting rows (keys, lexeme, pos, weight), the text-lookup form.
+
+    Positions are never empty; the outer form keeps the optimizer from computing them twice.
+    """
+    return rows.select(*keys, "lexeme", F.inline_outer("positions"))
+
+
 def unnest(df: DataFrame, keys: list[str], vector: str) -> DataFrame:
-    """Nested column to posting rows (keys, lexeme, pos, weight), the form of the text lookup."""
-    rows = df.select(*keys, F.inline(vector))
-    return rows.select(*keys, "lexeme", F.inline("positions"))
+    """Nested column to posting rows (keys, lexeme, pos, weight)."""
+    rows = df.select(*keys, F.inline_outer(vector)).filter(F.col("lexeme").isNotNull())
+    return open_positions(rows, keys)

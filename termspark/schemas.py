@@ -168,11 +168,11 @@ CTV_MAP = Table(
 )
 RAW_TABLES = {t.name: t for t in (CONCEPT, DESCRIPTION, RELATIONSHIP, REFSET_LANG, REFSET_MAP, CTV_MAP)}
 
-# --- fixed values: stored table names, and the groups the drop operator knows ---
-RAW_PREFIX = "clinicalcode_snomed_"
-CODELIST_TABLE = "clinicalcode_snomed_codes"
-TAG_TABLE = "clinicalcode_ontologytag"
-EDGE_TABLE = "clinicalcode_ontologytagedge"
+# --- stored table names, and the groups the drop operator knows ---
+RAW_PREFIX = "terminology_"
+CODELIST_TABLE = "terminology_codes"
+TAG_TABLE = "ontology_tag"
+EDGE_TABLE = "ontology_tag_edge"
 LEXEME_INDEX = CODELIST_TABLE + "_lexemes"
 CODE_INDEX = CODELIST_TABLE + "_targets"
 TRIGRAM_INDEX = CODELIST_TABLE + "_trigrams"

@@ -8,7 +8,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 # Run-time SQL settings the jobs rely on. Skewed join keys are split by AQE, also where that
-# costs another shuffle afterwards. Joins on (code, chunk) may reuse a partitioning by code.
+# costs another shuffle afterwards. Joins on (code, chunk) may reuse a partitioning by code. Arrow
+# batches are bounded by size too, as texts may be long.
 SQL_SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
@@ -17,6 +18,7 @@ SQL_SETTINGS = {
     "spark.sql.requireAllClusterKeysForCoPartition": "false",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "65536",
+    "spark.sql.execution.arrow.maxBytesPerBatch": "64MB",
 }
 
 

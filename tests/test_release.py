@@ -147,7 +147,7 @@ def test_scan_options(spark, tmp_path):
 
 
 def test_description_classes(built):
-    found = dict(rows(built.table("clinicalcode_snomed_description"), "id", F.coalesce("identifier", F.lit("-"))))
+    found = dict(rows(built.table(S.RAW_PREFIX + "description"), "id", F.coalesce("identifier", F.lit("-"))))
     wanted = {"22": "P", "23": "S", "32": "S", "33": "D", "34": "S", "42": "-", "43": "-", "71": "-"}
     assert {k: found[k] for k in wanted} == wanted
     assert all(found[k] == "F" for k in ("1", "11", "21", "31", "41", "51", "61", "62", "81", "91"))
