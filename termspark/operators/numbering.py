@@ -79,13 +79,21 @@ def running_totals(
     """
     if large is None:
         return _window_totals(df, group, order, totals)
-    small_rows = df.join(large, group, "left_anti")
-    large_rows = df.join(large, group, "left_semi")
+    small_rows = _join_groups(df, large, group, "left_anti")
+    large_rows = _join_groups(df, large, group, "left_semi")
     return _window_totals(small_rows, group, order, totals).unionByName(
         _piece_totals(large_rows, group, order, totals)
     )
 
 
+def _join_groups(df: DataFrame, groups: DataFrame, keys: list[str], how: str) -> DataFrame:
+    """Join on group keys, with NULL as a group like any other."""
+    named = groups.select(*[F.col(k).alias(f"_key_{k}") for k in keys], *[c for c in groups.columns if c not in keys])
+    same = [F.col(k).eqNullSafe(F.col(f"_key_{k}")) for k in keys]
+    joined = df.join(named, same, how)
+    return joined.drop(*[f"_key_{k}" for k in keys]) if how == "inner" else joined
+
+
 def _window_totals(df: DataFrame, group, order, totals) -> DataFrame:
     before = Window.partitionBy(*group).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     return df.withColumns(
@@ -116,7 +124,7 @@ def _piece_totals(df: DataFrame, group, order, totals) -> DataFrame:
     counted = placed.withColumns(
         {out: F.coalesce(F.sum(value).over(inside), F.lit(0)) for out, value in totals.items()}
     )
-    joined = counted.join(starts, [*group, "_piece"])
+    joined = _join_groups(counted, starts, [*group, "_piece"], "inner")
     return joined.select(
         *df.columns, *[(F.col(out) + F.col(f"_start_{out}")).alias(out) for out in totals]
     )

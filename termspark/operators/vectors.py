@@ -60,13 +60,13 @@ def place_number(pos: Column, weight: Column) -> Column:
 def tidy_positions(numbers: Column) -> Column:
     """Sorted (pos, weight) from place numbers, cut at the documented number of positions.
 
-    Several weights at one position happen only at the last possible one; the highest stays.
+    Only the last possible position can come several times; its highest weight stays.
     """
     ordered = F.sort_array(numbers)
     last = F.lit(4 * MAX_POSITION)
     below = F.filter(ordered, lambda n: n < last)
     at_last = F.slice(F.filter(ordered, lambda n: n >= last), 1, 1)
-    kept = F.when(F.array_max(ordered) > last, F.concat(below, at_last)).otherwise(ordered)
+    kept = F.when(F.array_max(ordered) >= last, F.concat(below, at_last)).otherwise(ordered)
     return F.transform(
         F.slice(kept, 1, MAX_POSITIONS_PER_LEXEME),
         lambda n: F.struct(
@@ -152,13 +152,15 @@ def nest(
     ``columns`` maps output column to the positions column it is made from; rows with no positions
     are left out of that vector.
     """
+    found = F.sort_array(F.collect_list(F.when(F.col("lexeme").isNotNull(), F.struct("lexeme", *columns.values()))))
+    extra = [c.alias(n) for n, c in (kept or {}).items()]
+    grouped = rows.groupBy(*keys).agg(found.alias("_found"), *extra)
+
     def one(positions: str) -> Column:
-        held = F.size(positions) > 0
-        entry = F.struct("lexeme", F.col(positions).alias("positions"))
-        return F.sort_array(F.collect_list(F.when(held & F.col("lexeme").isNotNull(), entry)))
+        held = F.filter("_found", lambda e: F.size(e[positions]) > 0)
+        return F.transform(held, lambda e: F.struct(e["lexeme"].alias("lexeme"), e[positions].alias("positions")))
 
-    extra = [c.alias(n) for n, c in (kept or {}).items()]
-    return rows.groupBy(*keys).agg(*[one(p).alias(c) for c, p in columns.items()], *extra)
+    return grouped.select(*keys, *[one(p).alias(c) for c, p in columns.items()], *(kept or {}))
 
 
 def open_positions(rows: DataFrame, keys: list[str]) -> DataFrame:

@@ -139,21 +139,31 @@ def _grouped_vectors(placed: DataFrame, in_synonyms: Column, in_relation: Column
 
     def placed_at(start: str, weight: Column, condition: Column) -> Column:
         pos = X.saturate(F.col("place") + 1 + F.col(start))
-        return F.collect_set(F.when(held & condition, vectors.place_number(pos, weight)))
+        return F.when(condition, vectors.place_number(pos, weight)).alias(start)
 
+    # one set for all three vectors; it grows only while a position does, so it stays bounded
+    places = F.struct(
+        placed_at("search_at", F.col("weight"), F.lit(True)),
+        placed_at("synonym_at", F.lit("D"), F.col("synonym")),
+        placed_at("relation_at", F.col("weight"), F.col("relation")),
+    )
     merged = rows.groupBy("code", "chunks", "lexeme").agg(
-        placed_at("search_at", F.col("weight"), F.lit(True)).alias("_search"),
-        placed_at("synonym_at", F.lit("D"), F.col("synonym")).alias("_synonyms"),
-        placed_at("relation_at", F.col("weight"), F.col("relation")).alias("_relation"),
-        F.max("synonym").alias("synonym"),
+        F.collect_set(F.when(held, places)).alias("_found"), F.max("synonym").alias("synonym")
     )
+
+    def positions(start: str) -> Column:
+        numbers = F.transform("_found", lambda e: e[start])
+        return vectors.tidy_positions(F.filter(numbers, lambda n: n.isNotNull()))
+
     chunk = F.when(held, F.pmod(F.xxhash64("lexeme"), F.col("chunks"))).otherwise(0).cast("int")
     merged = merged.select(
         "code",
         chunk.alias("chunk"),
         "lexeme",
         "synonym",
-        *[vectors.tidy_positions(F.col(c)).alias(c) for c in ("_search", "_synonyms", "_relation")],
+        positions("search_at").alias("_search"),
+        positions("synonym_at").alias("_synonyms"),
+        positions("relation_at").alias("_relation"),
     )
     nested = vectors.nest(
         merged,

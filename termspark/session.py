@@ -21,6 +21,9 @@ SQL_SETTINGS = {
     "spark.sql.execution.arrow.maxBytesPerBatch": "64MB",
 }
 
+# temporary folders of local sessions without the setting, by application
+_local_folders: dict[str, str] = {}
+
 
 def tune(spark: SparkSession) -> SparkSession:
     """Apply the SQL settings to a running session and return it."""
@@ -39,9 +42,10 @@ def staging_root(spark: SparkSession) -> str:
         return folder.rstrip("/")
     if not spark.conf.get("spark.master", "").startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a shared folder")
-    folder = tempfile.mkdtemp(prefix="termspark-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    run = spark.sparkContext.applicationId
+    if run not in _local_folders:
+        _local_folders[run] = tempfile.mkdtemp(prefix="termspark-")
+    return _local_folders[run]
 
 
 def staging_path(spark: SparkSession, label: str) -> str:

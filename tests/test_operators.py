@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from termspark import constants as C
 from termspark import schemas as S
+from termspark import session
 from termspark.functions import decode as D
 from termspark.functions import scalar
 from termspark.functions import text as X
@@ -79,14 +80,28 @@ def test_scalars(spark):
     assert got == ["F", "P", "D", None, None, "S", "D", None, None, None, "D", None]
 
 
+def test_staging_folder(spark):
+    assert session.staging_root(spark) == spark.conf.get("spark.checkpoint.dir")
+
+    class Unset:
+        def __init__(self, master):
+            self.conf = type("C", (), {"get": staticmethod({"spark.master": master}.get)})
+            self.sparkContext = spark.sparkContext
+
+    assert session.staging_root(Unset("local[2]")) == session.staging_root(Unset("local[2]"))
+    with pytest.raises(ValueError):
+        session.staging_root(Unset("yarn"))
+
+
 # ---------------------------------------------------------------- numbering
 
 
 @pytest.fixture(scope="module")
 def skewed(spark):
-    """A third of all rows in group 0."""
+    """A third of all rows in group 0, a tenth without group."""
     rng = random.Random(1)
-    rows = [(0 if rng.random() < 0.35 else rng.randrange(1, 40), i, rng.randrange(5)) for i in range(3000)]
+    pick = lambda r: 0 if r < 0.35 else None if r < 0.45 else rng.randrange(1, 40)
+    rows = [(pick(rng.random()), i, rng.randrange(5)) for i in range(3000)]
     rng.shuffle(rows)
     return spark.createDataFrame(rows, "g int, k int, v int"), rows
 
@@ -94,7 +109,8 @@ def skewed(spark):
 def test_dense_ids(spark, skewed):
     df, rows = skewed
     got = {(r["g"], r["k"]): r["id"] for r in numbering.dense_ids(df, [F.col("g"), F.col("k")]).collect()}
-    assert got == {(g, k): i + 1 for i, (g, k) in enumerate(sorted((g, k) for g, k, _ in rows))}
+    nulls_first = sorted(((g, k) for g, k, _ in rows), key=lambda r: (-1 if r[0] is None else r[0], r[1]))
+    assert got == {key: i + 1 for i, key in enumerate(nulls_first)}
 
 
 def test_dense_ids_of_uneven_identifiers(spark):
@@ -109,14 +125,14 @@ def test_dense_ids_of_nothing(spark):
     assert numbering.dense_ids(spark.createDataFrame([], "a int"), [F.col("a")]).count() == 0
 
 
-@pytest.mark.parametrize("whole", [100_000, 50])
+@pytest.mark.parametrize("whole", [100_000, 200, 50])
 def test_running_totals_are_the_same_for_large_groups(skewed, whole):
     df, rows = skewed
     large = numbering.large_groups(df, ["g"], whole)
     assert (large is None) == (whole > 3000)
     got = {(r["g"], r["k"]): r["t"] for r in numbering.running_totals(df, ["g"], ["k"], {"t": F.col("v")}, large).collect()}
     wanted, total = {}, defaultdict(int)
-    for g, k, v in sorted(rows):
+    for g, k, v in sorted(rows, key=lambda r: r[1]):
         wanted[g, k] = total[g]
         total[g] += v
     assert got == wanted
@@ -421,7 +437,7 @@ def test_stored_tables(spark):
     assert spark.table(name).columns == ["s"]
     assert tables.drop_groups(spark, "nothing") == []
     assert tables.exists(spark, name)
-    assert tables.drop_groups(spark, " CodeList ,x") == [name]
+    assert tables.drop_groups(spark, " CodeList ,x") == list(S.TABLE_GROUPS["codelist"])
     assert not tables.exists(spark, name)
 
 
