@@ -153,6 +153,29 @@ ORACLES = {
 select o_orderkey as id, cast(o_orderdate as date) as effective_time, o_orderstatus <> 'P' as active,
        o_custkey as concept_id, o_orderstatus as type_id, '"' || o_orderpriority || '" \\ end' as term
 from orders""",
+    "release_scan": """
+select l_orderkey as id, cast(l_shipdate as date) as effective_time, l_linestatus = 'O' as active,
+       cast(l_partkey as varchar) as source_id, cast(l_suppkey as varchar) as destination_id,
+       cast(l_linenumber as varchar) as relationship_group_id, '' as type_id
+from lineitem
+union all
+select o_orderkey, cast(o_orderdate as date), o_orderstatus = 'O', cast(o_custkey as varchar), '', '', o_orderpriority
+from orders""",
+    "manifest_scan": """
+select cast(o_custkey as varchar) as name, cast(o_orderkey as varchar) as id,
+       strftime(o_orderdate, '%Y-%m-%d') as "releaseDate", o_orderkey as size
+from (select *, row_number() over (partition by o_custkey order by cast(o_orderdate as date) desc, o_orderkey desc) n
+      from orders) where n = 1""",
+    "stored_table": "select p_partkey, p_type, p_size from part",
+    "refilled_table": "select p_partkey, p_type from part where p_type <> 'SMALL'",
+    "smallest_largest": """
+select l_orderkey, l_linenumber, l_partkey, l_suppkey, least(l_partkey, l_suppkey, l_orderkey) as smallest,
+       greatest(l_partkey, l_suppkey, l_orderkey) as largest
+from lineitem""",
+    "array_texts": """
+select p_partkey, case when p_type in ('PROMO', 'LARGE') then '' else p_name || ' ' || p_type end as codes,
+       case when p_type in ('PROMO', 'LARGE') then 0 else 2 end as n
+from part""",
     "date_decode": "select o_orderkey, cast(o_orderdate as date) as effective_time from orders",
     "uuid_decode": f"""
 select p_partkey, case when p_type = 'PROMO' then null else
@@ -344,3 +367,5 @@ select 'p_type', p_type, cast(length(p_type) as integer), count(*) from part whe
 select o.o_orderkey, o.o_custkey from orders o
 where not exists (select 1 from customer c where c.c_custkey = o.o_custkey and c.c_acctbal > 0)""",
 }
+
+ORACLES["release_codelist"] = ORACLES["codelist"]

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,7 +20,7 @@ from termspark.plans.classify import classify_descriptions
 from termspark.plans.codelist import build_codelist, numbered_concepts
 from termspark.plans.ontology import number_tags, resolve_edges, tag_vectors
 from termspark.session import stage, staging_path, tune
-from termspark.sources import delimited, manifest, rf2
+from termspark.sources import delimited, manifest, rf2, tables
 from termspark.streaming.ingest import ingest_new_files, stream_files
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -40,9 +41,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def write_tsv(df: DataFrame, label: str) -> str:
+def write_tsv(df: DataFrame, label: str, path: str | None = None) -> str:
     """Tab-separated files with a header line and no quoting, as a release has them."""
-    path = staging_path(df.sparkSession, label)
+    path = path or staging_path(df.sparkSession, label)
     df.write.options(sep="\t", header=True, quote="", emptyValue="", ignoreLeadingWhiteSpace=False,
                      ignoreTrailingWhiteSpace=False).csv(path)
     return path
@@ -110,6 +111,98 @@ def uuid_decode(spark, sf_dir):
     return part.select("p_partkey", D.decode_uuid(text).alias("id"))
 
 
+def write_release_table(df: DataFrame, base: str, release: str, declared: S.Table, pattern: str) -> None:
+    """Files of one raw table at their place in a release folder, with its header names.
+
+    ``df`` has the table's column names; dates and flags are written as releases do.
+    """
+    texts = {"date": D.encode_date, "flag": lambda c: F.when(c, "1").otherwise("0")}
+    columns = [
+        texts.get(c.kind, lambda x: x.cast("string"))(F.col(c.name)).alias(c.headers[0])
+        for c in declared.columns
+        if c.name in df.columns
+    ]
+    write_tsv(df.select(*columns), "", f"{base}/{release}/{declared.folder.replace('*', 'Clinically ')}/{pattern.replace('*', '1')}")
+
+
+@query
+def release_scan(spark, sf_dir):
+    """Line items and orders as the two relationship files of a release, appended to one table."""
+    base, release = staging_path(spark, "release"), "release 1"
+    items = table(spark, sf_dir, "lineitem").select(
+        F.col("l_orderkey").alias("id"),
+        F.col("l_shipdate").alias("effective_time"),
+        (F.col("l_linestatus") == "O").alias("active"),
+        F.col("l_partkey").alias("source_id"),
+        F.col("l_suppkey").alias("destination_id"),
+        F.col("l_linenumber").alias("relationship_group_id"),
+    )
+    orders = table(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").alias("id"),
+        F.col("o_orderdate").alias("effective_time"),
+        (F.col("o_orderstatus") == "O").alias("active"),
+        F.col("o_custkey").alias("source_id"),
+        F.col("o_orderpriority").alias("type_id"),
+    )
+    for rows, pattern in zip((items, orders), S.RELATIONSHIP.files):
+        write_release_table(rows, base, release, S.RELATIONSHIP, pattern)
+    rows = rf2.read_table(spark, base, release, S.RELATIONSHIP)
+    return rows.select(
+        F.col("id").cast("bigint").alias("id"),
+        "effective_time",
+        "active",
+        "source_id",
+        "destination_id",
+        "relationship_group_id",
+        "type_id",
+    )
+
+
+@query
+def manifest_scan(spark, sf_dir):
+    """One manifest per order; the newest release per category (customer)."""
+    orders = table(spark, sf_dir, "orders")
+    newest = F.struct(
+        F.col("o_orderkey").cast("string").alias("id"),
+        F.col("o_custkey").cast("string").alias("name"),
+        F.date_format("o_orderdate", "yyyy-MM-dd").alias("releaseDate"),
+        F.col("o_orderkey").alias("archiveFileSizeBytes"),
+    )
+    older = F.struct(*[F.lit("old").alias(n) for n in ("id", "name", "releaseDate")], F.lit(0).cast("bigint").alias("archiveFileSizeBytes"))
+    path = staging_path(spark, "manifests")
+    orders.select(F.to_json(F.struct(F.lit("1").alias("apiVersion"), F.array(newest, older).alias("releases")))).write.text(path)
+    releases = manifest.read_manifests(spark, path, one_per_file=False)
+    rows = releases.select("name", "id", "releaseDate", F.col("archiveFileSizeBytes").alias("size"))
+    return manifest.latest_release(rows, "name", ["releaseDate", "size"])
+
+
+@query
+def stored_table(spark, sf_dir):
+    """Create a table, append to it by column name, and read what is stored."""
+    part = table(spark, sf_dir, "part").select("p_partkey", "p_type", "p_size")
+    name, path = f"stored_{uuid.uuid4().hex}", staging_path(spark, "stored")
+    tables.create(part.filter(F.col("p_type") == "PROMO"), name, path=path)
+    tables.append(part.filter(F.col("p_type") != "PROMO").select("p_size", "p_type", "p_partkey"), name)
+    return read_and_forget(spark, name, path)
+
+
+@query
+def refilled_table(spark, sf_dir):
+    """Create a table, then empty and refill it."""
+    part = table(spark, sf_dir, "part").select("p_partkey", "p_type")
+    name, path = f"stored_{uuid.uuid4().hex}", staging_path(spark, "stored")
+    tables.create(part, name, path=path)
+    tables.replace(part.filter(F.col("p_type") != "SMALL"), name, managed=False)
+    return read_and_forget(spark, name, path)
+
+
+def read_and_forget(spark: SparkSession, name: str, path: str) -> DataFrame:
+    """The files of an external table; the catalog entry goes."""
+    schema = spark.table(name).schema
+    spark.sql(f"DROP TABLE {name}")
+    return spark.read.schema(schema).parquet(path)
+
+
 LAYOUT_TABLE = S.Table(
     "party",
     (
@@ -270,6 +363,30 @@ def clamp(spark, sf_dir):
     return part.select("p_partkey", scalar.clamp(F.col("p_size"), F.lit(40), F.lit(10)).alias("clamped"))
 
 
+@query
+def smallest_largest(spark, sf_dir):
+    items = table(spark, sf_dir, "lineitem")
+    values = [F.col(c) for c in ("l_partkey", "l_suppkey", "l_orderkey")]
+    return items.select(
+        "l_orderkey",
+        "l_linenumber",
+        "l_partkey",
+        "l_suppkey",
+        scalar.smallest(*values).alias("smallest"),
+        scalar.largest(*values).alias("largest"),
+    )
+
+
+@query
+def array_texts(spark, sf_dir):
+    """``{a,b}`` text to an array and on to blank-separated text; no list counts as empty."""
+    part = table(spark, sf_dir, "part")
+    listed = F.concat(F.lit("{"), "p_name", F.lit(","), "p_type", F.lit("}"))
+    text = F.when(F.col("p_type") == "PROMO", None).when(F.col("p_type") == "LARGE", "{}").otherwise(listed)
+    codes = scalar.array_text(text)
+    return part.select("p_partkey", scalar.codes_text(codes).alias("codes"), F.size(scalar.or_empty(codes)).alias("n"))
+
+
 @query
 def latest_release(spark, sf_dir):
     events = table(spark, sf_dir, "events").select("event_type", "event_id", "ts")
@@ -504,7 +621,33 @@ def customer_codelist(spark, sf_dir, config: str = X.SIMPLE) -> DataFrame:
 @query
 def codelist(spark, sf_dir):
     """Codelist rows: concept, lists, and whether the vectors exist."""
-    rows = customer_codelist(spark, sf_dir)
+    return codelist_rows(customer_codelist(spark, sf_dir))
+
+
+@query
+def release_codelist(spark, sf_dir):
+    """The same from release files: written, scanned, filtered, classified and built."""
+    base, release = staging_path(spark, "release"), "release 1"
+    refset, read, mesh = order_maps(spark, sf_dir)
+    refsets = {"OPCS4": "1126441000000105", "ICD-10": "446608001", "ReadCodeV2": "999002721000000108"}
+    refset = refset.withColumn("refset_id", scalar.lookup(F.col("map_origin"), refsets)).drop("map_origin")
+    read = read.withColumn("map_origin", F.when(F.col("map_origin") == "ReadCodeV2", "").otherwise("P"))
+    day = F.lit("2020-01-01").cast("date")
+    for declared, rows in (
+        (S.CONCEPT, customer_concepts(spark, sf_dir)),
+        (S.DESCRIPTION, order_descriptions(spark, sf_dir)),
+        (S.REFSET_LANG, item_refsets(spark, sf_dir).withColumn("effective_time", day)),
+        (S.REFSET_MAP, refset.withColumn("effective_time", day)),
+        (S.CTV_MAP, read.withColumn("effective_time", day)),
+    ):
+        write_release_table(rows, base, release, declared, declared.files[0])
+    raw = rf2.read_release(spark, base, release, C.CATEGORY_FLAGS["SNOMED_ALL"])
+    described = stage(classify_descriptions(raw["description"], raw["refset_lang"]), "described")
+    built = build_codelist(raw["concept"], described, raw["refset_map"], raw["ctv_map"], mesh, config=X.SIMPLE)
+    return codelist_rows(built)
+
+
+def codelist_rows(rows: DataFrame) -> DataFrame:
     lists = [F.array_join(F.col(c), ",").alias(c) for c in C.CODE_LIST_COLUMNS]
     return rows.select(
         "id", "code", "chunk", "description", "case_sig", *lists, F.col("search_vector").isNull().alias("no_search")

@@ -11,9 +11,12 @@ from termspark.operators.upsert import latest_per_key
 from termspark.schemas import MANIFEST
 
 
-def read_manifests(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    """One row per manifest: its newest (first) release. Raises on another version or no release."""
-    raw = spark.read.schema(MANIFEST).option("multiLine", True).json(paths)
+def read_manifests(spark: SparkSession, paths: str | list[str], one_per_file: bool = True) -> DataFrame:
+    """One row per manifest: its newest (first) release. Raises on another version or no release.
+
+    Manifests are one per file, or one per line.
+    """
+    raw = spark.read.schema(MANIFEST).option("multiLine", one_per_file).json(paths)
     version = F.col("apiVersion")
     wrong = F.raise_error(F.concat(F.lit("unexpected manifest version: "), F.coalesce(version, F.lit("none"))))
     empty = F.raise_error(F.lit("manifest without releases"))
