@@ -676,7 +676,7 @@ def codelist_english(spark, sf_dir):
 @query
 def tag_vector(spark, sf_dir):
     """Search vectors of ontology tags built from the codelist."""
-    tags = tag_vectors(customer_codelist(spark, sf_dir), X.SIMPLE)
+    tags = tag_vectors(stage(customer_codelist(spark, sf_dir), "codelist"), X.SIMPLE)
     rows = tags.select("code", F.inline("search_vector"))
     return rows.select("code", "lexeme", positions_text(F.col("positions")).alias("positions"))
 

@@ -85,7 +85,6 @@ def vector_parts(concepts: DataFrame, synonyms: DataFrame, lists: DataFrame) ->
 
 def concept_vectors(
     parts: DataFrame,
-    sizes: DataFrame,
     config: str = X.ENGLISH,
     null_safe: bool = False,
     whole_group_rows: int = WHOLE_GROUP_ROWS,
@@ -93,16 +92,16 @@ def concept_vectors(
     """(code, chunk, search_vector, synonyms_vector, relation_vector) from the parts of concepts.
 
     All three vectors come from one pass: one window by code for the offsets, one aggregation by
-    lexeme. ``sizes`` holds the synonym texts (code, text), which decide how large a concept is. One with
-    more of them than ``whole_group_rows`` gets several rows, cut by lexeme. Without synonyms the search and synonyms
-    vectors are NULL; ``null_safe`` makes them empty.
+    lexeme. A concept with more texts (counted in units of 256 characters) than ``whole_group_rows``
+    gets several rows, cut by lexeme. Without synonyms the search and synonyms vectors are NULL;
+    ``null_safe`` makes them empty. ``parts`` is read twice: pass one made from staged tables.
     """
     part = F.col("part")
     in_synonyms, in_relation = part == SYNONYM_PART, ~part.isin(DESCRIPTION_PART, SYNONYM_PART)
     lexed = parts.select("code", "part", "sub", X.lexize(X.tokenize(F.col("text")), config).alias("lexemes"))
     top = F.col("top").cast("bigint")
     lexed = lexed.withColumn("top", X.last_position(F.col("lexemes")))
-    large = large_groups(sizes, ["code"], whole_group_rows, X.term_count(F.col("text")))
+    large = large_groups(parts, ["code"], whole_group_rows, X.term_count(F.col("text")))
     placed = running_totals(
         lexed,
         ["code"],
@@ -115,10 +114,18 @@ def concept_vectors(
         large,
     )
     if large is None:
-        placed = placed.withColumn("chunks", F.lit(1))
+        placed = placed.withColumns({"chunks": F.lit(1), "has_synonyms": in_synonyms})
     else:
-        counts = large.select("code", F.ceil(F.col("n") / whole_group_rows).cast("int").alias("chunks"))
-        placed = placed.join(counts, "code", "left").withColumn("chunks", F.coalesce("chunks", F.lit(1)))
+        # the rows of a cut concept must agree on whether it has synonyms at all
+        named = parts.filter(in_synonyms).select("code", F.lit(True).alias("named")).distinct()
+        counts = large.join(named, "code", "left").select(
+            "code",
+            F.ceil(F.col("n") / whole_group_rows).cast("int").alias("chunks"),
+            F.coalesce("named", F.lit(False)).alias("named"),
+        )
+        placed = placed.join(counts, "code", "left").withColumns(
+            {"chunks": F.coalesce("chunks", F.lit(1)), "has_synonyms": F.coalesce("named", in_synonyms)}
+        )
     return _grouped_vectors(placed, in_synonyms, in_relation, null_safe)
 
 
@@ -126,6 +133,7 @@ def _grouped_vectors(placed: DataFrame, in_synonyms: Column, in_relation: Column
     rows = placed.select(
         "code",
         "chunks",
+        "has_synonyms",
         in_synonyms.alias("synonym"),
         in_relation.alias("relation"),
         *[F.least(F.col(c), F.lit(MAX_POSITION)).cast("int").alias(c) for c in ("search_at", "synonym_at", "relation_at")],
@@ -148,7 +156,7 @@ def _grouped_vectors(placed: DataFrame, in_synonyms: Column, in_relation: Column
         placed_at("relation_at", F.col("weight"), F.col("relation")),
     )
     merged = rows.groupBy("code", "chunks", "lexeme").agg(
-        F.collect_set(F.when(held, places)).alias("_found"), F.max("synonym").alias("synonym")
+        F.collect_set(F.when(held, places)).alias("_found"), F.max("has_synonyms").alias("has_synonyms")
     )
 
     def positions(start: str) -> Column:
@@ -160,7 +168,7 @@ def _grouped_vectors(placed: DataFrame, in_synonyms: Column, in_relation: Column
         "code",
         chunk.alias("chunk"),
         "lexeme",
-        "synonym",
+        "has_synonyms",
         positions("search_at").alias("_search"),
         positions("synonym_at").alias("_synonyms"),
         positions("relation_at").alias("_relation"),
@@ -169,19 +177,12 @@ def _grouped_vectors(placed: DataFrame, in_synonyms: Column, in_relation: Column
         merged,
         ["code", "chunk"],
         {"search_vector": "_search", "synonyms_vector": "_synonyms", "relation_vector": "_relation"},
-        kept={"synonym": F.max("synonym")},
+        kept={"has_synonyms": F.max("has_synonyms")},
     )
     if null_safe:
-        return nested.drop("synonym")
-    return nested.select(
-        "code",
-        "chunk",
-        *[
-            F.when(F.col("synonym") | (F.col("chunk") > 0), F.col(c)).alias(c)
-            for c in ("search_vector", "synonyms_vector")
-        ],
-        "relation_vector",
-    )
+        return nested.drop("has_synonyms")
+    known = [F.when(F.col("has_synonyms"), F.col(c)).alias(c) for c in ("search_vector", "synonyms_vector")]
+    return nested.select("code", "chunk", *known, "relation_vector")
 
 
 def build_lists(
@@ -233,14 +234,14 @@ def build_codelist(
     }
     ordered = build_lists(concepts, feeds, external, whole_group_rows)
     lists = stage(maps.list_columns(ordered, CODE_LIST_COLUMNS, whole_group_rows), "lists")
-    synonyms = synonym_texts(description)
-    parts = vector_parts(concepts, synonyms, lists)
-    nested = concept_vectors(parts, synonyms, config, null_safe, whole_group_rows)
+    parts = vector_parts(concepts, synonym_texts(description), lists)
+    nested = concept_vectors(parts, config, null_safe, whole_group_rows)
+    # every concept has vector rows, so an inner join keeps all; AQE can split its skewed side
     rows = nested.join(lists, ["code", "chunk"], "full")
-    return concepts.join(rows, "code", "left").select(
+    return rows.join(concepts, "code").select(
         "id",
         "code",
-        F.coalesce("chunk", F.lit(0)).alias("chunk"),
+        "chunk",
         "description",
         "case_sig",
         "active",

@@ -10,6 +10,7 @@ from termspark.functions import scalar
 from termspark.functions import text as X
 from termspark.operators import filters, vectors
 from termspark.operators.numbering import dense_ids
+from termspark.session import stage
 
 
 def number_tags(codes: DataFrame, root: str = C.ROOT_CONCEPT, code: str = "code") -> DataFrame:
@@ -20,22 +21,36 @@ def number_tags(codes: DataFrame, root: str = C.ROOT_CONCEPT, code: str = "code"
 def tag_vectors(codelist: DataFrame, config: str = X.ENGLISH) -> DataFrame:
     """(code, chunk, search_vector) of the tags: description A, code A, relation B, synonyms B.
 
-    The rows of a code with several chunks share its offsets; they come from a small aggregate per
-    code, so that no task has to hold such a code.
+    A code with one row needs nothing but that row. The rows of a code with several chunks share its
+    offsets: those come from a small aggregate, joined per (code, chunk) so that no task has to hold
+    such a code. ``codelist`` is read twice: pass a stored or staged one.
     """
-    tops = codelist.groupBy("code").agg(
-        F.max(vectors.top_position(F.col("relation_vector"))).alias("relation_top"),
-        (F.max("chunk") + 1).alias("chunks"),
-    )
+    top = vectors.top_position(F.col("relation_vector"))
+    several = codelist.filter(F.col("chunk") > 0).select("code").distinct()
+    if several.isEmpty():
+        placed = codelist.withColumns({"relation_top": top, "chunks": F.lit(1)}).repartition("code")
+        return _tag_vectors(placed, config)
+    several = stage(several, "several-chunks")
+    single = codelist.join(several, "code", "left_anti").withColumns({"relation_top": top, "chunks": F.lit(1)})
+    cut = codelist.join(several, "code", "left_semi")
+    tops = cut.groupBy("code").agg(F.max(top).alias("relation_top"), (F.max("chunk") + 1).alias("chunks"))
+    each = tops.withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
+    shared = cut.join(each.repartition("code", "chunk"), ["code", "chunk"]).select(*single.columns)
+    return _tag_vectors(single.unionByName(shared), config)
+
+
+def _tag_vectors(codelist: DataFrame, config: str) -> DataFrame:
     lexed = codelist.select(
         "code",
         "chunk",
+        "chunks",
         X.lexize(X.tokenize(F.col("description")), config).alias("description_lexemes"),
         X.lexize(X.tokenize(F.col("code")), config).alias("code_lexemes"),
         "relation_vector",
         "synonyms_vector",
+        "relation_top",
     )
-    placed = lexed.join(tops, "code").withColumn("code_at", X.last_position(F.col("description_lexemes")))
+    placed = lexed.withColumn("code_at", X.last_position(F.col("description_lexemes")))
     placed = placed.withColumn("relation_at", F.col("code_at") + X.last_position(F.col("code_lexemes")))
     first = F.col("chunk") == 0
     rows = vectors.concatenate(
