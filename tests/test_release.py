@@ -12,6 +12,10 @@ from termspark import constants as C
 from termspark import schemas as S
 from termspark.operators import checks
 from termspark.plans import build, indexes
+from termspark.plans.classify import classify_descriptions
+from termspark.plans.codelist import build_codelist
+from termspark.plans.ontology import build_tags
+from termspark.session import stage
 from termspark.sources import delimited, rf2, tables
 
 
@@ -224,6 +228,32 @@ def test_edges(built):
     assert checks.broken_edges(built.table(S.EDGE_TABLE), built.table(S.TAG_TABLE), ["child_id", "parent_id"]).isEmpty()
 
 
+def merged(df, columns):
+    """Content per code over its chunks: lists joined in order, vectors as mappings; None stays None."""
+    out = {}
+    for row in df.orderBy("code", "chunk").collect():
+        for column in columns:
+            value = row[column] if column.endswith("_codes") or row[column] is None else list(vector(row[column]).items())
+            if value is not None:
+                out.setdefault((row["code"], column), []).extend(value)
+    return {k: v if k[1].endswith("_codes") else dict(v) for k, v in out.items()}
+
+
+def test_concepts_cut_into_rows_have_the_same_content(spark, raw):
+    described = stage(classify_descriptions(raw["description"], raw["refset_lang"]))
+    whole, cut = [
+        stage(build_codelist(raw["concept"], described, raw["refset_map"], raw["ctv_map"], mesh(spark), whole_group_rows=n))
+        for n in (100_000, 2)
+    ]
+    assert whole.filter("chunk > 0").isEmpty() and not cut.filter("chunk > 0").isEmpty()
+    columns = [*C.CODE_LIST_COLUMNS, "search_vector", "synonyms_vector", "relation_vector"]
+    assert merged(cut, columns) == merged(whole, columns)
+    assert all(len(r[c] or []) <= 2 for r in cut.collect() for c in C.CODE_LIST_COLUMNS)
+    tags = [build_tags(df) for df in (whole, cut)]
+    assert merged(tags[1], columns[-3:]) == merged(tags[0], columns[-3:])
+    assert rows(tags[1].filter("chunk = 0"), "id", "code", "properties") == rows(tags[0], "id", "code", "properties")
+
+
 def codes(df):
     return sorted(r["code"] for r in df.collect())
 
