@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -21,8 +20,10 @@ SQL_SETTINGS = {
     "spark.sql.execution.arrow.maxBytesPerBatch": "64MB",
 }
 
-# temporary folders of local sessions without the setting, by application
-_local_folders: dict[str, str] = {}
+# shared folders named by hand for sessions without ``spark.checkpoint.dir``, by application
+_named_folders: dict[str, str] = {}
+# staging folders already made, by application
+_made_folders: set[str] = set()
 
 
 def tune(spark: SparkSession) -> SparkSession:
@@ -32,26 +33,51 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def staging_root(spark: SparkSession) -> str:
-    """Shared folder for staged tables: the one the cluster names in ``spark.checkpoint.dir``.
+def name_staging_folder(spark: SparkSession, folder: str) -> None:
+    """Name the shared folder of a session that runs without ``spark.checkpoint.dir``."""
+    _named_folders[spark.sparkContext.applicationId] = folder
 
-    Only a local session may go without the setting; it then gets a temporary folder.
-    """
+
+def has_staging_folder(spark: SparkSession) -> bool:
+    """Whether the session knows a shared folder."""
+    named = spark.sparkContext.applicationId in _named_folders
+    return named or bool(spark.conf.get("spark.checkpoint.dir", None))
+
+
+def staging_root(spark: SparkSession) -> str:
+    """Shared folder for staged tables: ``spark.checkpoint.dir``, or the one named by hand."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder.rstrip("/")
-    if not spark.conf.get("spark.master", "").startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a shared folder")
-    run = spark.sparkContext.applicationId
-    if run not in _local_folders:
-        _local_folders[run] = tempfile.mkdtemp(prefix="termspark-")
-    return _local_folders[run]
+    folder = folder or _named_folders.get(spark.sparkContext.applicationId)
+    if not folder:
+        raise ValueError("set spark.checkpoint.dir to a shared folder, or name one")
+    return folder.rstrip("/")
+
+
+def _file_system(spark: SparkSession, path: str):
+    """The Hadoop file system of a path, and the path as it knows it."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()), where
 
 
 def staging_path(spark: SparkSession, label: str) -> str:
-    """A fresh path below the staging folder, grouped by application so that old runs can be dropped."""
+    """A fresh path below the application's staging folder, which goes when the application ends."""
+    run = spark.sparkContext.applicationId
+    folder = f"{staging_root(spark)}/termspark/{run}"
+    if folder not in _made_folders:
+        files, where = _file_system(spark, folder)
+        files.mkdirs(where)
+        files.deleteOnExit(where)
+        _made_folders.add(folder)
+    return f"{folder}/{label}-{uuid.uuid4().hex}"
+
+
+def drop_staged(spark: SparkSession, path: str) -> None:
+    """Delete a staged table whose readers are done."""
     run = spark.sparkContext.applicationId
-    return f"{staging_root(spark)}/termspark/{run}/{label}-{uuid.uuid4().hex}"
+    if not path.startswith(f"{staging_root(spark)}/termspark/{run}/"):
+        raise ValueError(f"not a staged table: {path}")
+    files, where = _file_system(spark, path)
+    files.delete(where, True)
 
 
 def stage(df: DataFrame, label: str = "stage") -> DataFrame:
