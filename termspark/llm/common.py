@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from termspark.session import drop_staged, stage, staging_path
+from termspark.session import drop_staged, staging_path
 
 # Bytes of text handled at once inside a task. Arrow batches are cut by this size as well as by rows,
 # so that a batch of very long texts does not grow with its row count.
@@ -30,29 +30,50 @@ def map_rows(
     columns: dict[str, str],
     out: T.StructType,
     start: Callable[[], Callable[[pa.RecordBatch], dict[str, list | pa.Array]]],
+    keep_row: bool = False,
 ) -> DataFrame:
-    """Run a batch function over the named columns of ``df``; other columns are never read.
+    """Run a batch function over the named columns of ``df``; other columns are not read.
 
     ``columns`` maps the names the function sees to their SQL types. ``start`` is called once per
-    task and returns the function, which maps a batch to the columns of ``out``.
+    task and returns the function, which maps a batch to the columns of ``out``. With ``keep_row``
+    the result also has ``_row``, a struct of all columns of ``df``, whatever their names.
     """
-    fields = to_arrow_schema(out)
+    full = T.StructType([*out.fields, T.StructField("_row", df.schema)] if keep_row else out.fields)
+    fields = to_arrow_schema(full)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         work = start()
         for batch in batches:
             if batch.num_rows:
                 made = work(batch)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        made[f.name] if isinstance(made[f.name], pa.Array) else pa.array(made[f.name], f.type)
-                        for f in fields
-                    ],
-                    schema=fields,
-                )
+                if keep_row:
+                    made["_row"] = batch["_row"]
+                arrays = [
+                    made[f.name].cast(f.type) if isinstance(made[f.name], pa.Array) else pa.array(made[f.name], f.type)
+                    for f in fields
+                ]
+                yield pa.RecordBatch.from_arrays(arrays, schema=fields)
 
-    wanted = df.select(*[F.col(f"`{c}`").cast(kind).alias(c) for c, kind in columns.items()])
-    return with_batch_bounds(wanted).mapInArrow(run, out)
+    wanted = [F.col(f"`{c}`").cast(kind).alias(c) for c, kind in columns.items()]
+    if keep_row:
+        wanted.append(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("_row"))
+    return with_batch_bounds(df.select(*wanted)).mapInArrow(run, full)
+
+
+def texts_of(column: pa.Array) -> list[bytes]:
+    """UTF-8 bytes of a binary column, NULL as empty."""
+    return [t or b"" for t in column.to_pylist()]
+
+
+# --- fixed value: ASCII letters in lower case and digits stay, as do all bytes of other characters ---
+WORD_BYTES = bytes(
+    b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32 for b in range(256)
+)
+
+
+def words_of(text: bytes) -> list[bytes]:
+    """Words of a UTF-8 text: runs of ASCII letters and digits and other characters, A-Z lower-cased."""
+    return text.translate(WORD_BYTES).split()
 
 
 def struct(spec: str) -> T.StructType:
@@ -116,6 +137,3 @@ def connected_components(edges: DataFrame, label: str = "components") -> DataFra
     return pairs.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(
         roots.select("node", F.col("node").alias("component"))
     )
-
-
-__all__ = ["connected_components", "drop_staged", "map_rows", "read_once", "stage", "struct", "with_batch_bounds"]

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from termspark.llm import packing, token_files
+from termspark.llm import decontaminate, language, packing, simhash, token_files
 from termspark.llm.tokens import tokenizer_path
 from termspark.session import staging_path, tune
 
@@ -29,6 +29,25 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query
+def op1_decontamination(spark, sf_dir):
+    """All documents against all benchmark items, in windows of ten words."""
+    docs, benchmark = (table(spark, sf_dir, name) for name in ("documents", "benchmark"))
+    return decontaminate.contamination_report(docs, benchmark)
+
+
+@query
+def op3_simhash(spark, sf_dir):
+    """Near-duplicates among all documents: 64-bit fingerprints within 4 bits."""
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query
+def op6_language_codes(spark, sf_dir):
+    """The language of all documents."""
+    return language.language_report(table(spark, sf_dir, "documents"))
+
+
 @query
 def op8_hierarchical_packing(spark, sf_dir):
     """All documents in windows of 1024, 512, 256 and 128 byte-pair ids."""

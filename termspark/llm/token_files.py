@@ -2,8 +2,8 @@
 
 Documents are put in ascending order by a range partitioning and encoded; the ids of a partition's
 documents stand one after another in sequences of equal length. A file is one Arrow stream of record
-batches with two fixed-size lists per row: the ids, and a mask that is 0 where the last sequence is
-padded. All full batches have the same size in bytes, so batch n starts at a place that is computed,
+batches with two fixed-size lists per row: the ids, of 16 bits if the vocabulary allows, and a mask of
+bits that is false where the last sequence is padded. All full batches have the same size in bytes, so batch n starts at a place that is computed,
 not searched; on a local or mounted file system it is mapped into memory and used without a copy.
 
 An index table (doc_id, file, file_no, start, n_tokens) stands beside the files. A task writes its file under a
@@ -47,10 +47,11 @@ def _open_folder(folder: str) -> tuple[pyarrow.fs.FileSystem, str]:
 class StreamWriter:
     """Writes ids into one file, a batch of sequences at a time."""
 
-    def __init__(self, sink, length: int = SEQUENCE_LENGTH, rows: int = BATCH_SEQUENCES):
+    def __init__(self, sink, vocabulary: int, length: int = SEQUENCE_LENGTH, rows: int = BATCH_SEQUENCES):
         self.length, self.rows = length, rows
+        self.kind = np.uint16 if vocabulary <= 1 << 16 else np.uint32
         self.schema = pa.schema(
-            [("ids", pa.list_(pa.uint32(), length)), ("mask", pa.list_(pa.uint8(), length))],
+            [("ids", pa.list_(pa.from_numpy_dtype(self.kind), length)), ("mask", pa.list_(pa.bool_(), length))],
             metadata={"sequence_length": str(length), "batch_sequences": str(rows)},
         )
         self.writer = pa.ipc.new_stream(sink, self.schema)
@@ -58,7 +59,7 @@ class StreamWriter:
         self.size = self.written = 0
 
     def add(self, ids: np.ndarray) -> None:
-        self.waiting.append(ids)
+        self.waiting.append(ids.astype(self.kind))
         self.size += len(ids)
         if self.size >= self.length * self.rows:
             self._write(self.size // (self.length * self.rows) * self.rows)
@@ -71,10 +72,9 @@ class StreamWriter:
     def _write(self, sequences: int) -> None:
         ids = np.concatenate(self.waiting)
         cut = min(sequences * self.length, len(ids))
-        room = np.zeros(sequences * self.length, np.uint32)
+        room = np.zeros(sequences * self.length, self.kind)
         room[:cut] = ids[:cut]
-        mask = np.zeros(len(room), np.uint8)
-        mask[:cut] = 1
+        mask = np.arange(len(room)) < cut
         for at in range(0, sequences, self.rows):
             part = slice(at * self.length, (at + self.rows) * self.length)
             lists = [pa.FixedSizeListArray.from_arrays(pa.array(x[part]), self.length) for x in (room, mask)]
@@ -107,11 +107,10 @@ class StreamReader:
             self.at = number
         return self.held
 
-    def sequence(self, number: int) -> tuple[np.ndarray, np.ndarray]:
+    def sequence(self, number: int) -> tuple[pa.Array, pa.Array]:
         """Ids and mask of one sequence, as views of the file where it is mapped."""
         batch, row = divmod(number, self.rows)
-        held, part = self.batch(batch), slice(row * self.length, (row + 1) * self.length)
-        return tuple(c.values.to_numpy()[part] for c in held.columns)
+        return tuple(c.values.slice(row * self.length, self.length) for c in self.batch(batch).columns)
 
     def ids(self, start: int, count: int) -> Iterator[np.ndarray]:
         """``count`` ids from place ``start`` on, batch by batch."""
@@ -143,22 +142,23 @@ def write_token_files(
     fields = to_arrow_schema(out)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        context, encode = TaskContext.get(), encoder(tokenizer).encode
+        context, known = TaskContext.get(), encoder(tokenizer)
         files, root = _open_folder(folder)
         files.create_dir(f"{root}/ids", recursive=True)
         number = context.partitionId()
         name = f"{root}/ids/part-{number:06d}.arrows"
         own = f"{root}/ids/_{number:06d}-{context.taskAttemptId()}"
+        vocabulary = max(known.tokenizer.get_vocab_size(), end_id + 1)
         start, writer, sink = 0, None, None
         for batch in batches:
             if not batch.num_rows:
                 continue
             if writer is None:
                 sink = files.open_output_stream(own)
-                writer = StreamWriter(sink, length)
+                writer = StreamWriter(sink, vocabulary, length)
             texts = [t or "" for t in batch["text"].to_pylist()]
             starts, counts = [], []
-            for ids in encode(texts):
+            for ids in known.encode(texts):
                 starts.append(start)
                 counts.append(len(ids) + 1)
                 writer.add(ids)

@@ -1,10 +1,10 @@
 """Token ids of whole texts, through the public tokenizer files, with a cache of word pieces.
 
 A byte-pair tokenizer first cuts a text by a pattern and then encodes each piece on its own. Words
-repeat, so each worker encodes what stands between two spaces once with the ``tokenizers`` library's
-model and keeps its ids. That is the same as encoding the whole text, as both patterns always cut at
-a space between two other characters (the byte-level one leaves the space with the word after it).
-Texts where the cut is not certain go to the library whole.
+repeat, so each worker encodes a word once with the ``tokenizers`` library's model and keeps its ids.
+Texts are parted before single spaces, line feeds, full stops and commas, where both patterns always
+cut; a text with other combinations is parted less or not at all, and one with any character outside
+the alphabet for which the cut is certain goes to the library whole.
 """
 
 from __future__ import annotations
@@ -26,6 +26,8 @@ _BYTE_LEVEL = (
 _WORD_END = rf"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTERS}]+|[{_NUMBERS}]|[^\s{_LETTERS}{_NUMBERS}]+"
 # --- end of fixed values ---
 
+# stops and commas that stand next to another sign are one piece with it
+_TOUCHING = re.compile(r"[.,][^\sA-Za-z0-9ªµºÀ-ÖØ-öø-ſ²³¹¼-¾]|[^\sA-Za-z0-9ªµºÀ-ÖØ-öø-ſ²³¹¼-¾][.,]")
 # Outside this alphabet (line feed, printable ASCII, Latin letters but for the dotted capital I), or
 # with the brackets of a special token, a text is encoded whole.
 _UNCERTAIN = re.compile(r"[^\n\x20-\x7e¡-įı-ſ]|<\|")
@@ -74,7 +76,7 @@ class Encoder:
         self.cut = re.compile(_WORD_END if self.lower else _BYTE_LEVEL).findall
         self.letters = _byte_letters()
         self.pieces = _Words(self.piece)
-        self.words = _Words(self.cut_up if self.lower else self.after_space)
+        self.words = _Words(self.word)
 
     def whole(self, text: str) -> bytes:
         """All steps by the library."""
@@ -89,8 +91,22 @@ class Encoder:
     def cut_up(self, text: str) -> bytes:
         return b"".join(map(self.pieces.__getitem__, self.cut(text)))
 
-    def after_space(self, word: str) -> bytes:
-        return self.cut_up(f" {word}")
+    def word(self, word: str) -> bytes:
+        """The ids of what stands between two certain cuts."""
+        letters = word[1:] if word[0] == " " else word
+        return self.piece(word) if letters.isalpha() else self.cut_up(word)
+
+    def part(self, text: str) -> str:
+        """The text with NUL at places where both patterns cut, for a text in the certain alphabet."""
+        if not _TOUCHING.search(text) and (self.lower or not (" ," in text or " ." in text)):
+            text = text.replace(",", "\0,").replace(".", "\0.")
+        if self.lower:
+            # white space is never part of a piece
+            return text.lower().replace("\n", "\0").replace(" ", "\0")
+        # next to other white space, a space or line feed may be one piece with it
+        if "  " in text or " \n" in text or "\n " in text or "\n\n" in text:
+            return text
+        return text.replace("\n", "\0\n\0").replace(" ", "\0 ")
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """The ids of each text, as unsigned 32-bit integers."""
@@ -105,22 +121,9 @@ class Encoder:
 
     def _encode_group(self, texts: list[str]) -> list[np.ndarray]:
         """Looks every different word of the texts up once and deals its ids out to its places."""
-        heads, rests = [], []
-        for text in texts:
-            head, rest = b"", ""
-            if _UNCERTAIN.search(text):
-                head = self.whole(text)
-            elif self.lower:
-                rest = text.lower().replace("\n", " ")
-            elif "  " in text or " \n" in text or text[:1] == " " or text[-1:] == " ":
-                # a word cannot be looked up by itself next to a space that has white space after it
-                head = self.cut_up(text)
-            else:
-                first, _, rest = text.partition(" ")
-                head = self.cut_up(first)
-            heads.append(np.frombuffer(head, "<u4"))
-            rests.append(rest or None)
-        split = pc.split_pattern(pa.array(rests, pa.large_string()), " ")
+        heads = [self.whole(t) if _UNCERTAIN.search(t) else None for t in texts]
+        rests = [self.part(t) if h is None else None for t, h in zip(texts, heads)]
+        split = pc.split_pattern(pa.array(rests, pa.large_string()), "\0")
         words = split.flatten().dictionary_encode()
         made = [self.words[w] if w else b"" for w in words.dictionary.to_pylist()]
         ids = np.frombuffer(b"".join(made), "<u4")
@@ -135,8 +138,7 @@ class Encoder:
         cuts = np.concatenate(([0], ends))[np.cumsum(per_text)]
         out, begin = [], 0
         for head, end in zip(heads, cuts):
-            rest = dealt[begin:end]
-            out.append(np.concatenate((head, rest)) if len(head) else rest)
+            out.append(dealt[begin:end] if head is None else np.frombuffer(head, "<u4"))
             begin = end
         return out
 
