@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -30,15 +30,16 @@ def map_rows(
     columns: dict[str, str],
     out: T.StructType,
     start: Callable[[], Callable[[pa.RecordBatch], dict[str, list | pa.Array]]],
-    keep_row: bool = False,
+    keep: Sequence[str] = (),
 ) -> DataFrame:
     """Run a batch function over the named columns of ``df``; other columns are not read.
 
     ``columns`` maps the names the function sees to their SQL types. ``start`` is called once per
-    task and returns the function, which maps a batch to the columns of ``out``. With ``keep_row``
-    the result also has ``_row``, a struct of all columns of ``df``, whatever their names.
+    task and returns the function, which maps a batch to the columns of ``out``. The columns of
+    ``df`` named in ``keep`` come along in ``_row``, a struct, so that their names cannot clash.
     """
-    full = T.StructType([*out.fields, T.StructField("_row", df.schema)] if keep_row else out.fields)
+    kept = T.StructType([df.schema[c] for c in keep])
+    full = T.StructType([*out.fields, T.StructField("_row", kept)] if keep else out.fields)
     fields = to_arrow_schema(full)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -46,7 +47,7 @@ def map_rows(
         for batch in batches:
             if batch.num_rows:
                 made = work(batch)
-                if keep_row:
+                if keep:
                     made["_row"] = batch["_row"]
                 arrays = [
                     made[f.name].cast(f.type) if isinstance(made[f.name], pa.Array) else pa.array(made[f.name], f.type)
@@ -55,8 +56,8 @@ def map_rows(
                 yield pa.RecordBatch.from_arrays(arrays, schema=fields)
 
     wanted = [F.col(f"`{c}`").cast(kind).alias(c) for c, kind in columns.items()]
-    if keep_row:
-        wanted.append(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("_row"))
+    if keep:
+        wanted.append(F.struct(*[F.col(f"`{c}`") for c in keep]).alias("_row"))
     return with_batch_bounds(df.select(*wanted)).mapInArrow(run, full)
 
 

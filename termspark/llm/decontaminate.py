@@ -92,8 +92,8 @@ class WindowSet:
         return np.flatnonzero(hit), sorted(items)
 
 
-def _scan(docs: DataFrame, windows: list[tuple[str, list[str]]]) -> DataFrame:
-    """FOUND and ``_row`` for every row of ``docs``, for one set of windows."""
+def _scan(docs: DataFrame, windows: list[tuple[str, list[str]]], keep: list[str]) -> DataFrame:
+    """FOUND, and ``_row`` of the kept columns, for every row of ``docs``, for one set of windows."""
     sent = docs.sparkSession.sparkContext.broadcast(windows)
 
     def start():
@@ -111,11 +111,11 @@ def _scan(docs: DataFrame, windows: list[tuple[str, list[str]]]) -> DataFrame:
 
         return work
 
-    return map_rows(docs, {"text": "binary"}, struct(FOUND), start, keep_row=True)
+    return map_rows(docs, {"text": "binary"}, struct(FOUND), start, keep)
 
 
-def find_contamination(docs: DataFrame, benchmark: DataFrame, n: int = WINDOW_WORDS) -> DataFrame:
-    """``n_words``, ``positions``, ``items`` and ``_row`` (the whole row) for every row of ``docs``.
+def find_contamination(docs: DataFrame, benchmark: DataFrame, keep: list[str], n: int = WINDOW_WORDS) -> DataFrame:
+    """``n_words``, ``positions``, ``items`` and ``_row`` (the columns in ``keep``) for every row of ``docs``.
 
     ``positions`` are the word numbers inside any occurrence of a window, ``items`` the item ids, as
     text, whose windows occur. A NULL text has no words. Repeated rows stay; no benchmark, no finds.
@@ -124,15 +124,15 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, n: int = WINDOW_WO
     words = windows.agg(F.sum(F.size(F.split("window", " ")) + F.size("items"))).first()[0] or 0
     blocks = -(-words // BLOCK_WORDS)
     if blocks <= 1:
-        return _scan(docs, [tuple(r) for r in windows.collect()])
-    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_given")
+        return _scan(docs, [tuple(r) for r in windows.collect()], keep)
+    row = F.struct(*[F.col(f"`{c}`") for c in keep]).alias("_given")
     numbered, _ = read_once(
         docs.select(F.monotonically_increasing_id().alias("_at"), F.col("`text`").alias("text"), row), "numbered"
     )
     scans = []
     for block in range(blocks):
         own = windows.filter(F.pmod(F.xxhash64("window"), F.lit(blocks)) == block)
-        found = _scan(numbered.select("_at", "text"), [tuple(r) for r in own.collect()])
+        found = _scan(numbered, [tuple(r) for r in own.collect()], ["_at"])
         scans.append(found.select("_row._at", "n_words", "positions", "items"))
     every = scans[0]
     for scan in scans[1:]:
@@ -151,7 +151,7 @@ def contamination_report(docs: DataFrame, benchmark: DataFrame, n: int = WINDOW_
     ``items_sha256`` is of the item ids, sorted as text and joined by commas (of the empty text if
     there are none).
     """
-    found = find_contamination(docs.select("doc_id", "text"), benchmark, n)
+    found = find_contamination(docs, benchmark, ["doc_id"], n)
     return found.select(
         F.col("_row.doc_id").alias("doc_id"),
         "n_words",
@@ -186,7 +186,7 @@ def remove_contamination(
     """
     if action not in ("documents", "spans"):
         raise ValueError(f"unknown action {action!r}")
-    found = find_contamination(docs, benchmark, n)
+    found = find_contamination(docs, benchmark, docs.columns, n)
     if action == "documents":
         return found.filter(F.size("positions") == 0).select("_row.*")
 
@@ -198,7 +198,7 @@ def remove_contamination(
         return work
 
     texts = found.select(F.col("_row.text").alias("text"), "positions", "_row")
-    cut = map_rows(texts, {"text": "binary", "positions": "array<int>"}, struct("cut string"), start, keep_row=True)
+    cut = map_rows(texts, {"text": "binary", "positions": "array<int>"}, struct("cut string"), start, texts.columns)
     # an unmarked text keeps its own value
     changed = F.when(F.size("_row.positions") > 0, F.col("cut")).otherwise(F.col("_row._row.text"))
     return cut.select(

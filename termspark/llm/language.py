@@ -174,8 +174,8 @@ def train(docs: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE) -> Model | N
     return fit([r["lang"] for r in rows], vectors)
 
 
-def predict(docs: DataFrame, model: Model | None) -> DataFrame:
-    """lang_pred, score, ambiguous and ``_row`` (the whole row) for every row of ``docs(text)``.
+def predict(docs: DataFrame, model: Model | None, keep: list[str]) -> DataFrame:
+    """lang_pred, score, ambiguous and ``_row`` (the columns in ``keep``) for every row of ``docs(text)``.
 
     A NULL text, one without a letter, or any text if there was nothing to learn from, is ``und``
     with score 0. Only the text is read for an answer.
@@ -200,7 +200,7 @@ def predict(docs: DataFrame, model: Model | None) -> DataFrame:
         return work
 
     out = struct("lang_pred string, score double, ambiguous boolean")
-    return map_rows(docs, {"text": "string"}, out, start, keep_row=True)
+    return map_rows(docs, {"text": "string"}, out, start, keep)
 
 
 def language_report(docs: DataFrame) -> DataFrame:
@@ -208,7 +208,7 @@ def language_report(docs: DataFrame) -> DataFrame:
 
     The model learns from documents that are not held out. Repeated rows stay. No rows: no rows.
     """
-    found = predict(docs.select("doc_id", "text"), train(docs))
+    found = predict(docs, train(docs), ["doc_id"])
     held_out = F.coalesce(F.crc32(F.col("_row.doc_id").cast("string")) % 3 == 1, F.lit(False))
     return found.select(
         F.col("_row.doc_id").alias("doc_id"), held_out.alias("held_out"), "lang_pred", "score", "ambiguous"
@@ -217,5 +217,5 @@ def language_report(docs: DataFrame) -> DataFrame:
 
 def keep_identified(docs: DataFrame) -> DataFrame:
     """``docs`` whose language is known: neither ``und`` nor ambiguous. Columns stay as they are."""
-    found = predict(docs, train(docs))
+    found = predict(docs, train(docs), docs.columns)
     return found.filter((F.col("lang_pred") != UNKNOWN) & ~F.col("ambiguous")).select("_row.*")

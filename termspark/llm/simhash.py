@@ -64,8 +64,8 @@ def _signed(value: int) -> int:
     return value - (1 << BITS) if value >> (BITS - 1) else value
 
 
-def with_fingerprints(docs: DataFrame) -> DataFrame:
-    """``fp`` (the fingerprint as a signed bigint) and ``_row`` (the whole row) for each row."""
+def with_fingerprints(docs: DataFrame, keep: list[str]) -> DataFrame:
+    """``fp`` (the fingerprint as a signed bigint) and ``_row`` (the columns in ``keep``) for each row."""
 
     def start():
         def work(batch: pa.RecordBatch) -> dict:
@@ -73,7 +73,7 @@ def with_fingerprints(docs: DataFrame) -> DataFrame:
 
         return work
 
-    return map_rows(docs, {"text": "binary"}, struct("fp bigint"), start, keep_row=True)
+    return map_rows(docs, {"text": "binary"}, struct("fp bigint"), start, keep)
 
 
 # ---------------------------------------------------------------- parts and thresholds
@@ -262,7 +262,7 @@ def near_duplicates(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
     Empty and NULL texts have fingerprint zero and link like any other. Repeated rows stay. A NULL
     doc_id counts as a member but never names a component, unless no member has an id.
     """
-    found = with_fingerprints(docs.select("doc_id", "text")).select(F.col("_row.doc_id").alias("doc_id"), "fp")
+    found = with_fingerprints(docs, ["doc_id"]).select(F.col("_row.doc_id").alias("doc_id"), "fp")
     rows, _ = read_once(found, "fingerprints")
     fps, _ = read_once(rows.groupBy("fp").agg(F.count("*").alias("n"), F.min("doc_id").alias("least")), "distinct")
     roots, _ = read_once(link_fingerprints(fps.select("fp", "n"), radius), "roots")
@@ -282,7 +282,7 @@ def drop_near_duplicates(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
     numbered = docs.select(F.monotonically_increasing_id().alias("at"), row.alias("given"), F.col("text").cast("string").alias("text"))
     rows, _ = read_once(
-        with_fingerprints(numbered).select("fp", F.col("_row.at").alias("at"), F.col("_row.given").alias("given")), "rows"
+        with_fingerprints(numbered, ["at", "given"]).select("fp", F.col("_row.at").alias("at"), F.col("_row.given").alias("given")), "rows"
     )
     order = F.struct(F.col("given.doc_id").isNull().alias("none"), F.col("given.doc_id").alias("id"), "at")
     fps, _ = read_once(rows.groupBy("fp").agg(F.count("*").alias("n"), F.min(order).alias("first")), "distinct")
