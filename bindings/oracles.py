@@ -1,13 +1,9 @@
-"""DuckDB SQL with the same results as the registered queries.
-
-Only ``english_vector`` has none: the stems of free text are not expressible in SQL.
-"""
+"""DuckDB SQL with the same results as the registered queries."""
 
 from __future__ import annotations
 
 # --- shared SQL pieces ---------------------------------------------------------------------------
 
-# token pattern, position limit 16383, 256 positions per lexeme, 2046 bytes per lexeme
 TOKENS = r"regexp_extract_all(lower({}), '\p{{L}}\p{{N}}+(?:\.\p{{N}}+)+|[\p{{L}}\p{{N}}]+')"
 
 
@@ -16,31 +12,27 @@ def tokens(text: str) -> str:
 
 
 def lexeme_rows(keys: str, source: str) -> str:
-    """CTEs from ``source`` (keys, tok, pos, weight) to ``placed`` (keys, lexeme, pos, weight)."""
+    """Rows (keys, lexeme, pos, weight) from ``source`` (keys, tok, pos, weight)."""
     return f"""
-split_rows as (
-  select {keys}, least(pos, 16383) as pos, weight,
-         unnest(list_distinct(case when contains(tok, '.')
-                              then list_concat([tok], string_split(tok, '.')) else [tok] end)) as lexeme
-  from {source}),
-placed as (
-  select {keys}, lexeme, pos, min(weight) as weight
-  from split_rows where strlen(lexeme) <= 2046 group by all)"""
+select {keys}, unnest(list_distinct(case when contains(tok, '.')
+                        then list_concat([tok], string_split(tok, '.')) else [tok] end)) as lexeme,
+       cast(pos as bigint) as pos, weight
+from {source}"""
 
 
-def positions(keys: str) -> str:
-    return f"""
-select {keys}, lexeme,
-       array_to_string(list_slice(list(cast(pos as varchar) || weight order by pos), 1, 256), ' ') as positions
-from placed group by {keys}, lexeme"""
-
-
-def text_positions(keys: str, table: str, text: str, weight: str) -> str:
-    return f"""
-with t as (select {keys}, {tokens(text)} as toks from {table}),
-e as (select {keys}, unnest(toks) as tok, unnest(range(1, len(toks) + 1)) as pos, '{weight}' as weight from t),
-{lexeme_rows(keys, "e")}
-{positions(keys)}"""
+# --- fixed values: the classic English stop list ---
+STOP_WORDS = (
+    "i me my myself we our ours ourselves you your yours yourself yourselves he him his himself "
+    "she her hers herself it its itself they them their theirs themselves what which who whom "
+    "this that these those am is are was were be been being have has had having do does did "
+    "doing a an the and but if or because as until while of at by for with about against "
+    "between into through during before after above below to from up down in out on off over "
+    "under again further then once here there when where why how all any both each few more "
+    "most other some such no nor not only own same so than too very s t can will just don "
+    "should now"
+).split()
+# --- end of fixed values ---
+STOPPED = "(" + ", ".join(f"'{w}'" for w in STOP_WORDS) + ")"
 
 
 FEEDS = """
@@ -119,7 +111,7 @@ each_token as (
          unnest(toks) as tok, unnest(range(1, len(toks) + 1)) as place from placed_parts),
 has_synonyms as (select distinct code from parts where part = 2),
 entries as (
-  select code, 'search' as kind, tok, place + search_at as pos, case when part < 2 then 'A' else 'B' end as weight
+  select code, 'search' as vector, tok, place + search_at as pos, case when part < 2 then 'A' else 'B' end as weight
   from each_token where code in (select code from has_synonyms)
   union all select code, 'synonyms', tok, place + synonyms_at, 'D' from each_token where part = 2
   union all select code, 'relation', tok, place + relation_at, case when part = 0 then 'A' else 'B' end
@@ -142,9 +134,9 @@ select p_partkey, round(sim, 6) as sim from s where sim >= 0.3"""
 
 WEIGHTED = f"""
 with t as (select p_partkey, {tokens("p_brand")} as ta, {tokens("p_name")} as tb from part)
-select p_partkey, unnest(ta) as lexeme, cast(unnest(range(1, len(ta) + 1)) as integer) as pos, 'A' as weight from t
+select p_partkey, unnest(ta) as lexeme, unnest(range(1, len(ta) + 1)) as pos, 'A' as weight from t
 union all
-select p_partkey, unnest(tb), cast(unnest(range(len(ta) + 1, len(ta) + len(tb) + 1)) as integer), 'B' from t"""
+select p_partkey, unnest(tb), unnest(range(len(ta) + 1, len(ta) + len(tb) + 1)), 'B' from t"""
 
 MD5 = "md5(cast(p_partkey as varchar))"
 
@@ -173,7 +165,7 @@ select l_orderkey, l_linenumber, l_partkey, l_suppkey, least(l_partkey, l_suppke
        greatest(l_partkey, l_suppkey, l_orderkey) as largest
 from lineitem""",
     "array_texts": """
-select p_partkey, case when p_type in ('PROMO', 'LARGE') then '' else p_name || ' ' || p_type end as codes,
+select p_partkey, case when p_type in ('PROMO', 'LARGE') then '' else p_name || ', x ' || p_type end as codes,
        case when p_type in ('PROMO', 'LARGE') then 0 else 2 end as n
 from part""",
     "date_decode": "select o_orderkey, cast(o_orderdate as date) as effective_time from orders",
@@ -188,11 +180,12 @@ union all select c_custkey, c_name, c_nationkey, c_nationkey, c_mktsegment from
     "external_codemap": """
 with e as (
   select p_brand as code, cast(p_partkey as varchar) as target, 0 as place from part
-  union all select p_brand, p_name, 1 from part),
+  union all select p_brand, p_name || ', \\ or "so"', 1 from part
+  union all select p_brand, null, 2 from part),
 b as (select code, target, min(place) as place from e group by all)
 select code, 'MeSH' as source, target, row_number() over (partition by code order by place, target) as ord from b""",
     "delimited_roundtrip": """
-select c_custkey, ' "' || c_name || '", ' || c_mktsegment as label,
+select c_custkey, ' "' || c_name || '",' || chr(10) || c_mktsegment as label,
        case when c_acctbal < 0 then null else c_mktsegment end as segment
 from customer""",
     "incremental_ingest": "select event_type, count(*) as n from events group by 1",
@@ -237,24 +230,25 @@ with m as (
          case o_orderstatus when 'F' then 1 when 'O' then 2 else 3 end as priority from orders),
 o as (select *, row_number() over (partition by code, source order by priority, target) as ord from m),
 k as (
-  select code, cast((ord - 1) // 100000 as integer) as chunk,
+  select code, (ord - 1) // 4 as page,
          string_agg(cast(target as varchar), ',' order by ord) filter (where source = '1-URGENT') as urgent,
          string_agg(cast(target as varchar), ',' order by ord) filter (where source = '2-HIGH') as high,
          string_agg(cast(target as varchar), ',' order by ord) filter (where source = '3-MEDIUM') as medium,
-         string_agg(cast(target as varchar), ',' order by ord) filter (where source = '4-NOT SPECIFIED') as unset
-  from o where source <> '5-LOW' group by 1, 2)
-select c_custkey as code, coalesce(chunk, 0) as chunk, urgent, high, medium, unset
+         string_agg(cast(target as varchar), ',' order by ord) filter (where source = '4-NOT SPECIFIED') as unset,
+         string_agg(cast(target as varchar), ',' order by ord) filter (where source = '5-LOW') as low
+  from o group by 1, 2)
+select c_custkey as code, coalesce(page, 0) as page, urgent, high, medium, unset, low
 from customer left join k on k.code = c_custkey""",
     "codelist_upsert": """
 with o as (
   select o_custkey as code, o_orderkey as id, o_totalprice as value, o_orderstatus <> 'P' as active,
-         cast(o_orderdate as date) as effective_time, o_orderpriority from orders),
+         cast(o_orderdate as date) as effective_time from orders),
 cur as (select * from (
   select *, row_number() over (partition by code order by effective_time desc, id desc) n
   from o where effective_time < date '1996-01-01') where n = 1),
 inc as (select * from (
   select *, row_number() over (partition by code order by effective_time desc, id desc) n
-  from o where o_orderpriority = '1-URGENT') where n = 1)
+  from o where effective_time >= date '1996-01-01') where n = 1)
 select coalesce(c.code, i.code) as code, coalesce(c.id, i.id) as id,
        case when c.code is null then i.value when i.active and i.effective_time > c.effective_time then i.value
             else c.value end as value,
@@ -266,31 +260,41 @@ from cur c full join inc i on c.code = i.code""",
 with t as (select p_brand, p_partkey, {tokens("p_name")} as toks from part),
 o as (select *, coalesce(sum(len(toks)) over (partition by p_brand order by p_partkey
              rows between unbounded preceding and 1 preceding), 0) as before from t),
-e as (select p_brand, unnest(toks) as tok, unnest(range(1, len(toks) + 1)) + before as pos, 'D' as weight from o),
-{lexeme_rows("p_brand", "e")}
-{positions("p_brand")}""",
+e as (select p_brand, unnest(toks) as tok, unnest(range(1, len(toks) + 1)) + before as pos, 'D' as weight from o)
+{lexeme_rows("p_brand", "e")}""",
     "weighted_vector": WEIGHTED,
+    "joined_vector": WEIGHTED,
     "reweighted_vector": f"select p_partkey, lexeme, pos, 'C' as weight from ({WEIGHTED})",
-    "document_vector": text_positions("doc_id", "documents", "text", "D"),
+    "document_vector": f"""
+with t as (select doc_id, {tokens("text")} as toks from documents),
+e as (select doc_id, unnest(toks) as tok, unnest(range(1, len(toks) + 1)) as pos, 'D' as weight from t)
+{lexeme_rows("doc_id", "e")}""",
+    "english_vector": f"""
+with t as (select doc_id, {tokens("text")} as toks from documents),
+e as (select doc_id, unnest(toks) as tok, unnest(range(1, len(toks) + 1)) as pos from t)
+select doc_id, pos, case when contains(tok, '.') then cast(len(list_distinct(list_concat([tok], string_split(tok, '.')))) as bigint)
+                         else 1 end as n
+from e where tok not in {STOPPED}""",
+    "english_stems": f"""
+with w as (select ['consist', 'consol', 'conspicu', 'constanc', 'knackeri', 'knavish', 'knead', 'knive', 'knock', 'hop',
+                   'generous', 'generat', 'cri', 'tie', 'happi', 'relat', 'adjust'] as stems),
+t as (select doc_id, list_concat(stems, [source], ['', ''], [lang], stems) as lexemes from documents, w),
+e as (select doc_id, unnest(lexemes) as lexeme, unnest(range(1, len(lexemes) + 1)) as pos, 'B' as weight from t)
+select * from e where lexeme <> ''""",
     "english_part_vector": f"""
 with t as (select p_partkey, {tokens("p_brand")} as ta, {tokens("'The ' || p_name || ' of ' || p_type")} as tb from part),
 e as (
   select p_partkey, unnest(ta) as tok, unnest(range(1, len(ta) + 1)) as pos, 'A' as weight from t
   union all
-  select p_partkey, unnest(tb), unnest(range(len(ta) + 1, len(ta) + len(tb) + 1)), 'B' from t),
-x as (
-  select p_partkey, case tok when 'large' then 'larg' when 'economy' then 'economi' else tok end as lexeme,
-         cast(pos as integer) as pos, weight
-  from e where tok not in ('the', 'of'))
-select distinct p_partkey, lexeme, pos, weight from x""",
+  select p_partkey, unnest(tb), unnest(range(len(ta) + 1, len(ta) + len(tb) + 1)), 'B' from t)
+select p_partkey, case tok when 'large' then 'larg' when 'economy' then 'economi' else tok end as lexeme, pos, weight
+from e where tok not in ('the', 'of')""",
     "codelist_english": f"""
-with {CONCEPTS}, {CODE_LISTS}, {VECTOR_PARTS}, {lexeme_rows("code, kind", "entries")},
-n as (select code, kind, cast(count(distinct lexeme) as integer) as n from placed
-      where lexeme not in ('the', 'of') group by code, kind)
-select c.id, c.code, s.n as search_vector, y.n as synonyms_vector, r.n as relation_vector
-from concepts c left join n s on s.code = c.code and s.kind = 'search'
-left join n y on y.code = c.code and y.kind = 'synonyms'
-left join n r on r.code = c.code and r.kind = 'relation'""",
+with {CONCEPTS}, {CODE_LISTS}, {VECTOR_PARTS}
+select code, vector, case lexeme when 'automobile' then 'automobil' when 'machinery' then 'machineri'
+                                 when 'furniture' then 'furnitur' when 'building' then 'build'
+                                 when 'customer' then 'custom' else lexeme end as lexeme, pos, weight
+from ({lexeme_rows("code, vector", "entries")}) where lexeme not in ('the', 'of')""",
     "codelist": f"""
 with {CONCEPTS}, {CODE_LISTS},
 wide as (
@@ -301,14 +305,16 @@ wide as (
          max(array_to_string(codes, ',')) filter (where source = 'ICD-10') as icd10_codes,
          max(array_to_string(codes, ',')) filter (where source = 'ReadCodeV2') as readcv2_codes,
          max(array_to_string(codes, ',')) filter (where source = 'ReadCodeV3') as readcv3_codes
-  from lists group by code),
-synonyms as (
-  select distinct o_custkey as key from described where active and identifier in ('P', 'S'))
-select c.id, c.code, 0 as chunk, c.description, c.case_sig, w.* exclude (code), s.key is null as no_search
-from concepts c left join wide w on w.code = c.code left join synonyms s on s.key = c.key""",
+  from lists group by code)
+select c.id, c.code, cast(0 as bigint) as page, c.description, c.case_sig, w.* exclude (code)
+from concepts c left join wide w on w.code = c.code""",
+    "codelist_lists": f"""
+with {CONCEPTS}, {CODE_LISTS}
+select l.code, l.source, unnest(range(1, len(l.codes) + 1)) as ord, unnest(l.codes) as target
+from lists l where l.code in (select code from concepts)""",
     "codelist_vectors": f"""
-with {CONCEPTS}, {CODE_LISTS}, {VECTOR_PARTS}, {lexeme_rows("code, kind", "entries")}
-{positions("code, kind")}""",
+with {CONCEPTS}, {CODE_LISTS}, {VECTOR_PARTS}
+{lexeme_rows("code, vector", "entries")}""",
     "tag_vector": f"""
 with {CONCEPTS}, {CODE_LISTS}, {VECTOR_PARTS},
 own as (
@@ -324,9 +330,8 @@ tag_entries as (
   from each_token t join own o on o.code = t.code where t.part not in (1, 2)
   union all
   select t.code, t.tok, t.place + t.synonyms_at + o.description_n + o.code_n + o.relation_n, 'B'
-  from each_token t join own o on o.code = t.code where t.part = 2),
-{lexeme_rows("code", "tag_entries")}
-{positions("code")}""",
+  from each_token t join own o on o.code = t.code where t.part = 2)
+{lexeme_rows("code", "tag_entries")}""",
     "ontology_tags": f"""
 select row_number() over (order by code) as id, name, 0 as type_id,
        json_object('code', code, 'coding_system_id', 9)::varchar as properties
@@ -344,7 +349,7 @@ where list_has_all(regexp_extract_all(lower(p_name), '[\p{L}\p{N}]+'), ['red', '
 select doc_id from documents where list_has_all({tokens("text")}, ['and', 'the'])""",
     "array_lookup": f"select distinct code from ({FEEDS}) where source = 'A' and target in (5, 17, 99)",
     "list_overlap": """
-select distinct o_custkey as code from orders where o_orderpriority = '1-URGENT' and o_orderkey in (3, 17, 41, 99)""",
+select distinct o_custkey as code from orders where o_orderkey in (3, 17, 41, 99)""",
     "trigram_lookup": TRIGRAMS,
     "trigram_index_lookup": TRIGRAMS,
     "orphan_check": """
@@ -369,3 +374,51 @@ where not exists (select 1 from customer c where c.c_custkey = o.o_custkey and c
 }
 
 ORACLES["release_codelist"] = ORACLES["codelist"]
+
+TAGS = f"""
+{CONCEPTS},
+tags as (select row_number() over (order by code) as id, code, description as name, id as code_id from concepts)"""
+
+ORACLES["built_tags"] = f"""
+with {TAGS}
+select id, code, name, 0 as type_id,
+       json_object('code', code, 'code_id', code_id, 'coding_system_id', 9)::varchar as properties
+from tags"""
+
+ORACLES["built_edges"] = f"""
+with {TAGS},
+links as (select distinct cast(o_custkey as varchar) as child, cast(o_custkey // 10 as varchar) as parent
+          from orders where o_orderstatus <> 'P' and o_orderpriority <> '5-LOW'),
+e as (select c.id as child_id, p.id as parent_id from links join tags c on c.code = child join tags p on p.code = parent)
+select row_number() over (order by child_id, parent_id) as id, child_id, parent_id from e"""
+
+ORACLES["built_search"] = f"""
+with {CONCEPTS}, {CODE_LISTS}, {VECTOR_PARTS},
+found as ({lexeme_rows("code, vector", "entries")}),
+grams as (select code, {GRAMS.format("description")} as a, {GRAMS.format("'the 1-URGENT of 100 F'")} as b from concepts)
+select 'text' as kind, code from found where vector = 'search' and lexeme in ('1', 'urgent', 'the')
+group by code having count(distinct lexeme) = 3
+union all
+select 'weight', code from found where vector = 'search' and weight = 'B' and lexeme in ('1', '2', 'high')
+group by code having count(distinct lexeme) = 3
+union all
+select distinct 'any', code from found where vector = 'relation' and lexeme in ('t7', 'v3', 'machinery')
+union all
+select distinct 'target', l.code from lists l join concepts c on c.code = l.code
+where source = 'MeSH' and list_has_any(codes, ['MACHINERY', 'BUILDING'])
+union all
+select 'similar', code from grams where len(list_intersect(a, b))::double / len(list_distinct(list_concat(a, b))) >= 0.6"""
+
+ORACLES["reference_columns"] = """
+with v as (
+  select 'part' as "column", cast(l_partkey as varchar) as value from lineitem
+  where l_partkey not in (select p_partkey from part)
+  union all select 'supplier', cast(l_suppkey * 2 as varchar) from lineitem
+  where l_suppkey * 2 not in (select s_suppkey from supplier)
+  union all select 'source', cast(l_orderkey as varchar) from lineitem
+  where l_orderkey not in (select o_orderkey from orders)
+  union all select 'target', cast(l_orderkey + 7 as varchar) from lineitem
+  where l_orderkey + 7 not in (select o_orderkey from orders))
+select "column", value, count(*) as n from v group by all"""
+
+ORACLES["replaced_table"] = "select p_partkey, p_type, p_size * 2 as p_size from part where p_size > 10"

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,8 +17,9 @@ from termspark.functions import scalar
 from termspark.functions import text as X
 from termspark.operators import checks, filters, lookup, maps, upsert, vectors
 from termspark.operators.numbering import dense_ids
+from termspark.plans import build, indexes
 from termspark.plans.classify import classify_descriptions
-from termspark.plans.codelist import build_codelist, numbered_concepts
+from termspark.plans.codelist import Codelist, build_codelist, numbered_concepts
 from termspark.plans.ontology import number_tags, resolve_edges, tag_vectors
 from termspark.session import stage, staging_path, tune
 from termspark.sources import delimited, manifest, rf2, tables
@@ -49,11 +51,6 @@ def write_tsv(df: DataFrame, label: str, path: str | None = None) -> str:
     return path
 
 
-def positions_text(positions) -> F.Column:
-    """``1A 5B``: positions with their weights as text."""
-    return F.array_join(F.transform(positions, lambda p: F.concat(p["pos"].cast("string"), p["weight"])), " ")
-
-
 # ---------------------------------------------------------------- scans and decoding
 
 
@@ -221,13 +218,15 @@ LAYOUT_TABLE = S.Table(
 
 @query
 def layout_union(spark, sf_dir):
-    """Two files with other column names and order into one table; absent columns get defaults."""
+    """Files with other column names and order under one glob; absent columns get defaults."""
     supplier, customer = table(spark, sf_dir, "supplier"), table(spark, sf_dir, "customer")
-    short = write_tsv(
+    folder = staging_path(spark, "layouts")
+    write_tsv(
         supplier.select(F.col("s_name").alias("NAME"), F.col("s_nationkey").alias("NATION"), F.col("s_suppkey").alias("ID")),
         "short",
+        f"{folder}/short",
     )
-    full = write_tsv(
+    write_tsv(
         customer.select(
             F.col("c_custkey").alias("id"),
             F.col("c_name").alias("name"),
@@ -236,8 +235,9 @@ def layout_union(spark, sf_dir):
             F.col("c_mktsegment").alias("segment"),
         ),
         "full",
+        f"{folder}/full",
     )
-    rows = rf2.read_layout(spark, short, LAYOUT_TABLE).unionByName(rf2.read_layout(spark, full, LAYOUT_TABLE))
+    rows = rf2.read_layout(spark, f"{folder}/*/*.csv", LAYOUT_TABLE)
     return rows.withColumn("id", F.col("id").cast("bigint"))
 
 
@@ -246,10 +246,14 @@ def external_codemap(spark, sf_dir):
     """Concept -> ``{a,b}`` file, loaded and joined per concept: each target once, at its place."""
     part = table(spark, sf_dir, "part")
     path = staging_path(spark, "external")
-    codes = F.concat(F.lit("{"), F.col("p_partkey").cast("string"), F.lit(","), F.col("p_name"), F.lit("}"))
-    part.select(F.col("p_brand").alias("snomed_code"), codes.alias("codes")).write.csv(path, header=True)
-    lists = maps.external_lists(delimited.load_code_lists(spark, path), "MeSH")
-    return maps.ordered_targets(lists).select("code", "source", "target", "ord")
+    name = F.concat(F.lit('"'), "p_name", F.lit(', \\\\ or \\"so\\""'))
+    codes = F.concat(F.lit("{"), F.col("p_partkey").cast("string"), F.lit(", "), name, F.lit(",NULL}"))
+    lists = part.select(F.col("p_brand").alias("snomed_code"), codes.alias("codes"))
+    delimited.export_delimited(lists, path)
+    schema = T.StructType([T.StructField(n, T.StringType()) for n in ("snomed_code", "codes")])
+    loaded = delimited.load_delimited(spark, path, schema, header=False)
+    parsed = loaded.select("snomed_code", scalar.array_text(F.col("codes")).alias("codes"))
+    return maps.ordered_targets(maps.external_lists(parsed, "MeSH")).select("code", "source", "target", "ord")
 
 
 @query
@@ -260,7 +264,7 @@ def delimited_roundtrip(spark, sf_dir):
     delimited.export_delimited(
         customer.select(
             "c_custkey",
-            F.concat(F.lit(' "'), "c_name", F.lit('", '), "c_mktsegment").alias("label"),
+            F.concat(F.lit(' "'), "c_name", F.lit('",\n'), "c_mktsegment").alias("label"),
             F.when(F.col("c_acctbal") < 0, "").otherwise(F.col("c_mktsegment")).alias("segment"),
         ),
         path,
@@ -381,7 +385,7 @@ def smallest_largest(spark, sf_dir):
 def array_texts(spark, sf_dir):
     """``{a,b}`` text to an array and on to blank-separated text; no list counts as empty."""
     part = table(spark, sf_dir, "part")
-    listed = F.concat(F.lit("{"), "p_name", F.lit(","), "p_type", F.lit("}"))
+    listed = F.concat(F.lit('{"'), "p_name", F.lit(', x", '), "p_type", F.lit("}"))
     text = F.when(F.col("p_type") == "PROMO", None).when(F.col("p_type") == "LARGE", "{}").otherwise(listed)
     codes = scalar.array_text(text)
     return part.select("p_partkey", scalar.codes_text(codes).alias("codes"), F.size(scalar.or_empty(codes)).alias("n"))
@@ -485,45 +489,42 @@ def map_components(spark, sf_dir):
 def codemap(spark, sf_dir):
     """Ordered code lists in long form: ``ord`` is the place in the list."""
     feeds = item_feeds(spark, sf_dir)
-    sizes = feeds[0].unionByName(feeds[1])
-    return maps.ordered_targets(maps.best_priority(*feeds), sizes=sizes).select("code", "source", "target", "ord")
+    return maps.ordered_targets(maps.best_priority(*feeds)).select("code", "source", "target", "ord")
 
 
-PRIORITY_COLUMNS = {"urgent": "1-URGENT", "high": "2-HIGH", "medium": "3-MEDIUM", "unset": "4-NOT SPECIFIED"}
+PRIORITY_COLUMNS = {"urgent": "1-URGENT", "high": "2-HIGH", "medium": "3-MEDIUM", "unset": "4-NOT SPECIFIED", "low": "5-LOW"}
+# entries of a list on one wide row
+PAGE_ENTRIES = 4
 
 
 @query
 def codemap_pivot(spark, sf_dir):
-    """Customers with one list of orders per priority; NULL where there is none."""
+    """Customers with one list of orders per priority, in pages; NULL where there is none."""
     orders = table(spark, sf_dir, "orders")
     rank = F.when(F.col("o_orderstatus") == "F", 1).when(F.col("o_orderstatus") == "O", 2).otherwise(3)
     feed = maps.map_feed(orders, "o_custkey", "o_orderpriority", "o_orderkey", rank)
-    lists = maps.list_columns(maps.ordered_targets(maps.best_priority(feed), sizes=feed), PRIORITY_COLUMNS)
+    lists = maps.list_columns(maps.ordered_targets(maps.best_priority(feed)), PRIORITY_COLUMNS, PAGE_ENTRIES)
     customer = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("code"))
     return customer.join(lists, "code", "left").select(
         "code",
-        F.coalesce("chunk", F.lit(0)).alias("chunk"),
+        F.coalesce("page", F.lit(0)).alias("page"),
         *[F.array_join(F.col(c).cast("array<string>"), ",").alias(c) for c in PRIORITY_COLUMNS],
     )
 
 
 @query
 def codelist_upsert(spark, sf_dir):
-    """Last early order per customer, updated from the last urgent order if active and newer."""
+    """Last order before 1996 per customer, updated from the last later order if active."""
     orders = table(spark, sf_dir, "orders").select(
         F.col("o_custkey").alias("code"),
         F.col("o_orderkey").alias("id"),
         F.col("o_totalprice").alias("value"),
         (F.col("o_orderstatus") != "P").alias("active"),
         F.col("o_orderdate").cast("date").alias("effective_time"),
-        "o_orderpriority",
     )
-    early = orders.filter(F.col("effective_time") < "1996-01-01")
-    urgent = orders.filter(F.col("o_orderpriority") == "1-URGENT")
+    early = F.col("effective_time") < "1996-01-01"
     order = ["effective_time", "id"]
-    current, incoming = [
-        upsert.latest_per_key(rows.drop("o_orderpriority"), "code", order) for rows in (early, urgent)
-    ]
+    current, incoming = [upsert.latest_per_key(orders.filter(side), "code", order) for side in (early, ~early)]
     return upsert.upsert(current, incoming)
 
 
@@ -534,8 +535,7 @@ def codelist_upsert(spark, sf_dir):
 def synonym_lexemes(spark, sf_dir):
     """Vector aggregate: all part names of a brand one after the other."""
     part = table(spark, sf_dir, "part")
-    merged = vectors.aggregate_texts(part, "p_brand", "p_partkey", "p_name", config=X.SIMPLE)
-    return merged.select("p_brand", "lexeme", positions_text(F.col("positions")).alias("positions"))
+    return vectors.aggregate_texts(part, "p_brand", "p_partkey", "p_name", config=X.SIMPLE)
 
 
 def part_vectors(spark, sf_dir) -> DataFrame:
@@ -545,15 +545,22 @@ def part_vectors(spark, sf_dir) -> DataFrame:
 
 @query
 def weighted_vector(spark, sf_dir):
-    return vectors.open_positions(part_vectors(spark, sf_dir), ["p_partkey"])
+    return part_vectors(spark, sf_dir)
 
 
 @query
 def reweighted_vector(spark, sf_dir):
-    """Nested vectors, every weight set to C, opened again to posting rows."""
-    nested = vectors.nest(part_vectors(spark, sf_dir), ["p_partkey"], {"vector": "positions"})
-    changed = nested.select("p_partkey", vectors.set_weight(F.col("vector"), "C").alias("vector"))
-    return vectors.unnest(changed, ["p_partkey"], "vector")
+    """Vectors with every weight set to C."""
+    return vectors.set_weight(part_vectors(spark, sf_dir), "C")
+
+
+@query
+def joined_vector(spark, sf_dir):
+    """Two vectors of an owner, one after the other; brands that have no name vector stay."""
+    part = table(spark, sf_dir, "part")
+    first = vectors.text_vectors(part, ["p_partkey"], [(F.col("p_brand"), "A")], X.SIMPLE)
+    second = vectors.text_vectors(part, ["p_partkey"], [(F.col("p_name"), "B")], X.SIMPLE)
+    return vectors.concatenate(first, second, ["p_partkey"])
 
 
 def document_rows(spark, sf_dir, config: str) -> DataFrame:
@@ -564,15 +571,49 @@ def document_rows(spark, sf_dir, config: str) -> DataFrame:
 @query
 def document_vector(spark, sf_dir):
     """Whole documents to lexemes with positions, without stemming."""
-    rows = document_rows(spark, sf_dir, X.SIMPLE)
-    return rows.select("doc_id", "lexeme", positions_text(F.col("positions")).alias("positions"))
+    return document_rows(spark, sf_dir, X.SIMPLE)
 
 
 @query
 def english_vector(spark, sf_dir):
-    """Whole documents with English stop words and stems."""
+    """Positions that hold a lexeme in whole documents, after English stop words.
+
+    A dotted code holds several lexemes at one position. Stems are in ``english_stems``.
+    """
     rows = document_rows(spark, sf_dir, X.ENGLISH)
-    return rows.select("doc_id", "lexeme", positions_text(F.col("positions")).alias("positions"))
+    return rows.groupBy("doc_id", "pos").agg(F.count("*").alias("n"))
+
+
+@query
+def english_stems(spark, sf_dir):
+    """Sentences around the documents' ids in words with published stems."""
+    documents = table(spark, sf_dir, "documents")
+    words = " ".join(STEMS)
+    text = F.concat_ws(" ", F.lit(words), F.col("source"), F.lit("of the"), F.col("lang"), F.lit(words))
+    return vectors.text_vectors(documents, ["doc_id"], [(text, "B")], X.ENGLISH)
+
+
+# --- fixed values: stems published with the algorithm ---
+STEMS = {
+    "consistency": "consist",
+    "consolation": "consol",
+    "conspicuous": "conspicu",
+    "constancy": "constanc",
+    "knackeries": "knackeri",
+    "knavish": "knavish",
+    "kneaded": "knead",
+    "knives": "knive",
+    "knocked": "knock",
+    "hopping": "hop",
+    "generously": "generous",
+    "generate": "generat",
+    "cries": "cri",
+    "ties": "tie",
+    "happy": "happi",
+    "relational": "relat",
+    "adjustment": "adjust",
+}
+# --- end of fixed values ---
 
 
 @query
@@ -580,8 +621,7 @@ def english_part_vector(spark, sf_dir):
     """Part names and types with English stop words and stems."""
     part = table(spark, sf_dir, "part")
     text = F.concat_ws(" ", F.lit("The"), "p_name", F.lit("of"), "p_type")
-    rows = vectors.text_vectors(part, ["p_partkey"], [(F.col("p_brand"), "A"), (text, "B")], X.ENGLISH)
-    return vectors.open_positions(rows, ["p_partkey"])
+    return vectors.text_vectors(part, ["p_partkey"], [(F.col("p_brand"), "A"), (text, "B")], X.ENGLISH)
 
 
 def order_maps(spark, sf_dir) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -609,7 +649,7 @@ def order_maps(spark, sf_dir) -> tuple[DataFrame, DataFrame, DataFrame]:
     return refset, read, mesh
 
 
-def customer_codelist(spark, sf_dir, config: str = X.SIMPLE) -> DataFrame:
+def customer_codelist(spark, sf_dir, config: str = X.SIMPLE) -> Codelist:
     """The whole codelist plan over customers, orders and line items."""
     described = classify_descriptions(order_descriptions(spark, sf_dir), item_refsets(spark, sf_dir))
     refset, read, mesh = order_maps(spark, sf_dir)
@@ -620,14 +660,18 @@ def customer_codelist(spark, sf_dir, config: str = X.SIMPLE) -> DataFrame:
 
 @query
 def codelist(spark, sf_dir):
-    """Codelist rows: concept, lists, and whether the vectors exist."""
+    """Codelist rows: the concepts, and the first page of their lists."""
     return codelist_rows(customer_codelist(spark, sf_dir))
 
 
 @query
-def release_codelist(spark, sf_dir):
-    """The same from release files: written, scanned, filtered, classified and built."""
-    base, release = staging_path(spark, "release"), "release 1"
+def codelist_lists(spark, sf_dir):
+    """The complete code lists in long form."""
+    return customer_codelist(spark, sf_dir).lists.select("code", "source", "ord", "target")
+
+
+def write_codelist_release(spark, sf_dir, base: str, release: str) -> DataFrame:
+    """Customers, orders and line items as the files of a release; returns the customer -> codes table."""
     refset, read, mesh = order_maps(spark, sf_dir)
     refsets = {"OPCS4": "1126441000000105", "ICD-10": "446608001", "ReadCodeV2": "999002721000000108"}
     refset = refset.withColumn("refset_id", scalar.lookup(F.col("map_origin"), refsets)).drop("map_origin")
@@ -636,49 +680,169 @@ def release_codelist(spark, sf_dir):
     for declared, rows in (
         (S.CONCEPT, customer_concepts(spark, sf_dir)),
         (S.DESCRIPTION, order_descriptions(spark, sf_dir)),
+        (S.RELATIONSHIP, customer_links(spark, sf_dir)),
         (S.REFSET_LANG, item_refsets(spark, sf_dir).withColumn("effective_time", day)),
         (S.REFSET_MAP, refset.withColumn("effective_time", day)),
         (S.CTV_MAP, read.withColumn("effective_time", day)),
     ):
         write_release_table(rows, base, release, declared, declared.files[0])
+    return mesh
+
+
+def customer_links(spark, sf_dir) -> DataFrame:
+    """Orders as relationships of their customer to the customer of a tenth of the number."""
+    key = F.col("o_custkey")
+    return table(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").cast("string").alias("id"),
+        F.col("o_orderdate").cast("date").alias("effective_time"),
+        (F.col("o_orderstatus") != "P").alias("active"),
+        key.cast("string").alias("source_id"),
+        F.floor(key / 10).cast("string").alias("destination_id"),
+        F.when(F.col("o_orderpriority") == "5-LOW", "other").otherwise(C.IS_A).alias("type_id"),
+    )
+
+
+@query
+def release_codelist(spark, sf_dir):
+    """The codelist from release files: written, scanned, filtered, classified and built."""
+    base, release = staging_path(spark, "release"), "release 1"
+    mesh = write_codelist_release(spark, sf_dir, base, release)
     raw = rf2.read_release(spark, base, release, C.CATEGORY_FLAGS["SNOMED_ALL"])
     described = stage(classify_descriptions(raw["description"], raw["refset_lang"]), "described")
     built = build_codelist(raw["concept"], described, raw["refset_map"], raw["ctv_map"], mesh, config=X.SIMPLE)
     return codelist_rows(built)
 
 
-def codelist_rows(rows: DataFrame) -> DataFrame:
-    lists = [F.array_join(F.col(c), ",").alias(c) for c in C.CODE_LIST_COLUMNS]
-    return rows.select(
-        "id", "code", "chunk", "description", "case_sig", *lists, F.col("search_vector").isNull().alias("no_search")
-    )
+def codelist_rows(built: Codelist) -> DataFrame:
+    lists = maps.list_columns(built.lists, C.CODE_LIST_COLUMNS, 1000)
+    columns = [F.array_join(F.col(c), ",").alias(c) for c in C.CODE_LIST_COLUMNS]
+    rows = built.concepts.join(lists, "code", "left")
+    return rows.select("id", "code", F.coalesce("page", F.lit(0)).alias("page"), "description", "case_sig", *columns)
 
 
 @query
 def codelist_vectors(spark, sf_dir):
-    """The three vectors of the codelist, one row per lexeme."""
-    rows = customer_codelist(spark, sf_dir)
-    each = [
-        rows.select("code", F.lit(kind).alias("kind"), F.inline(f"{kind}_vector"))
-        for kind in ("search", "synonyms", "relation")
-    ]
-    every = each[0].unionByName(each[1]).unionByName(each[2])
-    return every.select("code", "kind", "lexeme", positions_text(F.col("positions")).alias("positions"))
+    """The three vectors of the codelist, one row per occurrence."""
+    return customer_codelist(spark, sf_dir).vectors
 
 
 @query
 def codelist_english(spark, sf_dir):
-    """The codelist with English stems: lexeme counts of its vectors."""
-    rows = customer_codelist(spark, sf_dir, X.ENGLISH)
-    return rows.select("id", "code", *[F.size(c).alias(c) for c in ("search_vector", "synonyms_vector", "relation_vector")])
+    """The vectors with English stop words and stems."""
+    return customer_codelist(spark, sf_dir, X.ENGLISH).vectors
 
 
 @query
 def tag_vector(spark, sf_dir):
     """Search vectors of ontology tags built from the codelist."""
-    tags = tag_vectors(stage(customer_codelist(spark, sf_dir), "codelist"), X.SIMPLE)
-    rows = tags.select("code", F.inline("search_vector"))
-    return rows.select("code", "lexeme", positions_text(F.col("positions")).alias("positions"))
+    built = customer_codelist(spark, sf_dir)
+    return tag_vectors(built.concepts, stage(built.vectors, "vectors"), X.SIMPLE)
+
+
+@contextmanager
+def built_release(spark, sf_dir):
+    """Inside, every stored table of a whole build from release files is in the current database.
+
+    Built once for a session and a folder of tables, in a database below the staging folder.
+    """
+    key = (spark.sparkContext.applicationId, sf_dir)
+    before = spark.catalog.currentDatabase()
+    if key not in _built:
+        base, name = staging_path(spark, "release"), f"build_{uuid.uuid4().hex}"
+        mesh = write_codelist_release(spark, sf_dir, base, "release 1")
+        spark.sql(f"CREATE DATABASE {name} LOCATION '{staging_path(spark, 'database')}'")
+        spark.catalog.setCurrentDatabase(name)
+        try:
+            category = C.CATEGORY_FLAGS["SNOMED_ALL"]
+            build.build_release(spark, base, [("release 1", category)], mesh=mesh, config=X.SIMPLE)
+        finally:
+            spark.catalog.setCurrentDatabase(before)
+        _built[key] = name
+    spark.catalog.setCurrentDatabase(_built[key])
+    try:
+        yield
+    finally:
+        spark.catalog.setCurrentDatabase(before)
+
+
+# databases of the builds, by session and folder of tables
+_built: dict[tuple[str, str], str] = {}
+
+
+@query
+def built_tags(spark, sf_dir):
+    """Tags of the whole build: scan, store, classify, codelist, ontology."""
+    with built_release(spark, sf_dir):
+        return spark.table(S.TAG_TABLE).select("id", "code", "name", "type_id", "properties")
+
+
+@query
+def built_edges(spark, sf_dir):
+    """Edges of the whole build: active is-a links between tags, numbered."""
+    with built_release(spark, sf_dir):
+        return spark.table(S.EDGE_TABLE)
+
+
+@query
+def built_search(spark, sf_dir):
+    """Text, code and similarity searches on the stored posting tables."""
+    with built_release(spark, sf_dir):
+        found = [
+            ("text", indexes.search_text(spark, "1 URGENT the urgent", config=X.SIMPLE)),
+            ("weight", indexes.search_text(spark, "1 2 HIGH", vector="search", weights="B", config=X.SIMPLE)),
+            ("any", indexes.search_text(spark, "t7 v3 machinery", vector="relation", every=False, config=X.SIMPLE)),
+            ("target", indexes.search_targets(spark, "MeSH", ["MACHINERY", "BUILDING"])),
+            ("similar", indexes.search_similar(spark, "the 1-URGENT of 100 F", threshold=0.6).select("code")),
+        ]
+    rows = [df.select(F.lit(kind).alias("kind"), "code") for kind, df in found]
+    every = rows[0]
+    for one in rows[1:]:
+        every = every.unionByName(one)
+    return every
+
+
+@query
+def reference_columns(spark, sf_dir):
+    """Every declared reference of line items that finds no target, in one scan."""
+    items = table(spark, sf_dir, "lineitem").select(
+        F.col("l_partkey").cast("string").alias("part"),
+        (F.col("l_suppkey") * 2).cast("string").alias("supplier"),
+        F.col("l_orderkey").cast("string").alias("source"),
+        (F.col("l_orderkey") + 7).cast("string").alias("target"),
+    )
+    known = {
+        "part": table(spark, sf_dir, "part").select(F.col("p_partkey").cast("string").alias("id")),
+        "supplier": table(spark, sf_dir, "supplier").select(F.col("s_suppkey").cast("string").alias("id")),
+        "order": table(spark, sf_dir, "orders").select(F.col("o_orderkey").cast("string").alias("id")),
+    }
+    return checks.declared_orphans({"item": items, **known}, ITEM_REFERENCES)
+
+
+ITEM_REFERENCES = S.Table(
+    "item",
+    (
+        S.Column("part", "text", (), refers_to=("part", "id")),
+        S.Column("supplier", "text", (), refers_to=("supplier", "id")),
+        S.Column("source", "text", (), refers_to=("order", "id")),
+        S.Column("target", "text", (), refers_to=("order", "id")),
+    ),
+    folder="",
+    files=(),
+    category=0,
+    trim=False,
+)
+
+
+@query
+def replaced_table(spark, sf_dir):
+    """A stored table replaced from a plan that reads it."""
+    part = table(spark, sf_dir, "part").select("p_partkey", "p_type", "p_size")
+    name = f"replaced_{uuid.uuid4().hex}"
+    tables.create(part, name)
+    tables.replace(spark.table(name).filter(F.col("p_size") > 10).withColumn("p_size", F.col("p_size") * 2), name)
+    rows = stage(spark.table(name), "replaced")
+    spark.sql(f"DROP TABLE {name}")
+    return rows
 
 
 # ---------------------------------------------------------------- ontology
@@ -733,9 +897,8 @@ def text_match(spark, sf_dir):
 def posting_match(spark, sf_dir):
     """Documents that hold all lexemes of a query, from postings."""
     documents = table(spark, sf_dir, "documents")
-    rows = vectors.text_vectors(documents, ["doc_id"], [(F.col("source"), "A"), (F.col("text"), "D")], X.SIMPLE)
-    postings = vectors.open_positions(rows, ["doc_id"])
-    return lookup.match_lexemes(postings, ["and", "the"], owner="doc_id", weights="D")
+    postings = vectors.text_vectors(documents, ["doc_id"], [(F.col("source"), "A"), (F.col("text"), "D")], X.SIMPLE)
+    return lookup.match_lexemes(postings, ["and", "the", "and"], owner="doc_id", weights="D")
 
 
 @query
@@ -746,12 +909,16 @@ def array_lookup(spark, sf_dir):
 
 @query
 def list_overlap(spark, sf_dir):
-    """Customers whose wide list of urgent orders overlaps a set of codes."""
+    """Customers whose wide list of orders of any priority overlaps a set of codes."""
     orders = table(spark, sf_dir, "orders")
     feed = maps.map_feed(orders, "o_custkey", "o_orderpriority", "o_orderkey", F.lit(1))
-    ordered = maps.ordered_targets(maps.best_priority(feed), sizes=feed)
-    lists = maps.list_columns(ordered.withColumn("target", F.col("target").cast("string")), {"urgent": "1-URGENT"})
-    return lists.filter(lookup.list_overlaps(F.col("urgent"), ["3", "17", "41", "99"])).select("code").distinct()
+    ordered = maps.ordered_targets(maps.best_priority(feed)).withColumn("target", F.col("target").cast("string"))
+    lists = maps.list_columns(ordered, PRIORITY_COLUMNS, PAGE_ENTRIES)
+    wanted = ["3", "17", "41", "99"]
+    hit = F.lit(False)
+    for column in PRIORITY_COLUMNS:
+        hit = hit | F.coalesce(lookup.list_overlaps(F.col(column), wanted), F.lit(False))
+    return lists.filter(hit).select("code").distinct()
 
 
 @query

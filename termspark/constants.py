@@ -57,11 +57,6 @@ CATEGORY_FLAGS = {"SNOMED_NONE": 1, "SNOMED_RELEASE": 2, "SNOMED_READ_MAP": 4, "
 CATEGORY_ITEMS = {2: 1799, 4: 9}
 MANIFEST_VERSION = "1"
 
-# --- fixed values: documented limits of a PostgreSQL text-search vector ---
-MAX_POSITION = 16383
-MAX_POSITIONS_PER_LEXEME = 256
-MAX_LEXEME_BYTES = 2046
-
 # --- fixed values: the classic English stop list ---
 ENGLISH_STOP_WORDS = (
     "i me my myself we our ours ourselves you your yours yourself yourselves he him his himself "
@@ -73,8 +68,3 @@ ENGLISH_STOP_WORDS = (
     "most other some such no nor not only own same so than too very s t can will just don "
     "should now"
 ).split()
-
-# Largest group one task may hold whole (rows). Larger groups are range-split; array columns of
-# larger groups are published in several rows of at most this many entries. Not a fixed value of
-# the data: any size above MAX_POSITION gives the same results.
-WHOLE_GROUP_ROWS = 100_000

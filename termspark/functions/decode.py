@@ -36,10 +36,6 @@ def decode_uuid(text: Column) -> Column:
     return F.when(low.rlike(UUID_SPELLINGS), F.concat_ws("-", *parts))
 
 
-def encode_uuid(value: Column) -> Column:
-    return F.coalesce(value, F.lit(""))
-
-
 def decode_flag(text: Column, strict: bool = True) -> Column:
     """Boolean text; missing or empty is false. Unknown text raises, or is false when not strict."""
     flag = F.trim(text).try_cast("boolean")

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
 from itertools import chain
 
 from pyspark.sql import Column
@@ -16,16 +15,6 @@ def lookup(key: Column, values: dict) -> Column:
     return F.create_map(*[F.lit(v) for v in chain.from_iterable(values.items())])[key]
 
 
-def description_class(acceptability: Column, kind: Column) -> Column:
-    """F, P, S or D from one language-refset row and the description type."""
-    return (
-        F.when((acceptability == C.PREFERRED) & (kind == C.FULLY_SPECIFIED_NAME), "F")
-        .when((acceptability == C.PREFERRED) & (kind == C.SYNONYM), "P")
-        .when((acceptability == C.ACCEPTABLE) & (kind == C.SYNONYM), "S")
-        .when(kind == C.DEFINITION, "D")
-    )
-
-
 def case_number(case_id: Column, numbers: dict | None = None, default: int = C.CASE_DEFAULT) -> Column:
     """Case significance id to its stored number; unknown ids get the default."""
     return F.coalesce(lookup(case_id, numbers or C.CASE_NUMBERS), F.lit(default))
@@ -87,16 +76,26 @@ def codes_text(codes: Column) -> Column:
 
 
 def array_text(text: Column) -> Column:
-    """``{a,b}`` text to an array; ``{}`` is the empty array, NULL stays NULL."""
-    inner = F.regexp_replace(F.trim(text), r"^\{|\}$", "")
-    quoted = F.transform(F.split(inner, ","), lambda x: F.regexp_replace(F.trim(x), '^"|"$', ""))
-    return F.when(inner == "", F.array().cast("array<string>")).otherwise(quoted)
+    """``{a,"b, c",NULL}`` text to an array; ``{}`` is the empty array, NULL stays NULL.
+
+    A quoted element may hold commas, braces, and quotes and backslashes behind a backslash; blanks
+    around elements do not count; an unquoted ``NULL`` of any case is one.
+    """
+    inner = F.regexp_replace(F.trim(text), r"(?s)^\{(.*)\}$", "$1")
+    # the comma in front of each element makes empty matches impossible
+    listed = F.regexp_extract_all(F.concat(F.lit(","), inner), F.lit(r'(?s),\s*("(?:[^"\\]|\\.)*"|(?:[^,"\\]|\\.)*)'), 1)
+
+    def plain(x: Column) -> Column:
+        trimmed = F.trim(x)
+        quoted = trimmed.startswith('"')
+        value = F.when(quoted, F.regexp_replace(trimmed, r'(?s)^"(.*)"$', "$1")).otherwise(trimmed)
+        value = F.regexp_replace(value, r"(?s)\\(.)", "$1")
+        return F.when(quoted | (F.upper(trimmed) != "NULL"), value)
+
+    return F.when(F.trim(inner) == "", F.array().cast("array<string>")).otherwise(F.transform(listed, plain))
 
 
 def has_flag(value: Column, flag: int) -> Column:
     """All bits of ``flag`` are set."""
     return value.bitwiseAND(F.lit(flag)) == flag
 
-
-def all_of(conditions: list[Column]) -> Column:
-    return reduce(lambda a, b: a & b, conditions)

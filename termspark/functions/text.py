@@ -10,7 +10,6 @@ from pyspark import cloudpickle
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from termspark import constants as C
 from termspark.functions import english
 
 # workers get these functions with the job, so the package need not be installed on them
@@ -39,45 +38,18 @@ def lexize(tokens: Column, config: str = ENGLISH) -> Column:
     raise ValueError(f"unknown text configuration {config!r}")
 
 
-def term_count(text: Column) -> Column:
-    """Size of a text in terms of the usual bound of 256 characters, at least 1."""
-    return 1 + F.floor(F.length(F.coalesce(text, F.lit(""))) / 256)
-
-
 def last_position(lexemes: Column) -> Column:
     """Highest position that holds a lexeme; 0 for none."""
     kept = F.transform(lexemes, lambda x, i: F.when(x.isNotNull(), i + 1))
     return F.coalesce(F.array_max(kept), F.lit(0))
 
 
-def saturate(position: Column) -> Column:
-    """Positions stop growing at the documented limit."""
-    return F.least(position, F.lit(C.MAX_POSITION)).cast("int")
-
-
 def pieces(lexeme: Column) -> Column:
     """The lexeme, and for a dotted code also its pieces."""
     whole = F.array(lexeme)
     return F.when(lexeme.contains("."), F.array_union(whole, F.split(lexeme, r"\."))).otherwise(whole)
 
 
-def fits(lexeme: Column) -> Column:
-    """Lexemes over the documented size limit are not indexed."""
-    return F.octet_length(lexeme) <= C.MAX_LEXEME_BYTES
-
-
-def as_vector(lexemes: Column, weight: str) -> Column:
-    """Lexeme array as vector entries, one per token, in token order."""
-    placed = F.transform(
-        lexemes,
-        lambda x, i: F.struct(
-            x.alias("lexeme"),
-            F.array(F.struct(saturate(i + 1).alias("pos"), F.lit(weight).alias("weight"))).alias("positions"),
-        ),
-    )
-    return F.filter(placed, lambda e: e["lexeme"].isNotNull())
-
-
 def trigrams(text: Column) -> Column:
     """Distinct trigrams of the words, each padded with two blanks before and one after."""
     words = F.regexp_extract_all(F.lower(F.coalesce(text, F.lit(""))), F.lit(r"[\p{L}\p{N}]+"), 0)

@@ -33,18 +33,20 @@ def unreferenced(df: DataFrame, column: str, pointing: DataFrame, pointing_colum
 def declared_orphans(tables: dict[str, DataFrame], declared: Table) -> DataFrame:
     """(column, value, n) for every declared reference of a raw table that finds no target.
 
-    Values are counted before the join, so a value in a third of all rows is one row in it.
+    All reference columns are read in one scan and counted in one aggregation, so a value in a third
+    of all rows is one row in the join; each target table is joined once.
     """
-    df = tables[declared.name]
+    references = [c for c in declared.columns if c.refers_to is not None]
+    pairs = F.array(*[F.struct(F.lit(c.name).alias("column"), F.col(c.name).cast("string").alias("value")) for c in references])
+    values = tables[declared.name].select(F.inline(pairs)).filter(F.col("value") != "")
+    values = values.groupBy("column", "value").agg(F.count("*").alias("n"))
     found = None
-    for column in declared.columns:
-        if column.refers_to is None:
-            continue
-        table, key = column.refers_to
-        values = df.filter(F.col(column.name) != "").groupBy(F.col(column.name).alias("value"))
-        known = tables[table].select(F.col(key).alias("value"))
-        lost = values.agg(F.count("*").alias("n")).join(known, "value", "left_anti")
-        lost = lost.select(F.lit(column.name).alias("column"), "value", "n")
+    for target in sorted({c.refers_to for c in references}):
+        table, key = target
+        names = [c.name for c in references if c.refers_to == target]
+        known = tables[table].select(F.col(key).cast("string").alias("value"))
+        lost = values.filter(F.col("column").isin(*names)).join(known, "value", "left_anti")
+        lost = lost.select("column", "value", "n")
         found = lost if found is None else found.unionByName(lost)
     return found
 

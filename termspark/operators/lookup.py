@@ -38,7 +38,11 @@ def match_lexemes(
     every: bool = True,
     weights: str | None = None,
 ) -> DataFrame:
-    """Owners that hold all (or any) of the lexemes, optionally only at the given weights."""
+    """Owners that hold all (or any) of the lexemes, optionally only at the given weights.
+
+    A lexeme given twice counts once; no lexemes find nothing.
+    """
+    lexemes = sorted(set(lexemes))
     hits = postings.filter(F.col("lexeme").isin(*lexemes))
     if weights is not None:
         hits = hits.filter(F.col("weight").isin(*weights))
@@ -56,19 +60,6 @@ def has_lexemes(tokens: Column, lexemes: list[str], every: bool = True) -> Colum
     return F.size(F.array_except(wanted, tokens)) == 0
 
 
-def vector_has(vector: Column, lexemes: list[str], weights: str = "ABCD") -> Column:
-    """All lexemes are in a nested vector at one of the weights."""
-
-    def held(lexeme: str) -> Column:
-        weighted = lambda e: F.exists(e["positions"], lambda p: p["weight"].isin(*weights))
-        return F.exists(vector, lambda e: (e["lexeme"] == lexeme) & weighted(e))
-
-    hit = F.lit(True)
-    for lexeme in lexemes:
-        hit = hit & held(lexeme)
-    return hit
-
-
 def owners_of_codes(ordered: DataFrame, source, targets: list, owner: str = "code") -> DataFrame:
     """Concepts whose list for one coding system holds any of the targets (reverse lookup)."""
     hits = ordered.filter((F.col("source") == source) & F.col("target").isin(*targets))

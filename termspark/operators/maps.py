@@ -9,7 +9,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from termspark.constants import WHOLE_GROUP_ROWS
 from termspark.functions import scalar
 from termspark.operators.numbering import ordinals
 
@@ -59,15 +58,9 @@ def best_priority(*feeds: DataFrame) -> DataFrame:
     return first.groupBy("code", "source", "target").agg(F.min("priority").alias("priority"))
 
 
-def ordered_targets(
-    best: DataFrame, whole_group_rows: int = WHOLE_GROUP_ROWS, sizes: DataFrame | None = None
-) -> DataFrame:
-    """Adds ``ord``: the place of a target in its (code, source) list, by priority, then target.
-
-    ``sizes`` may be the raw feeds: list lengths are then bounded without building the lists first.
-    """
-    group, order = ["code", "source"], ["priority", "target"]
-    return ordinals(best, group, order, "ord", whole_group_rows, sizes)
+def ordered_targets(best: DataFrame) -> DataFrame:
+    """Adds ``ord``: the place of a target in its (code, source) list, by priority, then target."""
+    return ordinals(best, ["code", "source"], ["priority", "target"], "ord")
 
 
 def external_lists(
@@ -86,17 +79,15 @@ def external_lists(
     )
 
 
-def list_columns(
-    ordered: DataFrame, columns: dict[str, str], list_rows: int = WHOLE_GROUP_ROWS
-) -> DataFrame:
-    """One row per code with one array per coding system, NULL where a system has no entry.
+def list_columns(ordered: DataFrame, columns: dict[str, str], page_entries: int) -> DataFrame:
+    """Rows (code, page) with one array per coding system, NULL where a system has no entry there.
 
     ``columns`` maps output column to source value. Only the given sources are pivoted, in one
-    aggregation. A list longer than ``list_rows`` goes on in rows ``chunk`` = 1, 2, ... of the same
-    code, so that no row, group or task holds an unbounded list.
+    aggregation. Entry n of any list stands on page (n - 1) / ``page_entries``, so that no row holds
+    an unbounded list; the long form needs no pages.
     """
-    chunked = ordered.filter(F.col("source").isin(*columns.values())).withColumn(
-        "chunk", F.floor((F.col("ord") - 1) / list_rows).cast("int")
+    paged = ordered.filter(F.col("source").isin(*columns.values())).withColumn(
+        "page", F.floor((F.col("ord") - 1) / page_entries)
     )
     entry = F.struct("ord", "target")
 
@@ -106,4 +97,4 @@ def list_columns(
         texts = F.transform(F.sort_array(listed), lambda e: e["target"])
         return F.when(F.max(here), texts)
 
-    return chunked.groupBy("code", "chunk").agg(*[one(s).alias(c) for c, s in columns.items()])
+    return paged.groupBy("code", "page").agg(*[one(s).alias(c) for c, s in columns.items()])

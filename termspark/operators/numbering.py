@@ -1,26 +1,30 @@
 """Dense ids and running totals without a single-task window.
 
 A global or per-group order is spread over range partitions; only one small total per partition
-is combined afterwards.
+is combined afterwards. Every table and group goes the same way, whatever its size.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from termspark.constants import WHOLE_GROUP_ROWS
 from termspark.session import stage
 
 # --- fixed value: monotonically_increasing_id keeps the partition above this bit ---
 _PARTITION_BIT = 33
 
 
-def _ordered_pieces(df: DataFrame, keys: list[Column]) -> DataFrame:
+def _ordered_pieces(
+    df: DataFrame, keys: list[Column], after: Callable[[DataFrame], DataFrame] | None = None
+) -> DataFrame:
     """Range-sorted rows with ``_piece`` (partition) and ``_row`` (place inside it).
 
-    Staged, because range limits are sampled anew each time a plan runs.
+    Staged, because range limits are sampled anew each time a plan runs. ``after`` is work on single
+    rows that is done once the rows are in place, so that the sampling does not do it as well.
     """
     placed = (
         df.repartitionByRange(*keys)
@@ -28,8 +32,8 @@ def _ordered_pieces(df: DataFrame, keys: list[Column]) -> DataFrame:
         .withColumn("_at", F.monotonically_increasing_id())
         .withColumn("_piece", F.shiftright("_at", _PARTITION_BIT))
         .withColumn("_row", F.col("_at").bitwiseAND(F.lit((1 << _PARTITION_BIT) - 1)))
-    )
-    return stage(placed.drop("_at"), "ordered")
+    ).drop("_at")
+    return stage(after(placed) if after else placed, "ordered")
 
 
 def dense_ids(df: DataFrame, order: list[Column], out: str = "id") -> DataFrame:
@@ -49,20 +53,17 @@ def dense_ids(df: DataFrame, order: list[Column], out: str = "id") -> DataFrame:
     )
 
 
-def large_groups(
-    df: DataFrame,
-    group: list[str],
-    whole_group_rows: int = WHOLE_GROUP_ROWS,
-    size: Column | None = None,
-) -> DataFrame | None:
-    """The groups of more than ``whole_group_rows`` rows with ``n``, staged; None if there are none.
+def _join_groups(df: DataFrame, groups: DataFrame, keys: list[str]) -> DataFrame:
+    """Join on group keys, with NULL as a group like any other."""
+    named = groups.select(*[F.col(k).alias(f"_key_{k}") for k in keys], *[c for c in groups.columns if c not in keys])
+    same = [F.col(k).eqNullSafe(F.col(f"_key_{k}")) for k in keys]
+    return df.join(named, same).drop(*[f"_key_{k}" for k in keys])
 
-    ``size`` counts a row as more than one, for long texts. One aggregation, combined before the
-    shuffle; its result stays distributed.
-    """
-    total = F.count("*") if size is None else F.sum(size)
-    counted = df.groupBy(*group).agg(total.alias("n")).filter(F.col("n") > whole_group_rows)
-    return None if counted.isEmpty() else stage(counted, "large-groups")
+
+def _before(totals: list[str], group: list[str], pieces: DataFrame) -> DataFrame:
+    """``pieces`` with the sums of each total over the earlier pieces of the group, as ``_start_...``."""
+    earlier = Window.partitionBy(*group).orderBy("_piece").rowsBetween(Window.unboundedPreceding, -1)
+    return pieces.withColumns({f"_start_{t}": F.coalesce(F.sum(f"_sum_{t}").over(earlier), F.lit(0)) for t in totals})
 
 
 def running_totals(
@@ -70,79 +71,33 @@ def running_totals(
     group: list[str],
     order: list[str],
     totals: dict[str, Column],
-    large: DataFrame | None,
+    after: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """Per group, the sum of each value over the rows before this one (``order`` unique inside).
 
-    Groups use a plain window, but for the ``large`` ones (see ``large_groups``): those are cut into
-    range pieces, so that no task ever holds such a group.
+    Rows are cut into range pieces, so that no task ever holds a large group. ``totals`` may use
+    columns that ``after`` adds to the rows in place.
     """
-    if large is None:
-        return _window_totals(df, group, order, totals)
-    small_rows = _join_groups(df, large, group, "left_anti")
-    large_rows = _join_groups(df, large, group, "left_semi")
-    return _window_totals(small_rows, group, order, totals).unionByName(
-        _piece_totals(large_rows, group, order, totals)
-    )
-
-
-def _join_groups(df: DataFrame, groups: DataFrame, keys: list[str], how: str) -> DataFrame:
-    """Join on group keys, with NULL as a group like any other."""
-    named = groups.select(*[F.col(k).alias(f"_key_{k}") for k in keys], *[c for c in groups.columns if c not in keys])
-    same = [F.col(k).eqNullSafe(F.col(f"_key_{k}")) for k in keys]
-    joined = df.join(named, same, how)
-    return joined.drop(*[f"_key_{k}" for k in keys]) if how == "inner" else joined
-
-
-def _window_totals(df: DataFrame, group, order, totals) -> DataFrame:
-    before = Window.partitionBy(*group).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    return df.withColumns(
-        {out: F.coalesce(F.sum(value).over(before), F.lit(0)) for out, value in totals.items()}
-    )
-
-
-def _piece_totals(df: DataFrame, group, order, totals) -> DataFrame:
-    keys = [F.col(c) for c in (*group, *order)]
-    placed = _ordered_pieces(df, keys)
-    sums = placed.groupBy(*group, "_piece").agg(
-        *[F.sum(value).alias(f"_sum_{out}") for out, value in totals.items()]
-    )
-    earlier = (
-        Window.partitionBy(*group).orderBy("_piece").rowsBetween(Window.unboundedPreceding, -1)
-    )
-    starts = sums.select(
-        *group,
-        "_piece",
-        *[
-            F.coalesce(F.sum(f"_sum_{out}").over(earlier), F.lit(0)).alias(f"_start_{out}")
-            for out in totals
-        ],
-    )
-    inside = (
-        Window.partitionBy(*group, "_piece").orderBy("_row").rowsBetween(Window.unboundedPreceding, -1)
-    )
+    placed = _ordered_pieces(df, [F.col(c) for c in (*group, *order)], after)
+    sums = placed.groupBy(*group, "_piece").agg(*[F.sum(value).alias(f"_sum_{out}") for out, value in totals.items()])
+    starts = _before(list(totals), group, sums).drop(*[f"_sum_{out}" for out in totals])
+    inside = Window.partitionBy(*group, "_piece").orderBy("_row").rowsBetween(Window.unboundedPreceding, -1)
     counted = placed.withColumns(
         {out: F.coalesce(F.sum(value).over(inside), F.lit(0)) for out, value in totals.items()}
     )
-    joined = _join_groups(counted, starts, [*group, "_piece"], "inner")
-    return joined.select(
-        *df.columns, *[(F.col(out) + F.col(f"_start_{out}")).alias(out) for out in totals]
-    )
+    joined = _join_groups(counted, starts, [*group, "_piece"])
+    kept = [c for c in placed.columns if c not in ("_piece", "_row")]
+    return joined.select(*kept, *[(F.col(out) + F.col(f"_start_{out}")).alias(out) for out in totals])
 
 
-def ordinals(
-    df: DataFrame,
-    group: list[str],
-    order: list[str],
-    out: str = "ord",
-    whole_group_rows: int = WHOLE_GROUP_ROWS,
-    sizes: DataFrame | None = None,
-) -> DataFrame:
+def ordinals(df: DataFrame, group: list[str], order: list[str], out: str = "ord") -> DataFrame:
     """``row_number() over (partition by group order by order)``, safe for very large groups.
 
-    Group sizes are counted on ``sizes``, any cheaper table with at least as many rows per group, or
-    else on ``df``.
+    One range sort; a group's rows stand together in each piece, so a row's number follows from
+    where its group begins there.
     """
-    large = large_groups(df if sizes is None else sizes, group, whole_group_rows)
-    counted = running_totals(df, group, order, {out: F.lit(1)}, large)
-    return counted.withColumn(out, F.col(out) + 1)
+    placed = _ordered_pieces(df, [F.col(c) for c in (*group, *order)])
+    pieces = placed.groupBy(*group, "_piece").agg(F.count("*").alias("_sum_n"), F.min("_row").alias("_first"))
+    joined = _join_groups(placed, _before(["n"], group, pieces), [*group, "_piece"])
+    number = F.col("_row") - F.col("_first") + F.col("_start_n") + 1
+    return joined.select(*df.columns, number.alias(out))

@@ -1,8 +1,7 @@
-"""Weighted text vectors: the long form, concatenation, and the nested column.
+"""Weighted text vectors in long form: one row per occurrence of a lexeme.
 
-The long form has one row per (owner, lexeme) with sorted positions. Nested vectors are arrays of
-``(lexeme, positions)``; the documented limits of 16383 for a position and 256 positions per lexeme
-bound every group below.
+A vector is the rows ``(keys, lexeme, pos, weight)`` of its owner. Every position of every lexeme is
+kept, whatever its number or length, and nothing is ever collected per lexeme or per owner.
 """
 
 from __future__ import annotations
@@ -10,108 +9,62 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from termspark.constants import MAX_POSITION, MAX_POSITIONS_PER_LEXEME, WHOLE_GROUP_ROWS
 from termspark.functions import text as X
-from termspark.operators.numbering import large_groups, running_totals
+from termspark.operators.numbering import running_totals
 
-VECTOR_TYPE = "array<struct<lexeme:string,positions:array<struct<pos:int,weight:string>>>>"
 
-
-def set_weight(vector: Column, weight: str) -> Column:
-    """Give every position of a nested vector one weight."""
-    return F.transform(
-        vector,
-        lambda e: F.struct(
-            e["lexeme"].alias("lexeme"),
-            F.transform(
-                e["positions"], lambda p: F.struct(p["pos"].alias("pos"), F.lit(weight).alias("weight"))
-            ).alias("positions"),
-        ),
-    )
+def set_weight(rows: DataFrame, weight: str) -> DataFrame:
+    """Give every position of the vectors one weight."""
+    return rows.withColumn("weight", F.lit(weight))
 
 
-def top_position(vector: Column) -> Column:
-    """Highest position in a nested vector; 0 when empty or NULL."""
-    tops = F.transform(vector, lambda e: F.array_max(F.transform(e["positions"], lambda p: p["pos"])))
-    return F.coalesce(F.array_max(tops), F.lit(0))
+def top_positions(rows: DataFrame, keys: list[str], out: str = "top") -> DataFrame:
+    """(keys, out): the highest position of each vector; combined before the shuffle."""
+    return rows.groupBy(*keys).agg(F.max("pos").alias(out))
 
 
-def concatenate(df: DataFrame, keys: list[str], parts: list[tuple[Column, Column, str]]) -> DataFrame:
-    """Entry rows (keys, lexeme, pos, weight) of nested vectors set one after the other.
+def shift(rows: DataFrame, keys: list[str], offsets: DataFrame, offset: str) -> DataFrame:
+    """Vectors with their positions moved by the owner's offset; an owner without one stays in place.
 
-    ``parts`` are (vector, offset, weight): positions are shifted by the offset, weights replaced.
+    ``offsets`` is unique by ``keys``. An owner of very many rows is a skewed join key against one row.
     """
-    each = [
-        F.struct(v.alias("_vector"), at.cast("int").alias("_offset"), F.lit(w).alias("_weight")) for v, at, w in parts
-    ]
-    rows = df.select(*keys, F.inline(F.array(*each)))
-    rows = rows.select(*keys, "_offset", "_weight", F.inline("_vector"))
-    rows = rows.select(*keys, "lexeme", "_offset", "_weight", F.inline("positions"))
-    return rows.select(
-        *keys, "lexeme", X.saturate(F.col("pos") + F.col("_offset")).alias("pos"), F.col("_weight").alias("weight")
-    )
-
-
-def place_number(pos: Column, weight: Column) -> Column:
-    """Position and weight as one small number that sorts by position, then weight."""
-    return (pos * 4 + F.ascii(weight) - F.ascii(F.lit("A"))).cast("int")
+    moved = rows.join(offsets.select(*keys, F.col(offset).alias("_offset")), keys, "left")
+    return moved.withColumn("pos", F.col("pos") + F.coalesce("_offset", F.lit(0))).drop("_offset")
 
 
-def tidy_positions(numbers: Column) -> Column:
-    """Sorted (pos, weight) from place numbers, cut at the documented number of positions.
-
-    Only the last possible position can come several times; its highest weight stays.
-    """
-    ordered = F.sort_array(numbers)
-    last = F.lit(4 * MAX_POSITION)
-    below = F.filter(ordered, lambda n: n < last)
-    at_last = F.slice(F.filter(ordered, lambda n: n >= last), 1, 1)
-    kept = F.when(F.array_max(ordered) >= last, F.concat(below, at_last)).otherwise(ordered)
-    return F.transform(
-        F.slice(kept, 1, MAX_POSITIONS_PER_LEXEME),
-        lambda n: F.struct(
-            F.shiftright(n, 2).alias("pos"),
-            F.substring(F.lit("ABCD"), n.bitwiseAND(F.lit(3)) + 1, F.lit(1)).alias("weight"),
-        ),
-    )
+def concatenate(first: DataFrame, second: DataFrame, keys: list[str]) -> DataFrame:
+    """Vectors set one after the other: the second goes on from the highest position of the first."""
+    return first.unionByName(shift(second, keys, top_positions(first, keys), "top"))
 
 
 def spread_tokens(df: DataFrame, keys: list[str], lexemes: str, weight: str, offset: str) -> DataFrame:
     """One row per lexeme of each row's token array: (keys, lexeme, pos, weight).
 
-    A dotted code also stands as its pieces. Stop words (NULL) and oversized lexemes are left out.
-    The outer forms keep the optimizer from adding a size filter that would tokenise twice.
+    A dotted code also stands as its pieces. Stop words (NULL) are left out. The outer forms keep the
+    optimizer from adding a size filter that would tokenise twice.
     """
     rows = df.select(*keys, weight, offset, F.posexplode_outer(lexemes).alias("_place", "_whole"))
     rows = rows.filter(F.col("_whole").isNotNull())
     return rows.select(
         *keys,
         F.explode_outer(X.pieces(F.col("_whole"))).alias("lexeme"),
-        X.saturate(F.col("_place") + 1 + F.col(offset)).alias("pos"),
+        (F.col("_place") + 1 + F.col(offset).cast("bigint")).alias("pos"),
         F.col(weight).alias("weight"),
-    ).filter(X.fits(F.col("lexeme")))
-
-
-def merge_entries(rows: DataFrame, keys: list[str]) -> DataFrame:
-    """(keys, lexeme, positions) from entry rows; combined before the shuffle and bounded by the
-    position limit."""
-    number = place_number(F.col("pos"), F.col("weight"))
-    merged = rows.groupBy(*keys, "lexeme").agg(F.collect_set(number).alias("_found"))
-    return merged.select(*keys, "lexeme", tidy_positions(F.col("_found")).alias("positions"))
+    )
 
 
 def text_vectors(
     df: DataFrame, keys: list[str], parts: list[tuple[Column, str]], config: str = X.ENGLISH
 ) -> DataFrame:
-    """Vector of several texts of one row, one after the other: (keys, lexeme, positions).
+    """Vector of several texts of one row, one after the other: (keys, lexeme, pos, weight).
 
-    ``parts`` are (text, weight); each part's positions go on from the highest one before it.
-    ``keys`` is unique per row. The texts are spread by key while they are still texts, the smallest
-    form; all later steps stay in that partitioning.
+    ``parts`` are (text, weight); each part's positions go on from the highest one before it. Each row
+    is worked on where it is: there is no shuffle.
     """
     names = [f"_part{i}" for i in range(len(parts))]
-    texts = df.select(*keys, *[text.alias(n) for n, (text, _) in zip(names, parts)]).repartition(*keys)
-    lexed = texts.select(*keys, *[X.lexize(X.tokenize(F.col(n)), config).alias(n) for n in names])
+    lexed = df.select(
+        *keys, *[X.lexize(X.tokenize(text), config).alias(n) for n, (text, _) in zip(names, parts)]
+    )
     offset: Column = F.lit(0)
     each = []
     for name, (_, weight) in zip(names, parts):
@@ -120,58 +73,21 @@ def text_vectors(
         )
         offset = offset + X.last_position(F.col(name))
     placed = lexed.select(*keys, F.inline(F.array(*each)))
-    return merge_entries(spread_tokens(placed, keys, "_lexemes", "_weight", "_offset"), keys)
+    return spread_tokens(placed, keys, "_lexemes", "_weight", "_offset")
 
 
 def aggregate_texts(
-    df: DataFrame,
-    group: str,
-    order: str,
-    text: str,
-    weight: str = "D",
-    config: str = X.ENGLISH,
-    whole_group_rows: int = WHOLE_GROUP_ROWS,
+    df: DataFrame, group: str, order: str, text: str, weight: str = "D", config: str = X.ENGLISH
 ) -> DataFrame:
     """Vector aggregate: the vectors of a group's texts one after the other, in the given order.
 
-    (group, lexeme, positions). ``order`` is unique inside a group.
-    """
-    lexed = df.select(group, order, X.lexize(X.tokenize(F.col(text)), config).alias("_lexemes"))
-    lexed = lexed.withColumn("_top", X.last_position(F.col("_lexemes")))
-    large = large_groups(df, [group], whole_group_rows, X.term_count(F.col(text)))
-    placed = running_totals(lexed, [group], [order], {"_before": F.col("_top")}, large)
-    placed = placed.withColumn("_weight", F.lit(weight))
-    return merge_entries(spread_tokens(placed, [group], "_lexemes", "_weight", "_before"), [group])
-
-
-def nest(
-    rows: DataFrame, keys: list[str], columns: dict[str, str], kept: dict[str, Column] | None = None
-) -> DataFrame:
-    """Collect long rows into nested vector columns, sorted by lexeme.
-
-    ``columns`` maps output column to the positions column it is made from; rows with no positions
-    are left out of that vector.
-    """
-    found = F.sort_array(F.collect_list(F.when(F.col("lexeme").isNotNull(), F.struct("lexeme", *columns.values()))))
-    extra = [c.alias(n) for n, c in (kept or {}).items()]
-    grouped = rows.groupBy(*keys).agg(found.alias("_found"), *extra)
-
-    def one(positions: str) -> Column:
-        held = F.filter("_found", lambda e: F.size(e[positions]) > 0)
-        return F.transform(held, lambda e: F.struct(e["lexeme"].alias("lexeme"), e[positions].alias("positions")))
-
-    return grouped.select(*keys, *[one(p).alias(c) for c, p in columns.items()], *(kept or {}))
-
-
-def open_positions(rows: DataFrame, keys: list[str]) -> DataFrame:
-    """(keys, lexeme, positions) to posting rows (keys, lexeme, pos, weight), the text-lookup form.
-
-    Positions are never empty; the outer form keeps the optimizer from computing them twice.
+    (group, lexeme, pos, weight). ``order`` is unique inside a group.
     """
-    return rows.select(*keys, "lexeme", F.inline_outer("positions"))
 
+    def lexed(rows: DataFrame) -> DataFrame:
+        rows = rows.withColumn("_lexemes", X.lexize(X.tokenize(F.col(text)), config)).drop(text)
+        return rows.withColumn("_top", X.last_position(F.col("_lexemes")))
 
-def unnest(df: DataFrame, keys: list[str], vector: str) -> DataFrame:
-    """Nested column to posting rows (keys, lexeme, pos, weight)."""
-    rows = df.select(*keys, F.inline_outer(vector)).filter(F.col("lexeme").isNotNull())
-    return open_positions(rows, keys)
+    rows = df.select(group, order, text)
+    placed = running_totals(rows, [group], [order], {"_before": F.col("_top")}, lexed)
+    return spread_tokens(placed.withColumn("_weight", F.lit(weight)), [group], "_lexemes", "_weight", "_before")

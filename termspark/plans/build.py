@@ -5,29 +5,27 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from termspark import schemas as S
-from termspark.constants import WHOLE_GROUP_ROWS
 from termspark.functions import text as X
 from termspark.plans.classify import classify_descriptions
 from termspark.plans.codelist import build_codelist
-from termspark.plans.indexes import build_indexes
-from termspark.plans.ontology import build_edges, build_tags
-from termspark.session import stage
+from termspark.operators import lookup
+from termspark.plans.indexes import build_indexes, stored_codelist
+from termspark.plans.ontology import build_edges, build_tag_vectors, build_tags
 from termspark.sources import rf2, tables
 
 
 def load_release(spark: SparkSession, base: str, release: str, category: int, **options) -> bool:
     """Load the raw tables of one release that are not stored yet; True if any was.
 
-    A table is staged whole before it is created, so one that failed half way is not taken for done.
+    A table is written whole before it gets its name, so one that failed half way is not taken for done.
     """
     loaded = False
     for name, table in S.RAW_TABLES.items():
         stored = S.RAW_PREFIX + name
         if category & table.category != table.category or tables.exists(spark, stored):
             continue
-        rows = stage(rf2.read_table(spark, base, release, table, **options), name)
-        tables.create(rows, stored)
-        loaded = loaded or not rows.isEmpty()
+        tables.replace(rf2.read_table(spark, base, release, table, **options), stored)
+        loaded = loaded or not spark.table(stored).isEmpty()
     return loaded
 
 
@@ -46,7 +44,6 @@ def derive(
     managed: bool = True,
     config: str = X.ENGLISH,
     null_safe: bool = False,
-    whole_group_rows: int = WHOLE_GROUP_ROWS,
 ) -> None:
     """Classify descriptions, then build and store the codelist, the tags and the edges.
 
@@ -54,23 +51,23 @@ def derive(
     """
     stored = S.RAW_PREFIX + "description"
     plain = raw_table(spark, "description").select(*S.DESCRIPTION.names)
-    classified = stage(classify_descriptions(plain, raw_table(spark, "refset_lang")), "description")
-    tables.replace(classified, stored)
+    tables.replace(classify_descriptions(plain, raw_table(spark, "refset_lang")), stored)
     codelist = build_codelist(
         raw_table(spark, "concept"),
-        classified,
+        raw_table(spark, "description"),
         raw_table(spark, "refset_map"),
         raw_table(spark, "ctv_map"),
         mesh,
         icd9,
         config,
         null_safe,
-        whole_group_rows,
     )
-    tables.replace(codelist, S.CODELIST_TABLE, managed)
-    build_indexes(spark)
-    tags = build_tags(spark.table(S.CODELIST_TABLE), config)
-    tables.replace(tags, S.TAG_TABLE, managed)
+    tables.replace(codelist.concepts, S.CODELIST_TABLE, managed)
+    build_indexes(codelist, managed)
+    found = stored_codelist(spark)
+    tables.replace(build_tags(found.concepts), S.TAG_TABLE, managed)
+    rows = build_tag_vectors(found, config)
+    tables.replace(lookup.clustered(rows, ["vector", "lexeme", "code"]), S.TAG_VECTORS, managed)
     edges = build_edges(raw_table(spark, "relationship"), spark.table(S.TAG_TABLE))
     tables.replace(edges, S.EDGE_TABLE, managed)
 

@@ -1,21 +1,36 @@
-"""The codelist: one wide row per active concept."""
+"""The codelist: one row per active concept, its code lists, and its text vectors.
+
+Lists and vectors are long tables of their own, ``(code, source, target, priority, ord)`` and ``(code, vector,
+lexeme, pos, weight)``, complete for concepts of any size. Wide pages of the lists are made from them
+with ``maps.list_columns``.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from typing import NamedTuple
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
-from termspark.constants import CODE_LIST_COLUMNS, MAX_POSITION, WHOLE_GROUP_ROWS
+from termspark.constants import CODE_LIST_COLUMNS
 from termspark.functions import scalar
 from termspark.functions import text as X
-from termspark.operators import filters, maps, vectors
-from termspark.operators.numbering import dense_ids, large_groups, running_totals
-from termspark.session import stage
+from termspark.operators import filters, maps
+from termspark.operators.numbering import dense_ids, running_totals
 
 # order of the texts in a codelist vector
 CODE_PART, DESCRIPTION_PART, SYNONYM_PART, FIRST_LIST_PART = 0, 1, 2, 3
 
 
+class Codelist(NamedTuple):
+    """The three tables of the codelist."""
+
+    concepts: DataFrame
+    lists: DataFrame
+    vectors: DataFrame
+
+
 def named_concepts(concept: DataFrame, description: DataFrame) -> DataFrame:
     """Active concepts with their fully specified name: (code, description, case_sig, active,
     effective_time), unique by code.
@@ -56,153 +71,95 @@ def synonym_texts(description: DataFrame) -> DataFrame:
 def vector_parts(concepts: DataFrame, synonyms: DataFrame, lists: DataFrame) -> DataFrame:
     """(code, part, sub, text): every text of a concept's vectors, in vector order.
 
-    ``lists`` has one row per (code, chunk) and the code-list columns; a list's chunks go one after
-    the other.
+    ``lists`` is the long form; each entry is a text of its own, in list order.
     """
-    def text(part: int, sub: Column, value: Column) -> Column:
-        return F.struct(F.lit(part).alias("part"), sub.cast("bigint").alias("sub"), value.alias("text"))
-
-    named = F.coalesce("description", F.lit(""))
+    columns = ["code", "part", "sub", "text"]
     own = concepts.select(
         "code",
-        F.inline(F.array(text(CODE_PART, F.lit(0), F.col("code")), text(DESCRIPTION_PART, F.lit(0), named))),
-    )
-    known = synonyms.join(concepts.select("code"), "code", "left_semi")
-    texts = F.array(
-        *[
-            text(FIRST_LIST_PART + i, F.col("chunk"), scalar.codes_text(F.col(column)))
-            for i, column in enumerate(CODE_LIST_COLUMNS)
-        ]
-    )
-    listed = lists.select("code", F.inline(texts)).filter(F.col("text") != "")
-    columns = ["code", "part", "sub", "text"]
-    return (
-        own.select(*columns)
-        .unionByName(known.withColumn("part", F.lit(SYNONYM_PART)).select(*columns))
-        .unionByName(listed.select(*columns))
+        F.inline(
+            F.array(
+                F.struct(F.lit(CODE_PART).alias("part"), F.col("code").alias("text")),
+                F.struct(F.lit(DESCRIPTION_PART).alias("part"), F.coalesce("description", F.lit("")).alias("text")),
+            )
+        ),
+    ).withColumn("sub", F.lit(0).cast("bigint"))
+    known = synonyms.join(concepts.select("code"), "code", "left_semi").withColumn("part", F.lit(SYNONYM_PART))
+    place = {source: FIRST_LIST_PART + i for i, source in enumerate(CODE_LIST_COLUMNS.values())}
+    listed = lists.filter(F.col("target").isNotNull()).select(
+        "code",
+        scalar.lookup(F.col("source"), place).cast("int").alias("part"),
+        F.col("ord").cast("bigint").alias("sub"),
+        F.col("target").alias("text"),
     )
+    return own.select(*columns).unionByName(known.select(*columns)).unionByName(listed)
 
 
-def concept_vectors(
-    parts: DataFrame,
-    config: str = X.ENGLISH,
-    null_safe: bool = False,
-    whole_group_rows: int = WHOLE_GROUP_ROWS,
-) -> DataFrame:
-    """(code, chunk, search_vector, synonyms_vector, relation_vector) from the parts of concepts.
+def concept_vectors(parts: DataFrame, config: str = X.ENGLISH, null_safe: bool = False) -> DataFrame:
+    """(code, vector, lexeme, pos, weight) of the search, synonyms and relation vectors of concepts.
 
-    All three vectors come from one pass: one window by code for the offsets, one aggregation by
-    lexeme. A concept with more texts (counted in units of 256 characters) than ``whole_group_rows``
-    gets several rows, cut by lexeme. Without synonyms the search and synonyms vectors are NULL;
-    ``null_safe`` makes them empty. ``parts`` is read twice: pass one made from staged tables.
+    Texts are put in order and tokenised once. Where a text begins follows from running totals inside
+    its part and from the few parts before it: a synonym goes on from the highest position of the one
+    before, the entries of a code list are one text. Without synonyms a concept has no search vector;
+    ``null_safe`` gives it one.
     """
     part = F.col("part")
-    in_synonyms, in_relation = part == SYNONYM_PART, ~part.isin(DESCRIPTION_PART, SYNONYM_PART)
-    lexed = parts.select("code", "part", "sub", X.lexize(X.tokenize(F.col("text")), config).alias("lexemes"))
-    top = F.col("top").cast("bigint")
-    lexed = lexed.withColumn("top", X.last_position(F.col("lexemes")))
-    large = large_groups(parts, ["code"], whole_group_rows, X.term_count(F.col("text")))
-    placed = running_totals(
-        lexed,
-        ["code"],
-        ["part", "sub"],
-        {
-            "search_at": top,
-            "synonym_at": F.when(in_synonyms, top).otherwise(0),
-            "relation_at": F.when(in_relation, top).otherwise(0),
-        },
-        large,
-    )
-    if large is None:
-        placed = placed.withColumns({"chunks": F.lit(1), "has_synonyms": in_synonyms})
-    else:
-        # the rows of a cut concept must agree on whether it has synonyms at all
-        named = parts.filter(in_synonyms).select("code", F.lit(True).alias("named")).distinct()
-        counts = large.join(named, "code", "left").select(
-            "code",
-            F.ceil(F.col("n") / whole_group_rows).cast("int").alias("chunks"),
-            F.coalesce("named", F.lit(False)).alias("named"),
-        )
-        placed = placed.join(counts, "code", "left").withColumns(
-            {"chunks": F.coalesce("chunks", F.lit(1)), "has_synonyms": F.coalesce("named", in_synonyms)}
-        )
-    return _grouped_vectors(placed, in_synonyms, in_relation, null_safe)
+    in_list, in_relation = part >= FIRST_LIST_PART, ~part.isin(DESCRIPTION_PART, SYNONYM_PART)
 
+    def lexed(rows: DataFrame) -> DataFrame:
+        rows = rows.withColumn("lexemes", X.lexize(X.tokenize(F.col("text")), config)).drop("text")
+        rows = rows.withColumn("last", X.last_position(F.col("lexemes")))
+        return rows.withColumn("taken", F.when(in_list, F.size("lexemes")).otherwise(F.col("last")))
 
-def _grouped_vectors(placed: DataFrame, in_synonyms: Column, in_relation: Column, null_safe: bool) -> DataFrame:
-    rows = placed.select(
-        "code",
-        "chunks",
-        "has_synonyms",
-        in_synonyms.alias("synonym"),
-        in_relation.alias("relation"),
-        *[F.least(F.col(c), F.lit(MAX_POSITION)).cast("int").alias(c) for c in ("search_at", "synonym_at", "relation_at")],
-        F.when(F.col("part").isin(CODE_PART, DESCRIPTION_PART), "A").otherwise("B").alias("weight"),
-        F.posexplode_outer("lexemes").alias("place", "whole"),
-    )
-    # parts without lexemes stay as one row without a lexeme: they tell that a synonym exists
-    rows = rows.withColumn("lexeme", F.explode_outer(X.pieces(F.col("whole"))))
-    rows = rows.filter(F.col("lexeme").isNull() | X.fits(F.col("lexeme")))
-    held = F.col("lexeme").isNotNull()
-
-    def placed_at(start: str, weight: Column, condition: Column) -> Column:
-        pos = X.saturate(F.col("place") + 1 + F.col(start))
-        return F.when(condition, vectors.place_number(pos, weight)).alias(start)
-
-    # one set for all three vectors; it grows only while a position does, so it stays bounded
-    places = F.struct(
-        placed_at("search_at", F.col("weight"), F.lit(True)),
-        placed_at("synonym_at", F.lit("D"), F.col("synonym")),
-        placed_at("relation_at", F.col("weight"), F.col("relation")),
+    placed = running_totals(parts, ["code", "part"], ["sub"], {"entry_at": F.col("taken")}, lexed)
+
+    # at most one row per part of a concept
+    tops = placed.groupBy("code", "part").agg(
+        F.coalesce(F.max(F.when(F.col("last") > 0, F.col("entry_at") + F.col("last"))), F.lit(0)).alias("top")
     )
-    merged = rows.groupBy("code", "chunks", "lexeme").agg(
-        F.collect_set(F.when(held, places)).alias("_found"), F.max("has_synonyms").alias("has_synonyms")
+    before = Window.partitionBy("code").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    whole = Window.partitionBy("code")
+    starts = tops.select(
+        "code",
+        "part",
+        F.coalesce(F.sum("top").over(before), F.lit(0)).alias("search_at"),
+        F.coalesce(F.sum(F.when(in_relation, F.col("top"))).over(before), F.lit(0)).alias("relation_at"),
+        F.max(part == SYNONYM_PART).over(whole).alias("has_synonyms"),
     )
-
-    def positions(start: str) -> Column:
-        numbers = F.transform("_found", lambda e: e[start])
-        return vectors.tidy_positions(F.filter(numbers, lambda n: n.isNotNull()))
-
-    chunk = F.when(held, F.pmod(F.xxhash64("lexeme"), F.col("chunks"))).otherwise(0).cast("int")
-    merged = merged.select(
+    rows = placed.join(starts, ["code", "part"]).select(
         "code",
-        chunk.alias("chunk"),
-        "lexeme",
+        "part",
+        "search_at",
+        "relation_at",
         "has_synonyms",
-        positions("search_at").alias("_search"),
-        positions("synonym_at").alias("_synonyms"),
-        positions("relation_at").alias("_relation"),
+        "entry_at",
+        F.when(part.isin(CODE_PART, DESCRIPTION_PART), "A").otherwise("B").alias("weight"),
+        F.posexplode("lexemes").alias("place", "whole"),
     )
-    nested = vectors.nest(
-        merged,
-        ["code", "chunk"],
-        {"search_vector": "_search", "synonyms_vector": "_synonyms", "relation_vector": "_relation"},
-        kept={"has_synonyms": F.max("has_synonyms")},
+    rows = rows.filter(F.col("whole").isNotNull()).withColumn("lexeme", F.explode(X.pieces(F.col("whole"))))
+    at = F.col("place") + 1 + F.col("entry_at")
+
+    def entry(vector: str, pos, weight):
+        return F.struct(F.lit(vector).alias("vector"), pos.alias("pos"), weight.alias("weight"))
+
+    found = F.array_compact(
+        F.array(
+            F.when(F.col("has_synonyms") | F.lit(null_safe), entry("search", at + F.col("search_at"), F.col("weight"))),
+            F.when(part == SYNONYM_PART, entry("synonyms", at, F.lit("D"))),
+            F.when(in_relation, entry("relation", at + F.col("relation_at"), F.col("weight"))),
+        )
     )
-    if null_safe:
-        return nested.drop("has_synonyms")
-    known = [F.when(F.col("has_synonyms"), F.col(c)).alias(c) for c in ("search_vector", "synonyms_vector")]
-    return nested.select("code", "chunk", *known, "relation_vector")
+    return rows.select("code", "lexeme", F.inline(found)).select("code", "vector", "lexeme", "pos", "weight")
 
 
 def build_lists(
-    concepts: DataFrame,
-    feeds: list[DataFrame],
-    external: dict[str, DataFrame] | None = None,
-    whole_group_rows: int = WHOLE_GROUP_ROWS,
+    concepts: DataFrame, feeds: list[DataFrame], external: dict[str, DataFrame] | None = None
 ) -> DataFrame:
     """Long code lists (code, source, target, priority, ord) of the given concepts."""
-    every = list(feeds)
     best = maps.best_priority(*feeds)
     for source, table in (external or {}).items():
-        rows = maps.external_lists(table, source)
-        every.append(rows)
-        best = best.unionByName(rows)
-    sizes = every[0].select("code", "source")
-    for feed in every[1:]:
-        sizes = sizes.unionByName(feed.select("code", "source"))
+        best = best.unionByName(maps.external_lists(table, source))
     # aggregated first: a hot concept joins with one row per distinct target
-    return maps.ordered_targets(maps.of_concepts(best, concepts), whole_group_rows, sizes)
+    return maps.ordered_targets(maps.of_concepts(best, concepts))
 
 
 def build_codelist(
@@ -214,15 +171,12 @@ def build_codelist(
     icd9: DataFrame | None = None,
     config: str = X.ENGLISH,
     null_safe: bool = False,
-    whole_group_rows: int = WHOLE_GROUP_ROWS,
-) -> DataFrame:
+) -> Codelist:
     """The codelist from the raw tables (``description`` classified).
 
-    Columns: id, code, chunk, description, case_sig, active, effective_time, six code lists, three
-    vectors. ``chunk`` is 0 in every row but for concepts with more list entries or texts than
-    ``whole_group_rows``.
+    concepts: id, code, description, case_sig, active, effective_time, unique by code.
     """
-    concepts = stage(numbered_concepts(concept, description), "concepts")
+    concepts = numbered_concepts(concept, description)
     feeds = [
         maps.refset_feed(filters.active(refset_map)),
         maps.read_feed(filters.active(ctv_map)),
@@ -232,22 +186,6 @@ def build_codelist(
         for column, table in (("mesh_codes", mesh), ("icd9_codes", icd9))
         if table is not None
     }
-    ordered = build_lists(concepts, feeds, external, whole_group_rows)
-    lists = stage(maps.list_columns(ordered, CODE_LIST_COLUMNS, whole_group_rows), "lists")
+    lists = build_lists(concepts, feeds, external)
     parts = vector_parts(concepts, synonym_texts(description), lists)
-    nested = concept_vectors(parts, config, null_safe, whole_group_rows)
-    # every concept has vector rows, so an inner join keeps all; AQE can split its skewed side
-    rows = nested.join(lists, ["code", "chunk"], "full")
-    return rows.join(concepts, "code").select(
-        "id",
-        "code",
-        "chunk",
-        "description",
-        "case_sig",
-        "active",
-        "effective_time",
-        *CODE_LIST_COLUMNS,
-        "search_vector",
-        "synonyms_vector",
-        "relation_vector",
-    )
+    return Codelist(concepts, lists, concept_vectors(parts, config, null_safe))

@@ -6,66 +6,40 @@ parquet tables clustered by key, so that a lookup skips all files without its ke
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from termspark import schemas as S
-from termspark.constants import CODE_LIST_COLUMNS
 from termspark.functions import text as X
-from termspark.operators import lookup, vectors
+from termspark.operators import lookup
+from termspark.plans.codelist import Codelist
 from termspark.sources import tables
 
-VECTORS = ("search", "synonyms", "relation")
 TEXTS = ("code", "description")
 
 
-def _all(parts: list[DataFrame]) -> DataFrame:
-    return reduce(DataFrame.unionByName, parts)
-
-
-def lexeme_rows(codelist: DataFrame) -> DataFrame:
-    """(vector, lexeme, code, pos, weight) of the three vectors."""
-    return _all(
-        [
-            vectors.unnest(codelist, ["code"], f"{kind}_vector").select(
-                F.lit(kind).alias("vector"), "lexeme", "code", "pos", "weight"
-            )
-            for kind in VECTORS
-        ]
-    )
-
-
-def target_rows(codelist: DataFrame) -> DataFrame:
-    """(source, target, code) of the six code lists, in one scan."""
-    lists = F.array(
-        *[F.struct(F.lit(s).alias("source"), F.col(c).alias("targets")) for c, s in CODE_LIST_COLUMNS.items()]
-    )
-    rows = codelist.select("code", F.inline(lists))
-    return rows.select("source", F.explode("targets").alias("target"), "code")
+def trigram_rows(concepts: DataFrame) -> DataFrame:
+    """(field, gram, code, n) of code and description, in one scan."""
+    fields = F.array(*[F.struct(F.lit(n).alias("field"), F.col(n).alias("_text")) for n in TEXTS])
+    texts = concepts.select(F.col("code").alias("_code"), F.inline(fields))
+    owner = F.struct("field", F.col("_code").alias("code")).alias("owner")
+    grams = lookup.trigram_postings(texts.select(owner, "_text"), "owner", "_text")
+    return grams.select("owner.field", "gram", "owner.code", "n")
 
 
-def trigram_rows(codelist: DataFrame) -> DataFrame:
-    """(field, gram, code, n) of code and description."""
-    first = codelist.filter(F.col("chunk") == 0)
-    parts = []
-    for name in TEXTS:
-        texts = first.select("code", F.col(name).alias("_text"))
-        grams = lookup.trigram_postings(texts, "code", "_text")
-        parts.append(grams.select(F.lit(name).alias("field"), "gram", "code", "n"))
-    return _all(parts)
-
-
-def build_indexes(spark: SparkSession) -> None:
-    """(Re)build the posting tables from the stored codelist."""
-    codelist = spark.table(S.CODELIST_TABLE)
+def build_indexes(codelist: Codelist, managed: bool = True) -> None:
+    """(Re)build the posting tables: the long vectors and lists themselves, clustered, and trigrams."""
     for name, rows, keys in (
-        (S.LEXEME_INDEX, lexeme_rows(codelist), ["vector", "lexeme", "code"]),
-        (S.CODE_INDEX, target_rows(codelist), ["source", "target", "code"]),
-        (S.TRIGRAM_INDEX, trigram_rows(codelist), ["field", "gram", "code"]),
+        (S.LEXEME_INDEX, codelist.vectors, ["vector", "lexeme", "code"]),
+        (S.CODE_INDEX, codelist.lists.filter(F.col("target").isNotNull()), ["source", "target", "code"]),
+        (S.TRIGRAM_INDEX, trigram_rows(codelist.concepts), ["field", "gram", "code"]),
     ):
-        tables.replace(lookup.clustered(rows, keys), name)
+        tables.replace(lookup.clustered(rows, keys), name, managed)
+
+
+def stored_codelist(spark: SparkSession) -> Codelist:
+    """The codelist as it is stored."""
+    return Codelist(spark.table(S.CODELIST_TABLE), spark.table(S.CODE_INDEX), spark.table(S.LEXEME_INDEX))
 
 
 def search_text(

@@ -10,7 +10,7 @@ from termspark.functions import scalar
 from termspark.functions import text as X
 from termspark.operators import filters, vectors
 from termspark.operators.numbering import dense_ids
-from termspark.session import stage
+from termspark.plans.codelist import Codelist
 
 
 def number_tags(codes: DataFrame, root: str = C.ROOT_CONCEPT, code: str = "code") -> DataFrame:
@@ -18,80 +18,42 @@ def number_tags(codes: DataFrame, root: str = C.ROOT_CONCEPT, code: str = "code"
     return dense_ids(codes.filter(F.col(code) != root), [F.col(code)], "tag_id")
 
 
-def tag_vectors(codelist: DataFrame, config: str = X.ENGLISH) -> DataFrame:
-    """(code, chunk, search_vector) of the tags: description A, code A, relation B, synonyms B.
+def tag_vectors(concepts: DataFrame, found: DataFrame, config: str = X.ENGLISH) -> DataFrame:
+    """(code, lexeme, pos, weight) of the tags: description A, code A, relation B, synonyms B.
 
-    A code with one row needs nothing but that row. The rows of a code with several chunks share its
-    offsets: those come from a small aggregate, joined per (code, chunk) so that no task has to hold
-    such a code. ``codelist`` is read twice: pass a stored or staged one.
+    ``concepts`` is (code, description), unique by code; ``found`` is the codelist's vector table.
     """
-    top = vectors.top_position(F.col("relation_vector"))
-    several = codelist.filter(F.col("chunk") > 0).select("code").distinct()
-    if several.isEmpty():
-        placed = codelist.withColumns({"relation_top": top, "chunks": F.lit(1)}).repartition("code")
-        return _tag_vectors(placed, config)
-    several = stage(several, "several-chunks")
-    single = codelist.join(several, "code", "left_anti").withColumns({"relation_top": top, "chunks": F.lit(1)})
-    cut = codelist.join(several, "code", "left_semi")
-    tops = cut.groupBy("code").agg(F.max(top).alias("relation_top"), (F.max("chunk") + 1).alias("chunks"))
-    each = tops.withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
-    shared = cut.join(each.repartition("code", "chunk"), ["code", "chunk"]).select(*single.columns)
-    return _tag_vectors(single.unionByName(shared), config)
-
-
-def _tag_vectors(codelist: DataFrame, config: str) -> DataFrame:
-    lexed = codelist.select(
-        "code",
-        "chunk",
-        "chunks",
-        X.lexize(X.tokenize(F.col("description")), config).alias("description_lexemes"),
-        X.lexize(X.tokenize(F.col("code")), config).alias("code_lexemes"),
-        "relation_vector",
-        "synonyms_vector",
-        "relation_top",
-    )
-    placed = lexed.withColumn("code_at", X.last_position(F.col("description_lexemes")))
-    placed = placed.withColumn("relation_at", F.col("code_at") + X.last_position(F.col("code_lexemes")))
-    first = F.col("chunk") == 0
-    rows = vectors.concatenate(
-        placed,
-        ["code", "chunks"],
-        [
-            (F.when(first, X.as_vector(F.col("description_lexemes"), "A")), F.lit(0), "A"),
-            (F.when(first, X.as_vector(F.col("code_lexemes"), "A")), F.col("code_at"), "A"),
-            (F.col("relation_vector"), F.col("relation_at"), "B"),
-            (F.col("synonyms_vector"), F.col("relation_at") + F.col("relation_top"), "B"),
-        ],
-    )
-    rows = rows.withColumn("lexeme", F.explode_outer(X.pieces(F.col("lexeme")))).filter(X.fits(F.col("lexeme")))
-    merged = vectors.merge_entries(rows, ["code", "chunks"])
-    cut = merged.withColumn("chunk", F.pmod(F.xxhash64("lexeme"), F.col("chunks")).cast("int"))
-    return vectors.nest(cut, ["code", "chunk"], {"search_vector": "positions"})
-
-
-def build_tags(codelist: DataFrame, config: str = X.ENGLISH) -> DataFrame:
-    """Tags: id, code, chunk, name, type_id, reference_id, properties (JSON), three vectors."""
-    kept = codelist.filter(F.col("code") != C.ROOT_CONCEPT)
-    first = kept.filter(F.col("chunk") == 0).select("code", "id", "description")
-    tags = number_tags(first)
-    own = kept.select("code", "chunk", "synonyms_vector", "relation_vector")
-    rows = own.join(tag_vectors(kept, config), ["code", "chunk"], "full")
-    return tags.join(rows, "code").select(
+    own = vectors.text_vectors(concepts, ["code"], [(F.col("description"), "A"), (F.col("code"), "A")], config)
+    rows = own
+    for kind in ("relation", "synonyms"):
+        one = found.filter(F.col("vector") == kind).select("code", "lexeme", "pos", "weight")
+        rows = vectors.concatenate(rows, vectors.set_weight(one, "B"), ["code"])
+    return rows.join(concepts.select("code"), "code", "left_semi")
+
+
+def build_tags(concepts: DataFrame) -> DataFrame:
+    """Tags: id, code, name, type_id, reference_id and properties (JSON), unique by code."""
+    tags = number_tags(concepts.select("code", "id", "description"))
+    return tags.select(
         F.col("tag_id").alias("id"),
         "code",
-        "chunk",
         F.col("description").alias("name"),
         F.lit(C.TAG_DISEASE).alias("type_id"),
         F.lit(None).cast("bigint").alias("reference_id"),
         scalar.json_object(
             code=F.col("code"), code_id=F.col("id"), coding_system_id=F.lit(C.CODING_SYSTEM)
         ).alias("properties"),
-        F.coalesce("search_vector", F.array().cast(vectors.VECTOR_TYPE)).alias("search_vector"),
-        "synonyms_vector",
-        "relation_vector",
     )
 
 
+def build_tag_vectors(codelist: Codelist, config: str = X.ENGLISH) -> DataFrame:
+    """(code, vector, lexeme, pos, weight) of all tags: their own search vector, and the codelist's others."""
+    concepts = codelist.concepts.filter(F.col("code") != C.ROOT_CONCEPT)
+    search = tag_vectors(concepts, codelist.vectors, config).withColumn("vector", F.lit("search"))
+    others = codelist.vectors.filter((F.col("vector") != "search") & (F.col("code") != C.ROOT_CONCEPT))
+    return search.unionByName(others).select("code", "vector", "lexeme", "pos", "weight")
+
+
 def resolve_edges(
     links: DataFrame, tags: DataFrame, source: str = "source_id", destination: str = "destination_id"
 ) -> DataFrame:
@@ -108,7 +70,6 @@ def resolve_edges(
 
 def build_edges(relationship: DataFrame, tags: DataFrame) -> DataFrame:
     """Edges: id, child_id, parent_id."""
-    coded = tags.filter(F.col("chunk") == 0).select(scalar.json_text(F.col("properties"), "code").alias("code"), "id")
     links = filters.is_a_edges(filters.active(relationship))
-    edges = resolve_edges(links, coded)
+    edges = resolve_edges(links, tags.select("code", "id"))
     return dense_ids(edges, [F.col("child_id"), F.col("parent_id")], "id").select("id", "child_id", "parent_id")

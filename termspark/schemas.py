@@ -176,42 +176,44 @@ EDGE_TABLE = "ontology_tag_edge"
 LEXEME_INDEX = CODELIST_TABLE + "_lexemes"
 CODE_INDEX = CODELIST_TABLE + "_targets"
 TRIGRAM_INDEX = CODELIST_TABLE + "_trigrams"
+TAG_VECTORS = TAG_TABLE + "_lexemes"
 TABLE_GROUPS = {
     "releases": tuple(RAW_PREFIX + name for name in RAW_TABLES),
     "codelist": (CODELIST_TABLE, LEXEME_INDEX, CODE_INDEX, TRIGRAM_INDEX),
-    "ontology": (TAG_TABLE, EDGE_TABLE),
+    "ontology": (TAG_TABLE, TAG_VECTORS, EDGE_TABLE),
 }
 
+# --- fixed values: the fields of a release manifest ---
+RELEASE = T.StructType(
+    [
+        T.StructField("id", T.StringType()),
+        T.StructField("name", T.StringType()),
+        T.StructField("releaseDate", T.StringType()),
+        T.StructField("archiveFileUrl", T.StringType()),
+        T.StructField("archiveFileName", T.StringType()),
+        T.StructField("archiveFileSizeBytes", T.LongType()),
+        T.StructField("archiveFileSha256", T.StringType()),
+        T.StructField("archiveFileLastModifiedTimestamp", T.TimestampType()),
+        T.StructField("checksumFileUrl", T.StringType()),
+        T.StructField("checksumFileName", T.StringType()),
+        T.StructField("checksumFileSizeBytes", T.LongType()),
+        T.StructField("checksumFileLastModifiedTimestamp", T.TimestampType()),
+        T.StructField("signatureFileUrl", T.StringType()),
+        T.StructField("signatureFileName", T.StringType()),
+        T.StructField("signatureFileSizeBytes", T.LongType()),
+        T.StructField("signatureFileLastModifiedTimestamp", T.TimestampType()),
+        T.StructField("publicKeyFileUrl", T.StringType()),
+        T.StructField("publicKeyFileName", T.StringType()),
+        T.StructField("publicKeyFileSizeBytes", T.LongType()),
+        T.StructField("publicKeyId", T.IntegerType()),
+    ]
+)
 MANIFEST = T.StructType(
     [
         T.StructField("apiVersion", T.StringType()),
         T.StructField("httpStatus", T.IntegerType()),
         T.StructField("message", T.StringType()),
-        T.StructField(
-            "releases",
-            T.ArrayType(
-                T.StructType(
-                    [T.StructField(n, T.StringType()) for n in ("id", "name", "releaseDate")]
-                    + [
-                        T.StructField(part + suffix, kind)
-                        for part, suffixes in (
-                            ("archiveFile", ("Url", "Name", "SizeBytes", "Sha256", "LastModifiedTimestamp")),
-                            ("checksumFile", ("Url", "Name", "SizeBytes", "LastModifiedTimestamp")),
-                            ("signatureFile", ("Url", "Name", "SizeBytes", "LastModifiedTimestamp")),
-                            ("publicKeyFile", ("Url", "Name", "SizeBytes")),
-                        )
-                        for suffix in suffixes
-                        for kind in (
-                            T.LongType()
-                            if suffix == "SizeBytes"
-                            else T.TimestampType()
-                            if suffix == "LastModifiedTimestamp"
-                            else T.StringType(),
-                        )
-                    ]
-                    + [T.StructField("publicKeyId", T.IntegerType())]
-                )
-            ),
-        ),
+        T.StructField("releases", T.ArrayType(RELEASE)),
     ]
 )
+# --- end of fixed values ---

@@ -10,12 +10,21 @@ from termspark.functions import scalar
 
 
 def load_delimited(
-    spark: SparkSession, paths: str | list[str], schema: T.StructType, separator: str = ",", header: bool = True
+    spark: SparkSession,
+    paths: str | list[str],
+    schema: T.StructType,
+    separator: str = ",",
+    header: bool = True,
+    line_ends: bool = True,
 ) -> DataFrame:
-    """Standard quoted text, columns by position, header line skipped; unquoted empty is NULL."""
+    """Standard quoted text, columns by position, header line skipped; unquoted empty is NULL.
+
+    ``line_ends`` allows them inside quoted fields; each file is then read by one task, so large data
+    should come as many files. Without it files are split, and a line end in a field fails the job.
+    """
     reader = spark.read.schema(schema).options(
         sep=separator, header=header, quote='"', escape='"', encoding="UTF-8",
-        enforceSchema=True, multiLine=False, mode="FAILFAST",
+        enforceSchema=True, multiLine=line_ends, mode="FAILFAST",
     )
     return reader.csv(paths)
 

@@ -19,15 +19,23 @@ WHITE_SPACE = (
 )
 
 
-def read_lines(spark: SparkSession, paths: str | list[str], comment: str | None = None) -> DataFrame:
+def read_lines(
+    spark: SparkSession, paths: str | list[str], comment: str | None = None, places: bool = False
+) -> DataFrame:
     """Non-empty lines (column ``value``), ``\\r\\n`` read as ``\\n``; comment lines left out.
 
-    Only ``\\n`` ends a line: a lone ``\\r`` is data.
+    Only ``\\n`` ends a line: a lone ``\\r`` is data. ``places`` adds the file of each line as ``_file``,
+    whether it stands in its first block as ``_head``, and a number that rises inside a block as ``_at``.
     """
     lines = spark.read.option("lineSep", "\n").text(paths)
     # one trailing \r belongs to the line end
     text = F.when(F.col("value").endswith("\r"), F.expr("substring(value, 1, length(value) - 1)"))
-    lines = lines.select(F.coalesce(text, F.col("value")).alias("value")).filter(F.col("value") != "")
+    where = []
+    if places:
+        where.append(F.col("_metadata.file_path").alias("_file"))
+        where.append((F.col("_metadata.file_block_start") == 0).alias("_head"))
+        where.append(F.monotonically_increasing_id().alias("_at"))
+    lines = lines.select(F.coalesce(text, F.col("value")).alias("value"), *where).filter(F.col("value") != "")
     return lines if comment is None else lines.filter(~F.col("value").startswith(comment))
 
 
@@ -48,7 +56,7 @@ def split_fields(line: Column, separator: str = TAB, shift_empty: bool = False)
     return F.split(line, pattern, -1)
 
 
-def checked_fields(fields: Column, line: Column, width: int | None, strict_quotes: bool) -> Column:
+def checked_fields(fields: Column, line: Column, width: Column | None, strict_quotes: bool) -> Column:
     """Raise on a wrong field count or, with ``strict_quotes``, on any quote."""
     checked = fields
     if width is not None:
@@ -71,31 +79,43 @@ def read_layout(
     strict_quotes: bool = False,
     shift_empty: bool = False,
 ) -> DataFrame:
-    """Files of one layout into the columns of ``table``.
+    """Files into the columns of ``table``, each by its own header line.
 
     Columns are found by header name (several spellings per column); absent ones get their default.
-    The header comes from the first line of the first file. A file with another header makes the job
-    fail rather than mix columns up: read each layout with its own call and append the results.
+    A file's header is its first line. One row per file comes to the driver; files of one layout are
+    read by one expression.
     """
-    lines = read_lines(spark, paths, comment)
-    first = lines.first()
-    if first is None:
+    lines = read_lines(spark, paths, comment, places=True)
+    headers = lines.filter("_head").groupBy("_file").agg(F.min_by("value", "_at").alias("_header")).collect()
+    if not headers:
         return spark.createDataFrame([], table.struct)
-    header = first["value"]
-    names = [n.strip() for n in header.split(separator)]
+    layouts = sorted({r["_header"] for r in headers})
+    files = spark.createDataFrame([(r["_file"], r["_header"], layouts.index(r["_header"])) for r in headers], "_file string, _header string, _layout int")
     line = F.col("value")
-    known = {names[0], *(h for c in table.columns for h in c.headers)}
-    is_header = F.substring_index(line, separator, 1).isin(*sorted(known))
-    other = F.raise_error(F.concat(F.lit("another header in the same files: "), line))
-    body = lines.filter(F.when(is_header, F.when(line == header, False).otherwise(other.cast("boolean"))).otherwise(True))
+    body = lines.join(F.broadcast(files), "_file").filter(line != F.col("_header"))
     fields = split_fields(line, separator, table.trim and shift_empty)
-    fields = checked_fields(fields, line, len(names) if exact_width else None, strict_quotes)
-    body = body.select(fields.alias("_fields"))
-    texts = []
-    for column in table.columns:
-        place = next((names.index(h) for h in column.headers if h in names), None)
-        text = F.lit(None).cast("string") if place is None else F.get("_fields", place)
-        texts.append((trim_left(text) if table.trim else text).alias(column.name))
+    names = [[n.strip() for n in header.split(separator)] for header in layouts]
+
+    def by_layout(choices: list[Column]) -> Column:
+        """One of several columns, by the file's layout."""
+        if all(str(c) == str(choices[0]) for c in choices):
+            return choices[0]
+        found = choices[-1]
+        for n, choice in enumerate(choices[:-1]):
+            found = F.when(F.col("_layout") == n, choice).otherwise(found)
+        return found
+
+    width = by_layout([F.lit(len(n)) for n in names]) if exact_width else None
+    # header lines have no fields: checks and decoding may run before they are filtered out
+    fields = F.when(line != F.col("_header"), checked_fields(fields, line, width, strict_quotes))
+    body = body.select(fields.alias("_fields"), "_layout")
+
+    def text(headers: tuple[str, ...]) -> Column:
+        places = [next((n.index(h) for h in headers if h in n), None) for n in names]
+        return by_layout([F.lit(None).cast("string") if p is None else F.get("_fields", p) for p in places])
+
+    texts = [text(c.headers) for c in table.columns]
+    texts = [(trim_left(t) if table.trim else t).alias(c.name) for t, c in zip(texts, table.columns)]
     decoded = [D.decode(c.kind, F.col(c.name), c.default, strict).alias(c.name) for c in table.columns]
     return body.select(*texts).select(*decoded)
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 
 from termspark import schemas as S
@@ -28,13 +30,23 @@ def append(df: DataFrame, name: str) -> None:
 def replace(df: DataFrame, name: str, managed: bool = True) -> None:
     """New content for a table: recreated (``managed``), or emptied and refilled.
 
-    ``df`` must not read the table itself. A refill keeps the stored columns and needs the table.
+    A recreated table is written whole under another name first and then takes the old one's place,
+    so a failed write leaves the old table as it was. ``df`` may read the table itself then. A refill
+    keeps the stored columns, needs the table, and ``df`` must not read it.
     """
-    if managed:
-        df.write.mode("overwrite").format("parquet").saveAsTable(name)
+    spark = df.sparkSession
+    if not managed:
+        columns = spark.table(name).columns
+        df.select(*columns).write.insertInto(name, overwrite=True)
         return
-    columns = df.sparkSession.table(name).columns
-    df.select(*columns).write.insertInto(name, overwrite=True)
+    waiting = f"{name}_new_{uuid.uuid4().hex}"
+    try:
+        create(df, waiting)
+    except Exception:
+        spark.sql(f"DROP TABLE IF EXISTS {waiting}")
+        raise
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    spark.sql(f"ALTER TABLE {waiting} RENAME TO {name}")
 
 
 def drop_groups(spark: SparkSession, items: str | list[str]) -> list[str]:

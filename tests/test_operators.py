@@ -30,8 +30,12 @@ def texts(spark, values):
     return spark.createDataFrame([(v,) for v in values], "t string")
 
 
-def vector(nested):
-    return {e["lexeme"]: [(p["pos"], p["weight"]) for p in e["positions"]] for e in nested}
+def vector(rows):
+    """Occurrence rows as a mapping."""
+    found = defaultdict(list)
+    for r in rows:
+        found[r["lexeme"]].append((r["pos"], r["weight"]))
+    return {k: sorted(v) for k, v in found.items()}
 
 
 # ---------------------------------------------------------------- decoding and scalars
@@ -74,23 +78,47 @@ def test_scalars(spark):
     assert one(spark, scalar.json_text(document, "n")) == "9"
     assert one(spark, scalar.or_today(F.lit(None).cast("date"))) is not None
     assert one(spark, scalar.codes_text(F.lit(None).cast("array<string>"))) == ""
-    pairs = [(a, k) for a in (C.PREFERRED, C.ACCEPTABLE, "x") for k in (C.FULLY_SPECIFIED_NAME, C.SYNONYM, C.DEFINITION, "y")]
-    df = spark.createDataFrame(pairs, "a string, k string")
-    got = [r[0] for r in df.select(scalar.description_class(F.col("a"), F.col("k"))).collect()]
-    assert got == ["F", "P", "D", None, None, "S", "D", None, None, None, "D", None]
+
+
+@pytest.mark.parametrize(
+    "text, wanted",
+    [
+        ("{a,b}", ["a", "b"]),
+        ("{}", []),
+        ("{ }", []),
+        (None, None),
+        ('{"Diabetes, Type 1",b}', ["Diabetes, Type 1", "b"]),
+        ('{"say \\"so\\"", c\\\\d ,NULL,"NULL",null}', ['say "so"', "c\\d", None, "NULL", None]),
+        ('{"{x}","",y}', ["{x}", "", "y"]),
+        ('{"two\nlines"}', ["two\nlines"]),
+    ],
+)
+def test_array_text(spark, text, wanted):
+    assert texts(spark, [text]).select(scalar.array_text(F.col("t")).alias("x")).first()["x"] == wanted
 
 
 def test_staging_folder(spark):
     assert session.staging_root(spark) == spark.conf.get("spark.checkpoint.dir")
 
     class Unset:
-        def __init__(self, master):
-            self.conf = type("C", (), {"get": staticmethod({"spark.master": master}.get)})
-            self.sparkContext = spark.sparkContext
+        conf = type("C", (), {"get": staticmethod(lambda name, other=None: other)})
+        sparkContext = type("S", (), {"applicationId": "app-1"})
 
-    assert session.staging_root(Unset("local[2]")) == session.staging_root(Unset("local[2]"))
     with pytest.raises(ValueError):
-        session.staging_root(Unset("yarn"))
+        session.staging_root(Unset)
+    assert not session.has_staging_folder(Unset)
+    session.name_staging_folder(Unset, "/shared/")
+    assert session.has_staging_folder(Unset) and session.staging_root(Unset) == "/shared"
+
+
+def test_staged_tables_can_be_dropped(spark):
+    path = session.staging_path(spark, "mine")
+    spark.range(3).write.parquet(path)
+    session.drop_staged(spark, path)
+    with pytest.raises(PySparkException):
+        spark.read.parquet(path)
+    with pytest.raises(ValueError):
+        session.drop_staged(spark, "/elsewhere/mine")
 
 
 # ---------------------------------------------------------------- numbering
@@ -125,12 +153,19 @@ def test_dense_ids_of_nothing(spark):
     assert numbering.dense_ids(spark.createDataFrame([], "a int"), [F.col("a")]).count() == 0
 
 
-@pytest.mark.parametrize("whole", [100_000, 200, 50])
-def test_running_totals_are_the_same_for_large_groups(skewed, whole):
+@pytest.fixture(params=["1", "8", "40"])
+def pieces(spark, request):
+    """Groups in one range piece, and cut into many."""
+    spark.conf.set("spark.sql.shuffle.partitions", request.param)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    yield
+    spark.conf.set("spark.sql.shuffle.partitions", "8")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+
+
+def test_running_totals_of_large_groups(skewed, pieces):
     df, rows = skewed
-    large = numbering.large_groups(df, ["g"], whole)
-    assert (large is None) == (whole > 3000)
-    got = {(r["g"], r["k"]): r["t"] for r in numbering.running_totals(df, ["g"], ["k"], {"t": F.col("v")}, large).collect()}
+    got = {(r["g"], r["k"]): r["t"] for r in numbering.running_totals(df, ["g"], ["k"], {"t": F.col("v")}).collect()}
     wanted, total = {}, defaultdict(int)
     for g, k, v in sorted(rows, key=lambda r: r[1]):
         wanted[g, k] = total[g]
@@ -138,6 +173,16 @@ def test_running_totals_are_the_same_for_large_groups(skewed, whole):
     assert got == wanted
 
 
+def test_ordinals_of_large_groups(skewed, pieces):
+    df, rows = skewed
+    got = {(r["g"], r["k"]): r["n"] for r in numbering.ordinals(df, ["g"], ["k"], "n").collect()}
+    wanted, total = {}, defaultdict(int)
+    for g, k, _ in sorted(rows, key=lambda r: r[1]):
+        total[g] += 1
+        wanted[g, k] = total[g]
+    assert got == wanted
+
+
 # ---------------------------------------------------------------- maps
 
 
@@ -148,8 +193,8 @@ def map_rows(rng, n=2500):
     ]
 
 
-@pytest.mark.parametrize("whole", [100_000, 40])
-def test_code_lists(spark, whole):
+@pytest.mark.parametrize("page", [100_000, 40])
+def test_code_lists(spark, page, pieces):
     rng = random.Random(3)
     first, second = map_rows(rng), map_rows(rng)
     shape = "code string, source string, target string, priority int"
@@ -163,13 +208,13 @@ def test_code_lists(spark, whole):
         lists[code, source].append((priority, target))
     wanted = {k: [t for _, t in sorted(v)] for k, v in lists.items()}
 
-    ordered = maps.ordered_targets(maps.best_priority(*feeds), whole)
-    wide = maps.list_columns(ordered, {"opcs": "OPCS4", "icd": "ICD-10", "none": "MeSH"}, whole)
+    ordered = maps.ordered_targets(maps.best_priority(*feeds))
+    wide = maps.list_columns(ordered, {"opcs": "OPCS4", "icd": "ICD-10", "none": "MeSH"}, page)
     got = defaultdict(list)
-    for r in wide.orderBy("code", "chunk").collect():
+    for r in wide.orderBy("code", "page").collect():
         assert r["none"] is None
         for column, source in (("opcs", "OPCS4"), ("icd", "ICD-10")):
-            assert r[column] is None or len(r[column]) <= whole
+            assert r[column] is None or len(r[column]) <= page
             got[r["code"], source] += r[column] or []
     assert {k: v for k, v in got.items() if v} == wanted
     assert maps.union_feeds(*feeds).count() == len(set(first + second))
@@ -202,108 +247,126 @@ def test_tokens_positions_and_stop_words(spark):
         X.lexize(F.col("k"), "klingon")
 
 
-def brute_vector(parts, limit=256):
+def brute_vector(parts):
     """Vector of (text, weight) parts, unstemmed, from the definition."""
-    found, offset = defaultdict(set), 0
+    found, offset = defaultdict(list), 0
     for text, weight in parts:
         words = text.split()
         for i, word in enumerate(words):
-            found[word].add((min(offset + i + 1, C.MAX_POSITION), weight))
+            found[word].append((offset + i + 1, weight))
         offset += len(words)
-    out = {}
-    for word, places in found.items():
-        best = {}
-        for pos, weight in sorted(places):
-            best.setdefault(pos, weight)
-        out[word] = sorted(best.items())[:limit]
-    return out
+    return dict(found)
 
 
-def test_position_limits(spark):
-    long = " ".join(["common"] * 300 + [f"w{i}" for i in range(17000)] + ["last"])
+def test_long_texts_are_kept_whole(spark):
+    """20,000 tokens, a word 300 times, and a word of 3,000 bytes."""
+    long = " ".join(["common"] * 300 + [f"w{i}" for i in range(19_700)] + ["x" * 3000, "last"])
     df = spark.createDataFrame([(1, "head", long, "tail last")], "k int, a string, b string, c string")
     rows = vectors.text_vectors(df, ["k"], [(F.col("a"), "A"), (F.col("b"), "B"), (F.col("c"), "C")], X.SIMPLE)
-    got = {r["lexeme"]: [(p["pos"], p["weight"]) for p in r["positions"]] for r in rows.collect()}
+    got = vector(rows.collect())
     assert got == brute_vector([("head", "A"), (long, "B"), ("tail last", "C")])
-    assert got["last"] == [(16383, "B")] and len(got["common"]) == 256
+    assert len(got["common"]) == 300 and got["x" * 3000] == [(20_002, "B")] and got["last"] == [(20_003, "B"), (20_005, "C")]
+    assert codes_of(lookup.match_lexemes(rows, ["x" * 3000], "k"), "k") == [1]
+
 
+def codes_of(df, column="code"):
+    return sorted(r[column] for r in df.collect())
 
-@pytest.mark.parametrize("whole", [100_000, 30])
-def test_text_aggregate_of_a_hot_group(spark, whole):
+
+def test_text_aggregate_of_a_hot_group(spark, pieces):
     rng = random.Random(4)
     rows = [("hot" if i % 3 == 0 else f"g{i % 17}", i, " ".join(f"w{rng.randrange(20)}" for _ in range(rng.randrange(4)))) for i in range(600)]
     df = spark.createDataFrame(rows, "g string, k int, t string").repartition(5)
-    got = vectors.aggregate_texts(df, "g", "k", "t", "D", X.SIMPLE, whole)
-    found = {(r["g"], r["lexeme"]): [(p["pos"], p["weight"]) for p in r["positions"]] for r in got.collect()}
-    wanted = {}
+    found = vectors.aggregate_texts(df, "g", "k", "t", "D", X.SIMPLE).collect()
     for group in {r[0] for r in rows}:
-        for word, places in brute_vector([(t, "D") for g, _, t in sorted(rows, key=lambda r: r[1]) if g == group]).items():
-            wanted[group, word] = places
-    assert found == wanted
+        wanted = brute_vector([(t, "D") for g, _, t in sorted(rows, key=lambda r: r[1]) if g == group])
+        assert vector(r for r in found if r["g"] == group) == wanted
 
 
-@pytest.mark.parametrize("whole", [100_000, 25])
-def test_codelist_vectors_of_a_hot_concept(spark, whole):
-    """A concept with most synonyms gets the same vectors, then cut into rows by lexeme."""
+@pytest.mark.parametrize("null_safe", [False, True])
+def test_codelist_vectors_of_a_hot_concept(spark, pieces, null_safe):
+    """A concept with most synonyms, and long lists; some concepts have no synonyms."""
     rng = random.Random(5)
     concepts = [(f"{i}", f"name {i}") for i in range(1, 8)]
     words = lambda n: " ".join(f"w{rng.randrange(60)}" for _ in range(n))
     synonyms = [("3" if i % 2 else f"{rng.randrange(1, 7)}", i, words(rng.randrange(1, 5))) for i in range(200)]
-    listed = {c: [([f"x{c}", "w1"], [f"y{c}"])] for c, _ in concepts[:5]}
-    # concepts with long lists, in chunks; the second one has no synonyms
+    listed = {c: {"OPCS4": [f"x{c}", "w1"], "ReadCodeV3": [f"y{c}"]} for c, _ in concepts[:5]}
     for code in ("5", "7"):
-        listed.setdefault(code, []).extend(([f"m{i}", f"n{i}"], [f"o{i}"]) for i in range(1, 20))
-    lists = [(c, i, None, x, None, None, None, y) for c, chunks in listed.items() for i, (x, y) in enumerate(chunks)]
-    columns = ", ".join(f"{c} array<string>" for c in C.CODE_LIST_COLUMNS)
+        listed.setdefault(code, {})["OPCS4"] = [f"m{i}" for i in range(40)]
+    lists = [(c, s, t, n + 1) for c, own in listed.items() for s, targets in own.items() for n, t in enumerate(targets)]
     concept_df = spark.createDataFrame(concepts, "code string, description string")
     synonym_df = spark.createDataFrame(synonyms, "code string, sub bigint, text string")
-    list_df = spark.createDataFrame(lists, f"code string, chunk int, {columns}")
+    list_df = spark.createDataFrame([*lists, ("1", "MeSH", None, 1)], "code string, source string, target string, ord int")
     parts = codelist.vector_parts(concept_df, synonym_df, list_df)
-    rows = codelist.concept_vectors(parts, X.SIMPLE, False, whole).collect()
-    cut = {r["code"] for r in rows if r["chunk"] > 0}
-    assert cut >= {"3", "5", "7"} if whole == 25 else not cut
+    rows = codelist.concept_vectors(parts, X.SIMPLE, null_safe).collect()
     for code, name in concepts:
         own = sorted((k, t) for c, k, t in synonyms if c == code)
-        own_lists = [" ".join(v) for column in zip(*listed.get(code, [])) for v in column]
+        own_lists = [" ".join(listed.get(code, {}).get(s, [])) for s in C.CODE_LIST_COLUMNS.values()]
         wanted = {
-            "search_vector": brute_vector([(code, "A"), (name, "A"), *[(t, "B") for _, t in own], *[(t, "B") for t in own_lists]]),
-            "synonyms_vector": brute_vector([(t, "D") for _, t in own]),
-            "relation_vector": brute_vector([(code, "A"), *[(t, "B") for t in own_lists]]),
+            "search": brute_vector([(code, "A"), (name, "A"), *[(t, "B") for _, t in own], *[(t, "B") for t in own_lists]]),
+            "synonyms": brute_vector([(t, "D") for _, t in own]),
+            "relation": brute_vector([(code, "A"), *[(t, "B") for t in own_lists]]),
         }
-        for column, value in wanted.items():
-            nested = [r[column] for r in rows if r["code"] == code]
-            if column != "relation_vector" and not own:
-                assert set(nested) == {None}
-            else:
-                merged = [e for v in nested for e in v]
-                assert len({e["lexeme"] for e in merged}) == len(merged)
-                assert vector(merged) == value
-
-
-@pytest.mark.parametrize("chunks", [1, 3])
-def test_tag_vectors_with_and_without_chunks(spark, chunks):
-    entry = "array<struct<lexeme:string,positions:array<struct<pos:int,weight:string>>>>"
-    relation = [("7", [(1, "A")]), ("r1", [(2, "B")]), ("r2", [(3, "B")])]
-    synonyms = [("s1", [(1, "D"), (4, "D")]), ("r1", [(2, "D")]), ("s2", [(3, "D")])]
-    cut = lambda v, i: [e for n, e in enumerate(v) if n % chunks == i]
-    rows = [("7", i, "two words", cut(relation, i), cut(synonyms, i)) for i in range(chunks)]
-    df = spark.createDataFrame(rows, f"code string, chunk int, description string, relation_vector {entry}, synonyms_vector {entry}")
-    got = [e for r in ontology.tag_vectors(df, X.SIMPLE).collect() for e in r["search_vector"]]
-    assert vector(got) == {
+        if not own and not null_safe:
+            wanted["search"] = {}
+        for kind, value in wanted.items():
+            assert vector(r for r in rows if (r["code"], r["vector"]) == (code, kind)) == value
+
+
+def test_stop_words_inside_a_list_keep_their_place(spark):
+    """A list is one text: a stop word in it holds a position, one at its end does not."""
+    concepts = spark.createDataFrame([("7", "n")], "code string, description string")
+    synonyms = spark.createDataFrame([("7", 1, "one of the"), ("7", 2, "two")], "code string, sub bigint, text string")
+    rows = [("7", "OPCS4", t, n + 1) for n, t in enumerate(["x", "a", "y", "the"])] + [("7", "ICD-10", "z", 1)]
+    lists = spark.createDataFrame(rows, "code string, source string, target string, ord int")
+    found = codelist.concept_vectors(codelist.vector_parts(concepts, synonyms, lists)).collect()
+    of = lambda kind: vector(r for r in found if r["vector"] == kind)
+    assert of("relation") == {"7": [(1, "A")], "x": [(2, "B")], "y": [(4, "B")], "z": [(5, "B")]}
+    assert of("synonyms") == {"one": [(1, "D")], "two": [(2, "D")]}
+    assert {k: v[0][0] for k, v in of("search").items()} == {"7": 1, "n": 2, "one": 3, "two": 4, "x": 5, "y": 7, "z": 8}
+
+
+def test_tag_vectors(spark):
+    entries = [("relation", "7", 1, "A"), ("relation", "r1", 2, "B"), ("relation", "r2", 3, "B"), ("synonyms", "s1", 1, "D"),
+               ("synonyms", "s1", 4, "D"), ("synonyms", "r1", 2, "D"), ("synonyms", "s2", 3, "D"), ("search", "no", 1, "A")]
+    found = spark.createDataFrame([("7", *e) for e in entries] + [("9", *entries[0])], "code string, vector string, lexeme string, pos bigint, weight string")
+    concepts = spark.createDataFrame([("7", "two words"), ("8", "of the")], "code string, description string")
+    rows = ontology.tag_vectors(concepts, found, X.SIMPLE).collect()
+    assert vector(r for r in rows if r["code"] == "7") == {
         "two": [(1, "A")], "words": [(2, "A")], "7": [(3, "A"), (4, "B")],
         "r1": [(5, "B"), (8, "B")], "r2": [(6, "B")], "s1": [(7, "B"), (10, "B")], "s2": [(9, "B")],
     }
+    assert {r["code"] for r in rows} == {"7", "8"}
+
+
+def test_vectors_are_joined_and_reweighted(spark):
+    df = spark.createDataFrame([(1, "b a b", "c"), (2, "", "d d")], "k int, t string, u string")
+    first, second = [vectors.text_vectors(df, ["k"], [(F.col(c), "A")], X.SIMPLE) for c in ("t", "u")]
+    rows = vectors.concatenate(first, vectors.set_weight(second, "C"), ["k"]).collect()
+    assert sorted(tuple(r) for r in rows) == [
+        (1, "a", 2, "A"), (1, "b", 1, "A"), (1, "b", 3, "A"), (1, "c", 4, "C"), (2, "d", 1, "C"), (2, "d", 2, "C"),
+    ]
+
 
+def exchanges(df):
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return plan.count("Exchange ")
 
-def test_nested_vectors_open_and_reweight(spark):
-    df = spark.createDataFrame([(1, "b a b"), (2, "")], "k int, t string")
-    rows = vectors.text_vectors(df, ["k"], [(F.col("t"), "A")], X.SIMPLE)
-    nested = vectors.nest(rows, ["k"], {"v": "positions"})
-    assert vector(nested.first()["v"]) == {"a": [(2, "A")], "b": [(1, "A"), (3, "A")]}
-    assert [e["lexeme"] for e in nested.first()["v"]] == ["a", "b"]
-    changed = nested.select("k", vectors.set_weight(F.col("v"), "C").alias("v"), vectors.top_position(F.col("v")).alias("m"))
-    assert changed.first()["m"] == 3
-    assert sorted(tuple(r) for r in vectors.unnest(changed, ["k"], "v").collect()) == [(1, "a", 2, "C"), (1, "b", 1, "C"), (1, "b", 3, "C")]
+
+def test_text_vectors_do_not_shuffle(spark):
+    df = spark.createDataFrame([(1, "a b")], "k int, t string")
+    simple = vectors.text_vectors(df, ["k"], [(F.col("t"), "D")], X.SIMPLE)
+    assert exchanges(simple) == 0
+    assert exchanges(vectors.text_vectors(df, ["k"], [(F.col("t"), "D")], X.ENGLISH)) == 0
+    # the lookup's own aggregate, and nothing before it
+    assert exchanges(lookup.match_lexemes(simple, ["a", "b"], "k")) == 2
+
+
+def test_code_lists_shuffle_twice(spark):
+    df = spark.createDataFrame([("a", "s", "t", 1)], "code string, source string, target string, priority int")
+    best = maps.best_priority(df)
+    assert exchanges(best) == 1
+    assert exchanges(maps.list_columns(maps.ordered_targets(best), {"s": "s"}, 10)) <= 4
 
 
 # ---------------------------------------------------------------- lookups
@@ -318,7 +381,7 @@ def named(spark):
 
 def test_text_lookup_on_postings(spark, named, tmp_path):
     rows = vectors.text_vectors(named, ["code"], [(F.col("code"), "A"), (F.col("name"), "B")])
-    lookup.clustered(rows.select("code", "lexeme", F.inline("positions")), ["lexeme", "code"]).write.parquet(str(tmp_path / "p"))
+    lookup.clustered(rows, ["lexeme", "code"]).write.parquet(str(tmp_path / "p"))
     postings = spark.read.parquet(str(tmp_path / "p"))
     lexemes = lookup.query_lexemes(spark, "the disorders of a HEART")
     assert lexemes == ["disord", "heart"]
@@ -327,9 +390,8 @@ def test_text_lookup_on_postings(spark, named, tmp_path):
     assert codes(lookup.match_lexemes(postings, lexemes, every=False)) == ["1", "2", "3"]
     assert codes(lookup.match_lexemes(postings, ["1"], weights="A")) == ["1"]
     assert codes(lookup.match_lexemes(postings, ["1"], weights="B")) == []
-    nested = vectors.nest(rows, ["code"], {"v": "positions"})
-    assert codes(nested.filter(lookup.vector_has(F.col("v"), lexemes))) == ["1", "3"]
-    assert codes(nested.filter(lookup.vector_has(F.col("v"), ["2"], "A"))) == ["2"]
+    assert codes(lookup.match_lexemes(postings, [*lexemes, *lexemes])) == ["1", "3"]
+    assert codes(lookup.match_lexemes(postings, [])) == []
     tokens = X.lexize(X.tokenize(F.col("name")))
     assert codes(named.filter(lookup.has_lexemes(tokens, lexemes, every=False))) == ["1", "2", "3"]
 
@@ -338,7 +400,7 @@ def test_code_lookup_both_ways(spark):
     rows = [("1", "ICD-10", "a", 1, 1), ("1", "ICD-10", "b", 1, 2), ("2", "ICD-10", "b", 1, 1), ("3", "OPCS4", "b", 1, 1)]
     ordered = spark.createDataFrame(rows, "code string, source string, target string, priority int, ord bigint")
     assert sorted(r[0] for r in lookup.owners_of_codes(ordered, "ICD-10", ["b", "z"]).collect()) == ["1", "2"]
-    wide = maps.list_columns(ordered, {"icd": "ICD-10"})
+    wide = maps.list_columns(ordered, {"icd": "ICD-10"}, 10)
     assert [r["code"] for r in wide.filter(lookup.list_holds(F.col("icd"), "a")).collect()] == ["1"]
     assert sorted(r["code"] for r in wide.filter(lookup.list_overlaps(F.col("icd"), ["b"])).collect()) == ["1", "2"]
 
@@ -404,6 +466,15 @@ def test_export_format(spark, tmp_path):
     assert read(tmp_path / "crlf") == b'plain|a,b\r\n"q""q"|" lead"\r\n"\\."|\r\n|"l\r\nf"\r\ntrail |"cr"\r\n'
 
 
+def test_line_ends_inside_quotes_come_back(spark, tmp_path):
+    rows = [("x\ny", 'a "b", c'), ("plain", "z")]
+    delimited.export_delimited(spark.createDataFrame(rows, "a string, b string"), str(tmp_path / "x"))
+    schema = spark.createDataFrame(rows, "a string, b string").schema
+    assert sorted(tuple(r) for r in delimited.load_delimited(spark, str(tmp_path / "x"), schema, header=False).collect()) == sorted(rows)
+    with pytest.raises(Exception, match="MALFORMED"):
+        delimited.load_delimited(spark, str(tmp_path / "x"), schema, header=False, line_ends=False).collect()
+
+
 def test_manifest(spark, tmp_path):
     release = {"id": "r2", "name": "Release 2", "releaseDate": "2024-01-01", "archiveFileSizeBytes": 5, "publicKeyId": 7,
                "archiveFileLastModifiedTimestamp": "2024-01-02T03:04:05Z"}
@@ -440,6 +511,12 @@ def test_stored_tables(spark):
     assert [tuple(r) for r in spark.table(name).collect()] == [(2, "b")]
     tables.replace(spark.createDataFrame([("c",)], "s string"), name)
     assert spark.table(name).columns == ["s"]
+    # from itself, and after a failure the old content is still there
+    tables.replace(spark.table(name).withColumn("s", F.concat("s", F.lit("!"))), name)
+    with pytest.raises(PySparkException):
+        tables.replace(spark.table(name).withColumn("s", F.raise_error(F.lit("no")).cast("string")), name)
+    assert [tuple(r) for r in spark.table(name).collect()] == [("c!",)]
+    assert [t.name for t in spark.catalog.listTables() if t.name.startswith(name + "_new")] == []
     assert tables.drop_groups(spark, "nothing") == []
     assert tables.exists(spark, name)
     assert tables.drop_groups(spark, " CodeList ,x") == list(S.TABLE_GROUPS["codelist"])

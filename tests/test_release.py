@@ -10,11 +10,10 @@ from pyspark.sql import functions as F
 import tiny_release as tiny
 from termspark import constants as C
 from termspark import schemas as S
-from termspark.operators import checks
+from termspark.operators import checks, maps
 from termspark.plans import build, indexes
 from termspark.plans.classify import classify_descriptions
 from termspark.plans.codelist import build_codelist
-from termspark.plans.ontology import build_tags
 from termspark.session import stage
 from termspark.sources import delimited, rf2, tables
 
@@ -50,8 +49,16 @@ def rows(df, *columns):
     return sorted(tuple(r) for r in df.select(*columns).collect())
 
 
-def vector(nested):
-    return {e["lexeme"]: " ".join(f"{p['pos']}{p['weight']}" for p in e["positions"]) for e in nested}
+def vector(df):
+    """Occurrence rows as lexeme -> places."""
+    found = {}
+    for r in sorted(df.collect(), key=lambda r: r["pos"]):
+        found.setdefault(r["lexeme"], []).append(f"{r['pos']}{r['weight']}")
+    return {k: " ".join(v) for k, v in found.items()}
+
+
+def of(built, code, kind, table=S.LEXEME_INDEX):
+    return vector(built.table(table).filter((F.col("code") == code) & (F.col("vector") == kind)))
 
 
 def test_concepts_are_scanned_and_empty_ids_dropped(raw):
@@ -131,11 +138,18 @@ def test_empty_cell_in_both_modes(spark, tmp_path):
     assert (shifted["module_id"], shifted["definition_status_id"]) == ("d", "")
 
 
-def test_mixed_headers_fail_instead_of_mixing_columns(spark, tmp_path):
+def test_each_file_has_its_own_header(spark, tmp_path):
     tiny.write(tmp_path / "a.txt", "ctv_2", tiny.CTV_2)
     tiny.write(tmp_path / "b.txt", "ctv_3", tiny.CTV_3)
-    with pytest.raises(PySparkException, match="another header"):
-        rf2.read_layout(spark, str(tmp_path / "*.txt"), S.CTV_MAP).collect()
+    alone = [rf2.read_layout(spark, str(tmp_path / f"{n}.txt"), S.CTV_MAP) for n in "ab"]
+    together = rf2.read_layout(spark, str(tmp_path / "*.txt"), S.CTV_MAP)
+    wanted = [tuple(r) for df in alone for r in df.collect()]
+    assert sorted(map(repr, (tuple(r) for r in together.collect()))) == sorted(map(repr, wanted))
+
+
+def test_a_cell_that_reads_like_a_header_is_data(spark, tmp_path):
+    tiny.write(tmp_path / "c.txt", "concept", [["id", "20200101", "1", "m", "d"], ["2", "20200101", "1", "m", "d"]])
+    assert rows(rf2.read_layout(spark, str(tmp_path / "c.txt"), S.CONCEPT), "id") == [("2",), ("id",)]
 
 
 def test_scan_options(spark, tmp_path):
@@ -172,36 +186,51 @@ def test_codelist_rows(built):
 
 
 def test_code_lists(built):
+    found = {}
+    for r in built.table(S.CODE_INDEX).filter("code = '200'").orderBy("ord").collect():
+        found.setdefault(r["source"], []).append(r["target"])
+    assert found == {
+        "MeSH": ["D006331", "D1", "D2"],
+        "OPCS4": ["K40.1"],
+        "ICD-10": ["I25", "I51.9"],
+        "ReadCodeV2": ["G5y..", "Zempt", "G5z.."],
+        "ReadCodeV3": ["XaBVJ", "YaaB1"],
+    }
     row = built.table(S.CODELIST_TABLE).filter("code = '200'").first()
-    assert row["mesh_codes"] == ["D006331", "D1", "D2"]
-    assert row["opcs4_codes"] == ["K40.1"]
-    assert row["icd9_codes"] is None
-    assert row["icd10_codes"] == ["I25", "I51.9"]
-    assert row["readcv2_codes"] == ["G5y..", "Zempt", "G5z.."]
-    assert row["readcv3_codes"] == ["XaBVJ", "YaaB1"]
     assert row["effective_time"] == datetime.date(2020, 1, 1)
-    empty = built.table(S.CODELIST_TABLE).filter("code = '300'").first()
-    assert (empty["mesh_codes"], empty["icd10_codes"]) == ([], None)
+
+
+def test_wide_lists(spark, raw):
+    """An external list that is empty is an empty array, none is NULL."""
+    described = stage(classify_descriptions(raw["description"], raw["refset_lang"]))
+    built = build_codelist(raw["concept"], described, raw["refset_map"], raw["ctv_map"], mesh(spark))
+    assert built.concepts.count() == built.concepts.select("code").distinct().count() == 8
+    for page in (1000, 2):
+        wide = maps.list_columns(built.lists, C.CODE_LIST_COLUMNS, page).orderBy("page").collect()
+        of_code = lambda code, column: [r[column] for r in wide if r["code"] == code]
+        assert of_code("300", "mesh_codes") == [[]] and of_code("300", "icd10_codes") == [None]
+        assert sum((x or [] for x in of_code("200", "readcv2_codes")), []) == ["G5y..", "Zempt", "G5z.."]
+        assert len(of_code("200", "mesh_codes")) == (1 if page == 1000 else 2)
 
 
 def test_codelist_vectors(built):
-    row = built.table(S.CODELIST_TABLE).filter("code = '200'").first()
-    assert vector(row["synonyms_vector"]) == {"heart": "1D", "diseas": "2D", "cardiac": "3D", "disord": "4D"}
+    assert of(built, "200", "synonyms") == {"heart": "1D", "diseas": "2D", "cardiac": "3D", "disord": "4D"}
     lists = {
         "d006331": 0, "d1": 1, "d2": 2, "k40.1": 3, "k40": 3, "i25": 4, "i51.9": 5, "i51": 5, "9": 5,
         "g5y": 6, "zempt": 7, "g5z": 8, "xabvj": 9, "yaab1": 10,
     }
-    assert vector(row["search_vector"]) == {
+    assert of(built, "200", "search") == {
         "200": "1A", "disord": "2A 5A 9B", "heart": "4A 6B", "diseas": "7B", "cardiac": "8B",
         "1": "13B", **{k: f"{v + 10}B" for k, v in lists.items()},
     }
-    assert vector(row["relation_vector"]) == {"200": "1A", "1": "5B", **{k: f"{v + 2}B" for k, v in lists.items()}}
+    assert of(built, "200", "relation") == {"200": "1A", "1": "5B", **{k: f"{v + 2}B" for k, v in lists.items()}}
 
 
-def test_vectors_are_null_exactly_without_synonyms(built):
-    found = built.table(S.CODELIST_TABLE).select("code", F.col("search_vector").isNull(), F.col("synonyms_vector").isNull())
-    assert {r[0] for r in found.collect() if r[1]} == {"210", "500", "600", C.ROOT_CONCEPT, tiny.BIG}
-    assert all(r[1] == r[2] for r in found.collect())
+def test_no_search_vector_exactly_without_synonyms(built):
+    every = {r["code"] for r in built.table(S.CODELIST_TABLE).collect()}
+    found = {k: {r["code"] for r in built.table(S.LEXEME_INDEX).filter(F.col("vector") == k).collect()} for k in ("search", "synonyms")}
+    assert every - found["search"] == {"210", "500", "600", C.ROOT_CONCEPT, tiny.BIG}
+    assert found["search"] == found["synonyms"]
 
 
 def test_tags(built):
@@ -212,10 +241,12 @@ def test_tags(built):
     assert json.loads(found[1]["properties"]) == {"code": "200", "code_id": 2, "coding_system_id": 9}
     assert {r["type_id"] for r in found} == {0} and {r["reference_id"] for r in found} == {None}
     # without synonyms the tag vector holds description, code and relations
-    assert vector(found[4]["search_vector"]) == {"lone": "1A", "find": "2A", "500": "3A 4B"}
+    assert of(built, "500", "search", S.TAG_VECTORS) == {"lone": "1A", "find": "2A", "500": "3A 4B"}
     # description 4 positions, code 1, relations 12; then heart, disease, cardiac, disorders
-    heart = vector(found[1]["search_vector"])
+    heart = of(built, "200", "search", S.TAG_VECTORS)
     assert (heart["disord"], heart["200"], heart["diseas"]) == ("1A 4A 21B", "5A 6B", "19B")
+    assert of(built, "200", "synonyms", S.TAG_VECTORS) == of(built, "200", "synonyms")
+    assert C.ROOT_CONCEPT not in {r["code"] for r in built.table(S.TAG_VECTORS).collect()}
 
 
 def test_edges(built):
@@ -228,32 +259,6 @@ def test_edges(built):
     assert checks.broken_edges(built.table(S.EDGE_TABLE), built.table(S.TAG_TABLE), ["child_id", "parent_id"]).isEmpty()
 
 
-def merged(df, columns):
-    """Content per code over its chunks: lists joined in order, vectors as mappings; None stays None."""
-    out = {}
-    for row in df.orderBy("code", "chunk").collect():
-        for column in columns:
-            value = row[column] if column.endswith("_codes") or row[column] is None else list(vector(row[column]).items())
-            if value is not None:
-                out.setdefault((row["code"], column), []).extend(value)
-    return {k: v if k[1].endswith("_codes") else dict(v) for k, v in out.items()}
-
-
-def test_concepts_cut_into_rows_have_the_same_content(spark, raw):
-    described = stage(classify_descriptions(raw["description"], raw["refset_lang"]))
-    whole, cut = [
-        stage(build_codelist(raw["concept"], described, raw["refset_map"], raw["ctv_map"], mesh(spark), whole_group_rows=n))
-        for n in (100_000, 2)
-    ]
-    assert whole.filter("chunk > 0").isEmpty() and not cut.filter("chunk > 0").isEmpty()
-    columns = [*C.CODE_LIST_COLUMNS, "search_vector", "synonyms_vector", "relation_vector"]
-    assert merged(cut, columns) == merged(whole, columns)
-    assert all(len(r[c] or []) <= 2 for r in cut.collect() for c in C.CODE_LIST_COLUMNS)
-    tags = [build_tags(df) for df in (whole, cut)]
-    assert merged(tags[1], columns[-3:]) == merged(tags[0], columns[-3:])
-    assert rows(tags[1].filter("chunk = 0"), "id", "code", "properties") == rows(tags[0], "id", "code", "properties")
-
-
 def codes(df):
     return sorted(r["code"] for r in df.collect())
 
