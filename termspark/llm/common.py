@@ -14,7 +14,7 @@ from termspark.session import drop_staged, staging_path
 
 # Bytes of text handled at once inside a task. Arrow batches are cut by this size as well as by rows,
 # so that a batch of very long texts does not grow with its row count.
-BATCH_BYTES = 16 << 20
+BATCH_BYTES = 8 << 20
 
 
 def with_batch_bounds(df: DataFrame) -> DataFrame:

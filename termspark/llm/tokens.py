@@ -33,11 +33,11 @@ _TOUCHING = re.compile(r"[.,][^\sA-Za-z0-9ªµºÀ-ÖØ-öø-ſ²³¹¼-¾]|[^\s
 _UNCERTAIN = re.compile(r"[^\n\x20-\x7e¡-įı-ſ]|<\|")
 # Words kept in each of the two generations of a worker's cache: when the new one is full it becomes
 # the old one, and words still in use move over. This bounds the memory.
-CACHED_WORDS = 300_000
+CACHED_WORDS = 200_000
 # characters; a longer word is not worth keeping
 LONGEST_CACHED = 64
 # characters of text whose words are dealt out at once
-GROUP_CHARS = 4 << 20
+GROUP_CHARS = 2 << 20
 
 
 def _byte_letters() -> dict[int, int]:
