@@ -13,6 +13,7 @@ Work on one page is linear in its size, but for the fixed number of ancestors th
 from __future__ import annotations
 
 import re
+from collections import Counter
 from html import unescape
 
 import pyarrow as pa
@@ -108,37 +109,40 @@ class Page:
         return len(self.tags) - 1
 
     def _parse(self, html: str) -> None:
-        stack, at, n = [0], 0, len(html)
+        at, n = 0, len(html)
+        # open elements, and for each the block element that text belongs to inside it
+        stack, owners = [0], [0]
+        # how many of each name are open; of links, articles, and inline elements that are left out
+        opened: Counter[str] = Counter()
         text: list[str] = []
-        link_chars = links = in_link = articles = 0
-        owner = 0
+        link_chars = links = articles = silent = 0
 
         def flush() -> None:
             nonlocal link_chars, links
             if text:
                 joined = " ".join(unescape("".join(text)).split())
-                if joined and not self.out[owner]:
-                    self.blocks.append((owner, joined, link_chars, links))
+                if joined and not self.out[owners[-1]]:
+                    self.blocks.append((owners[-1], joined, link_chars, links))
                 text.clear()
             link_chars = links = 0
 
         def close(depth: int) -> None:
             """End the elements of the stack from ``depth`` on."""
-            nonlocal in_link, articles, owner
-            for element in stack[depth:]:
-                in_link -= self.tags[element] == "a"
-                articles -= self.tags[element] in ("article", "main")
-            if any(self.tags[e] in BLOCK for e in stack[depth:]):
+            nonlocal articles, silent
+            if owners[-1] != owners[depth - 1]:
                 flush()
-            del stack[depth:]
-            while self.tags[owner] not in BLOCK and owner or owner not in stack:
-                owner = self.parents[owner]
+            for element in stack[depth:]:
+                tag = self.tags[element]
+                opened[tag] -= 1
+                articles -= tag in ("article", "main")
+                silent -= self.out[element] and tag not in BLOCK
+            del stack[depth:], owners[depth:]
 
         def add(piece: str) -> None:
             nonlocal link_chars
-            text.append(piece)
-            if in_link:
-                link_chars += len(piece)
+            if not silent:
+                text.append(piece)
+                link_chars += len(piece) if opened["a"] > 0 else 0
 
         while at < n:
             found = _TOKEN.search(html, at)
@@ -153,32 +157,29 @@ class Page:
                 continue
             tag = tag.lower()
             if closing:
-                for depth in range(len(stack) - 1, 0, -1):
-                    if self.tags[stack[depth]] == tag:
-                        close(depth)
-                        break
-                    if tag in ("p", "li") and self.tags[stack[depth]] in SCOPES:
-                        break
+                if opened[tag] > 0:
+                    for depth in range(len(stack) - 1, 0, -1):
+                        if self.tags[stack[depth]] == tag:
+                            close(depth)
+                            break
+                        if tag in ("p", "li") and self.tags[stack[depth]] in SCOPES:
+                            break
                 continue
-            ends = {"p"} if tag in BLOCK else set()
-            ends |= ENDS.get(tag, set())
-            if ends:
+            ends = ENDS.get(tag, set()) | ({"p"} if tag in BLOCK else set())
+            if left := sum(opened[e] for e in ends):
                 cut = None
                 for depth in range(len(stack) - 1, 0, -1):
                     name = self.tags[stack[depth]]
                     if name in ends:
-                        cut = depth
-                    elif name in SCOPES:
+                        cut, left = depth, left - 1
+                    if not left or name not in ends and name in SCOPES:
                         break
                 if cut is not None:
                     close(cut)
-            if tag in BLOCK or tag == "br":
-                if tag == "br":
-                    text.append(" ")
-                else:
-                    flush()
-            parent = stack[-1]
-            out = self.out[parent] or _unwanted(tag, attributes, articles > 0)
+            if tag == "br":
+                text.append(" ")
+            elif tag in BLOCK:
+                flush()
             if tag in VOID:
                 continue
             if tag in RAW:
@@ -188,15 +189,15 @@ class Page:
                 continue
             if attributes.endswith("/") and tag not in BLOCK and tag != "a":
                 continue
+            parent = stack[-1]
+            out = self.out[parent] or _unwanted(tag, attributes, articles > 0)
             element = self._open(tag, parent, out)
             stack.append(element)
-            in_link += tag == "a"
-            links += tag == "a"
+            owners.append(element if tag in BLOCK else owners[-1])
+            opened[tag] += 1
+            links += tag == "a" and not silent
             articles += tag in ("article", "main")
-            if tag in BLOCK or out and not self.out[parent]:
-                if tag not in BLOCK:
-                    flush()
-                owner = element
+            silent += out and tag not in BLOCK
         flush()
 
     def _sums(self) -> tuple[list[int], list[int], list[int]]:

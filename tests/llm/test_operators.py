@@ -126,6 +126,11 @@ def test_page_text():
         ("</p></div><p>x", "x"),
         ("<div>" * 3000 + "deep, text" + "</div>" * 3000, "deep, text"),
         ("<p>a < b and <", "a < b and <"),
+        ("<p>before <span class='ad'>buy</span> after</p>", "before after"),
+        ("<p>x <a class=share href=#>share <b>this</b></a> y", "x y"),
+        ("<table><tr><td>a, b<td>c<tr><td>d</table>", "a, b\nc\nd"),
+        ("<b>" * 3000 + "<p>one</b></b><p>two</i></p>", "one\ntwo"),
+        ("<div class='has-sidebar'><p>kept</p></div><div class='my-sidebar'><p>left, out</p></div>", "kept"),
     ],
 )
 def test_odd_pages(page, text):
