@@ -38,7 +38,8 @@ _BLANKED = bytes(b if 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
 
 
 def has_letter(text: str | None) -> bool:
-    return bool(text) and _LETTER.search(text) is not None
+    # number signs such as a superscript two are word characters, but no letters
+    return bool(text) and any(m[0].isalpha() for m in _LETTER.finditer(text))
 
 
 def features(text: str) -> np.ndarray:

@@ -369,6 +369,10 @@ def test_codewords():
     assert language.codewords(1).shape == (1, 0)
 
 
+def test_letters():
+    assert [language.has_letter(t) for t in (None, "", "12 ½²_!", "½ é", "中", "1a")] == [False] * 3 + [True] * 3
+
+
 def test_held_out_accuracy(spark, tables):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     found = language.language_report(docs).join(docs.select("doc_id", "lang"), "doc_id").collect()
