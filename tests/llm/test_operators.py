@@ -452,17 +452,18 @@ def test_pruning_changes_nothing(monkeypatch):
     docs, terms = pick.integers(0, 900, n), (pick.pareto(1, n) * 3).astype(int) % 400
     pairs = sorted(set(zip(docs.tolist(), terms.tolist())))
     docs, terms = map(np.array, zip(*pairs))
+    ids = np.array([int(i) * 3 for i in pick.permutation(900)])
     weights = pick.integers(1, 50, len(docs))
     queries = [np.unique(pick.integers(0, 450, 12)) for _ in range(60)]
     for block, dense in [(64, 1 / 32), (8, 1 / 8), (8, 2)]:
         monkeypatch.setattr(search, "BLOCK", block)
         monkeypatch.setattr(search, "DENSE_SHARE", dense)
-        found = search.Shard(docs, terms, weights).search(queries, 7)
+        found = search.Shard(ids, docs, terms, weights).search(queries, 7)
         for query, top in zip(queries, found):
             scores = Counter()
             for d, t, w in zip(docs.tolist(), terms.tolist(), weights.tolist()):
                 if t in query:
-                    scores[d] += w
+                    scores[int(ids[d])] += w
             assert top == [(s, d) for s, d in sorted(((s, d) for d, s in scores.items()), key=lambda x: (-x[0], x[1]))[:7]]
 
 
