@@ -432,8 +432,8 @@ def slow_top(docs, queries, k):
         yield from ((q, n + 1, doc, -s) for n, (s, doc) in enumerate(sorted(scores)[:k]))
 
 
-@pytest.mark.parametrize("shard_docs, block, dense", [(16_384, 64, 1 / 32), (37, 4, 1 / 4), (37, 4, 2)])
-def test_search(spark, tables, odd_docs, monkeypatch, shard_docs, block, dense):
+@pytest.mark.parametrize("shard_docs", [16_384, 37])
+def test_search(spark, tables, odd_docs, monkeypatch, shard_docs):
     monkeypatch.setattr(search, "SHARD_DOCS", shard_docs)
     docs = tables("documents").select("doc_id", "text")
     docs = docs.unionByName(odd_docs.select(F.col("doc_id") + 1000, "text").toDF("doc_id", "text"))
