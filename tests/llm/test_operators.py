@@ -458,7 +458,8 @@ def test_pruning_changes_nothing(monkeypatch):
     for block, dense in [(64, 1 / 32), (8, 1 / 8), (8, 2)]:
         monkeypatch.setattr(search, "BLOCK", block)
         monkeypatch.setattr(search, "DENSE_SHARE", dense)
-        found = search.Shard(ids, docs, terms, weights).search(queries, 7)
+        names = np.arange(401)
+        found = search.Shard(ids, docs, terms, weights, names).search(queries, 7)
         for query, top in zip(queries, found):
             scores = Counter()
             for d, t, w in zip(docs.tolist(), terms.tolist(), weights.tolist()):
