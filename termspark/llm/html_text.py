@@ -72,7 +72,9 @@ _TOKEN = re.compile(
     r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)(?:>|\Z)",
     re.S,
 )
-_NAMED = re.compile(r"\b(class|id|role|hidden|aria-hidden)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
+# a name from the start of the attributes on, and its value as a whole
+_ATTRIBUTE = re.compile(r"([^\s/>=]+)(?:\s*=\s*(?:\"([^\"]*)(?:\"|\Z)|'([^']*)(?:'|\Z)|([^\s>]+)))?")
+_NAMES = frozenset("class id role hidden aria-hidden".split())
 _PART = re.compile(r"[a-z]+")
 
 
@@ -82,8 +84,10 @@ def _unwanted(tag: str, attributes: str, inside_article: bool) -> bool:
         return True
     if not attributes or tag in ("html", "body", "main", "article"):
         return False
-    for name, a, b, c in _NAMED.findall(attributes):
+    for name, a, b, c in _ATTRIBUTE.findall(attributes):
         name, value = name.lower(), (a or b or c).lower()
+        if name not in _NAMES:
+            continue
         if name == "hidden" or name == "aria-hidden" and value == "true":
             return True
         for word in value.split() if name != "aria-hidden" else ():
