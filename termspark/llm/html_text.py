@@ -53,6 +53,13 @@ UNWANTED = frozenset(
     " login search form share sharing social related recommended"
     " comment comments commentlist disqus respond replies reply discussion hidden".split()
 )
+# of these, words that an article uses for its own parts as well
+GENERIC = frozenset(
+    "header masthead bottom form search discussion related recommended share sharing social alert notice notices"
+    " banner banners promo promotion overlay widget widgets rail login signup subscribe subscription copyright"
+    " respond reply replies comment comments aside menu menus navigation hidden".split()
+)
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 # words that say that something else is beside an element, not what it is
 BESIDE = frozenset("has with without no".split())
 # --- end of fixed values ---
@@ -64,6 +71,8 @@ MOST_LENGTH_POINTS = 3
 SHARES = (1.0, 1 / 2, 1 / 6, 1 / 9, 1 / 12)
 # a sibling stays with this share of the best element's points
 SIBLING_SHARE = 0.2
+# an element with a doubtful name is left out with this share of its text in links
+DOUBTFUL_DENSITY = 0.5
 # a list or division of at least so many links, with this share of its text in them, is a menu
 MENU_LINKS, MENU_DENSITY = 3, 0.6
 
@@ -78,23 +87,37 @@ _NAMES = frozenset("class id role hidden aria-hidden".split())
 _PART = re.compile(r"[a-z]+")
 
 
-def _unwanted(tag: str, attributes: str, inside_article: bool) -> bool:
-    """Whether an element is left out with all it contains."""
+def _unwanted(tag: str, attributes: str, inside_article: bool) -> tuple[bool, bool]:
+    """Whether an element is left out with all it contains, and whether that depends on its links.
+
+    Inside an article, and on headings and paragraphs, a name has to consist of listed words, not all of
+    them generic; another name with a listed word is doubtful. A heading's id says nothing.
+    """
     if tag in LEFT_OUT or tag == "header" and not inside_article:
-        return True
+        return True, False
     if not attributes or tag in ("html", "body", "main", "article"):
-        return False
+        return False, False
+    doubtful = False
     for name, a, b, c in _ATTRIBUTE.findall(attributes):
         name, value = name.lower(), (a or b or c).lower()
         if name not in _NAMES:
             continue
         if name == "hidden" or name == "aria-hidden" and value == "true":
-            return True
-        for word in value.split() if name != "aria-hidden" else ():
+            return True, False
+        if name == "aria-hidden" or name == "id" and tag in HEADINGS:
+            continue
+        for word in value.split():
             parts = _PART.findall(word)
-            if not UNWANTED.isdisjoint(parts) and BESIDE.isdisjoint(parts):
-                return True
-    return False
+            if UNWANTED.isdisjoint(parts) or not BESIDE.isdisjoint(parts):
+                continue
+            whole = UNWANTED.issuperset(parts)
+            if not (inside_article or tag in HEADINGS or tag == "p") or whole and not GENERIC.issuperset(parts):
+                return True, False
+            # a link by itself is all link
+            if whole and tag == "a":
+                return True, False
+            doubtful = True
+    return False, doubtful
 
 
 class Page:
@@ -102,6 +125,8 @@ class Page:
 
     def __init__(self, html: str):
         self.tags, self.parents, self.out = ["#root"], [-1], [False]
+        # elements that are left out if their text is mostly links
+        self.doubtful: list[int] = []
         # (element, text, characters in links, number of links)
         self.blocks: list[tuple[int, str, int, int]] = []
         self._parse(html)
@@ -194,8 +219,11 @@ class Page:
             if attributes.endswith("/") and tag not in BLOCK and tag != "a":
                 continue
             parent = stack[-1]
-            out = self.out[parent] or _unwanted(tag, attributes, articles > 0)
+            unwanted, doubtful = _unwanted(tag, attributes, articles > 0)
+            out = self.out[parent] or unwanted
             element = self._open(tag, parent, out)
+            if doubtful:
+                self.doubtful.append(element)
             stack.append(element)
             owners.append(element if tag in BLOCK else owners[-1])
             opened[tag] += 1
@@ -222,6 +250,14 @@ class Page:
     def main_text(self) -> str:
         """The blocks of the best container and its kept siblings, one to a line."""
         chars, in_links, links = self._sums()
+        for element in self.doubtful:
+            self.out[element] |= bool(links[element]) and in_links[element] >= DOUBTFUL_DENSITY * chars[element]
+        if self.doubtful:
+            # a parent is settled before its children
+            for element in range(1, len(self.tags)):
+                self.out[element] |= self.out[self.parents[element]]
+            self.blocks = [b for b in self.blocks if not self.out[b[0]]]
+            chars, in_links, links = self._sums()
         points = [0.0] * len(self.tags)
         for element, text, link_chars, _ in self.blocks:
             if self.tags[element] in PARAGRAPHS or element == 0 or self.tags[element] == "body":

@@ -18,3 +18,21 @@ from termspark.llm import html_text
 )
 def test_attributes(page, text):
     assert html_text.extract(page) == text
+
+
+@pytest.mark.parametrize(
+    "part",
+    [
+        "<section id='discussion'><p>{}</p></section>",
+        "<section id='related-work'><p>{}</p></section>",
+        "<h2 id='search-results'>{}</h2>",
+        "<h2 id='login-form'>{}</h2>",
+        "<div class='entry-header'><h1>{}</h1></div>",
+        "<h2 class='section-header'>{}</h2>",
+        "<p class='margin-bottom'>{}</p>",
+    ],
+)
+def test_names_inside_the_article(part):
+    page = "<article><p>one, two</p>" + part.format("kept, text") + "<div class='share'><a href=x>Share</a></div>"
+    page += "<div class='ad'>Buy, buy</div><div class='cookie-notice'>We use cookies</div></article>"
+    assert html_text.extract(page) == "one, two\nkept, text"
