@@ -3,8 +3,8 @@
 A page is read into a tree that is tolerant of unclosed and misplaced tags. Every paragraph earns points
 for its length and its commas and passes them to its ancestors, less the farther up; an element's points
 are discounted by the share of its text that stands in links. The best container is kept, with those
-siblings that have enough points of their own, widened to the article or main element around it. Parts
-that are menus, headers, footers, sidebars, notices, adverts, forms, scripts or comments, by element,
+siblings that have enough points of their own, widened to the article or main element around it; without
+one, headings and short blocks beside and between them stay too. Parts that are menus, headers, footers, sidebars, notices, adverts, forms, scripts or comments, by element,
 role, class or id, never count and are left out. What stays is returned block by block in page order.
 
 Work on one page is linear in its size, but for the fixed number of ancestors that get points.
@@ -60,6 +60,8 @@ GENERIC = frozenset(
     " respond reply replies comment comments aside menu menus navigation hidden".split()
 )
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+# elements that belong to the text next to them
+BESIDE_TEXT = HEADINGS | frozenset("p pre ul ol dl blockquote table figure hgroup".split())
 # words that say that something else is beside an element, not what it is
 BESIDE = frozenset("has with without no".split())
 # --- end of fixed values ---
@@ -280,23 +282,72 @@ class Page:
         if around > 0:
             kept = {around}
             best = around
-        for element in range(1, len(self.tags)):
-            if self.parents[element] == self.parents[best] and element != best and best:
-                if scores[element] >= SIBLING_SHARE * scores[best] > 0 or (
-                    self.tags[element] == "p" and chars[element] > 80 and 4 * in_links[element] < chars[element]
-                ):
-                    kept.add(element)
+        siblings = [e for e in range(1, len(self.tags)) if best and self.parents[e] == self.parents[best]]
+        for element in siblings:
+            if element != best and (
+                scores[element] >= SIBLING_SHARE * scores[best] > 0
+                or (self.tags[element] == "p" and chars[element] > 80 and 4 * in_links[element] < chars[element])
+            ):
+                kept.add(element)
+        if best and around <= 0:
+            kept |= self._beside(siblings, kept, chars, in_links)
         # elements are numbered in page order, so a parent is settled before its children
-        inside = [False] * len(self.tags)
-        for element in range(len(self.tags)):
+        size = len(self.tags)
+        inside, menu = [False] * size, [False] * size
+        for element in range(size):
             parent = self.parents[element]
-            menu = (
+            inside[element] = (element in kept or parent >= 0 and inside[parent]) and not self.out[element]
+            menu[element] = (
                 self.tags[element] in ("ul", "ol", "dl", "div", "section", "table")
                 and links[element] >= MENU_LINKS
                 and in_links[element] >= MENU_DENSITY * chars[element]
             )
-            inside[element] = (element in kept or parent >= 0 and inside[parent]) and not menu and not self.out[element]
-        return "\n".join(text for element, text, _, _ in self.blocks if inside[element])
+        # loose text between kept siblings belongs to them
+        own = [i for i, b in enumerate(self.blocks) if inside[b[0]]] if best and around <= 0 else []
+        loose = range(own[0], own[-1] + 1) if own else range(0)
+        self._spare_embedded(inside, menu)
+        for element in range(1, size):
+            menu[element] |= menu[self.parents[element]]
+        return "\n".join(
+            text
+            for i, (element, text, _, _) in enumerate(self.blocks)
+            if (inside[element] or i in loose and element == self.parents[best]) and not menu[element]
+        )
+
+    def _beside(self, siblings: list[int], kept: set[int], chars: list[int], in_links: list[int]) -> set[int]:
+        """Siblings of the text: all but links between kept ones, headings and short blocks next to them."""
+        shown = [e for e in siblings if not self.out[e] and chars[e]]
+        at = [i for i, e in enumerate(shown) if e in kept]
+        if not at:
+            return set()
+        found = {e for e in shown[at[0] : at[-1]] if 2 * in_links[e] < chars[e]}
+        for run in (reversed(shown[: at[0]]), shown[at[-1] + 1 :]):
+            for e in run:
+                if self.tags[e] not in BESIDE_TEXT or 4 * in_links[e] >= chars[e]:
+                    break
+                found.add(e)
+        return found
+
+    def _spare_embedded(self, inside: list[bool], menu: list[bool]) -> None:
+        """Unmark link-dense elements between paragraphs of the text, or under a heading after one."""
+        size, n = len(self.tags), len(self.blocks)
+        first, last, dense = [n] * size, [-1] * size, menu[:]
+        for i, (element, *_) in enumerate(self.blocks):
+            first[element], last[element] = min(first[element], i), i
+        for element in range(size - 1, 0, -1):
+            parent = self.parents[element]
+            first[parent], last[parent] = min(first[parent], first[element]), max(last[parent], last[element])
+        for element in range(1, size):
+            dense[element] |= dense[self.parents[element]]
+        plain = [
+            i
+            for i, (element, text, link_chars, _) in enumerate(self.blocks)
+            if inside[element] and not dense[element] and self.tags[element] not in HEADINGS and 2 * link_chars < len(text)
+        ]
+        for element in range(size):
+            if menu[element] and inside[element] and plain and plain[0] < first[element] < n:
+                headed = self.tags[self.blocks[first[element] - 1][0]] in HEADINGS
+                menu[element] = not (headed or plain[-1] > last[element])
 
 
 def extract(html: str | None) -> str:

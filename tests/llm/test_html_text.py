@@ -36,3 +36,23 @@ def test_names_inside_the_article(part):
     page = "<article><p>one, two</p>" + part.format("kept, text") + "<div class='share'><a href=x>Share</a></div>"
     page += "<div class='ad'>Buy, buy</div><div class='cookie-notice'>We use cookies</div></article>"
     assert html_text.extract(page) == "one, two\nkept, text"
+
+
+LONG = "<p>" + "long text, with commas, and more, " * 9 + "end</p>"
+LINKS = "<ul><li><a href=1>one</a><li><a href=2>two</a><li><a href=3>three</a></ul>"
+
+
+@pytest.mark.parametrize(
+    "page, parts",
+    [
+        (f"<body><h1>Title</h1><div>{LONG}</div><p>Short end.</p></body>", ["Title", LONG, "Short end."]),
+        (f"<body><p>Intro.</p><div>{LONG}</div><h2>Next</h2><div>{LONG}</div></body>", ["Intro.", LONG, "Next", LONG]),
+        (f"<body>{LINKS}<h1>Title</h1><div>{LONG}</div>{LINKS}</body>", ["Title", LONG]),
+        (f"<article>{LONG}{LINKS}{LONG}</article>", [LONG, "one", "two", "three", LONG]),
+        (f"<article>{LONG}<h2>Sources</h2>{LINKS}</article>", [LONG, "Sources", "one", "two", "three"]),
+        (f"<article><h1>Title</h1>{LINKS}{LONG}{LINKS}</article>", ["Title", LONG]),
+    ],
+)
+def test_text_beside_the_best(page, parts):
+    wanted = [p.removeprefix("<p>").removesuffix("</p>") for p in parts]
+    assert html_text.extract(page).split("\n") == wanted
