@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from termspark.llm import (
+    conversations,
     decontaminate,
     html_text,
     language,
@@ -149,3 +150,30 @@ def op10_arrow_token_files(spark, sf_dir):
     docs, folder = table(spark, sf_dir, "documents"), staging_path(spark, "token-files")
     index = token_files.write_token_files(docs, tokenizer_path("word_bpe_49k.json"), folder)
     return token_files.read_token_files(index, folder)
+
+
+def damaged_turns(rows: DataFrame) -> DataFrame:
+    """Conversation rows with faults put in by a checksum of ``conv_id:turn``."""
+    space = F.lit(" ")
+    name = [F.coalesce(F.col(c).cast("string"), space) for c in ("conv_id", "turn")]
+    fault = F.crc32(F.concat(name[0], F.lit(":"), name[1]).cast("binary")) % 20
+    text = F.coalesce("text", space)
+    made = rows.select("conv_id", "turn", F.coalesce("role", space).alias("role"), text.alias("text"), fault.alias("fault"))
+    made = made.filter("fault <> 0")
+    made = made.withColumns(
+        {
+            "role": F.when(F.col("fault") == 4, "user").otherwise(F.col("role")),
+            "text": F.when(F.col("fault") == 1, "")
+            .when(F.col("fault") == 2, F.translate("text", ".!?", ""))
+            .otherwise(F.col("text")),
+            "copies": F.array_repeat(F.lit(0), F.when(F.col("fault") == 3, 2).otherwise(1)),
+        }
+    )
+    return made.select("conv_id", "turn", "role", "text", F.explode("copies").alias("copy")).drop("copy")
+
+
+@query
+def op11_conversation_repair(spark, sf_dir):
+    """All conversations, damaged and repaired."""
+    rows = table(spark, sf_dir, "conversations")
+    return conversations.structure_report(damaged_turns(rows), rows)
