@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from termspark.llm import (
+    alignment,
     conversations,
     decontaminate,
     html_text,
@@ -177,3 +178,10 @@ def op11_conversation_repair(spark, sf_dir):
     """All conversations, damaged and repaired."""
     rows = table(spark, sf_dir, "conversations")
     return conversations.structure_report(damaged_turns(rows), rows)
+
+
+@query
+def op13_token_alignment(spark, sf_dir):
+    """All documents under two tokenizers, aligned by bytes."""
+    docs = table(spark, sf_dir, "documents")
+    return alignment.alignment_report(docs, tokenizer_path("byte_bpe_50k.json"), tokenizer_path("piece_bpe_32k.model"))
