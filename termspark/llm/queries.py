@@ -15,6 +15,7 @@ from termspark.llm import (
     language,
     licenses,
     packing,
+    perplexity,
     search,
     sharding,
     simhash,
@@ -180,6 +181,12 @@ def op11_conversation_repair(spark, sf_dir):
     return conversations.structure_report(damaged_turns(rows), rows)
 
 
+@query
+def op12_quality_rules(spark, sf_dir):
+    """All documents: base rules, and the perplexity bands of each language."""
+    return perplexity.quality_report(table(spark, sf_dir, "documents"))
+
+
 @query
 def op13_token_alignment(spark, sf_dir):
     """All documents under two tokenizers, aligned by bytes."""

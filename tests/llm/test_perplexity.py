@@ -1,0 +1,168 @@
+"""Base counts and the Kneser-Ney model against plain definitions."""
+
+import math
+import random
+import re
+from collections import Counter, defaultdict
+
+import numpy as np
+import pytest
+
+from termspark.llm import perplexity as quality
+from termspark.llm.queries import QUERIES
+
+SCHEMA = "doc_id bigint, text string, lang string"
+
+
+def slow_counts(text):
+    words = re.findall(r"[^\x20\x09-\x0d]+", text or "")
+    windows = [tuple(words[i : i + 3]) for i in range(len(words) - 2)]
+    uses = Counter(windows)
+    covered = {p for i, w in enumerate(windows) if uses[w] > 1 for p in range(i, i + 3)}
+    lines = [line for line in (text or "").split("\n") if re.search(r"[^\x20\x09-\x0d]", line)]
+    again = sum(line in lines[:n] for n, line in enumerate(lines))
+    return [len(words), sum(map(len, words)), len(re.findall(r"[#*$%&|<>]", text or "")), again, len(covered)]
+
+
+def folded(text):
+    out = re.sub("[0-9]", "0", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+    return " ".join(re.findall(r"[^\x20\x09-\x0d]+", out))
+
+
+class SlowModel:
+    """Interpolated modified Kneser-Ney by its definition, one language."""
+
+    def __init__(self, texts, order=5):
+        self.order = order
+        padded = ["\n" * (order - 1) + folded(t) for t in texts]
+        counts = Counter(p[i - order + 1 : i + 1] for p in padded for i in range(order - 1, len(p)))
+        self.tables = {order: counts}
+        for n in range(order - 1, 0, -1):
+            before = defaultdict(set)
+            for seq in self.tables[n + 1]:
+                before[seq[1:]].add(seq[0])
+            self.tables[n] = Counter({s: len(b) for s, b in before.items()})
+        self.cuts, self.contexts = {}, {}
+        for n, table in self.tables.items():
+            t = [sum(c == i for c in table.values()) for i in range(5)]
+            y = t[1] / (t[1] + 2 * t[2]) if t[1] + 2 * t[2] else 0
+            self.cuts[n] = [0] + [
+                max(0.1, min(i - (i + 1) * y * t[i + 1] / t[i], i)) if t[1] and t[i] else 0.5 for i in (1, 2, 3)
+            ]
+            sums = defaultdict(lambda: [0, 0.0])
+            for seq, c in table.items():
+                sums[seq[:-1]][0] += c
+                sums[seq[:-1]][1] += self.cut(n, c)
+            self.contexts[n] = sums
+        self.alphabet = len(self.tables[1]) + 1
+
+    def cut(self, n, count):
+        return min(self.cuts[n][min(count, 3)], count)
+
+    def probability(self, seq):
+        n = len(seq)
+        if n == 0:
+            return 1 / self.alphabet
+        below = self.probability(seq[1:])
+        if seq[:-1] not in self.contexts[n]:
+            return below
+        total, left = self.contexts[n][seq[:-1]]
+        count = self.tables[n].get(seq, 0)
+        return (count - self.cut(n, count) + left * below) / total if count else left * below / total
+
+    def loss(self, text):
+        padded = "\n" * (self.order - 1) + folded(text)
+        places = range(self.order - 1, len(padded))
+        logs = [math.log(self.probability(padded[i - self.order + 1 : i + 1])) for i in places]
+        return -sum(logs) / len(logs) if logs else None
+
+
+def made_rows():
+    rng = random.Random(4)
+    alphabets = {"x": "abc dé", "y": "abcdefgh  \n12", None: "xyz ü日"}
+    rows, n = [], 0
+    for lang, letters in alphabets.items():
+        for size in [3, 40, 200, 300, 500] * 4:
+            rows.append((n, "".join(rng.choice(letters) for _ in range(size)), lang))
+            n += 1
+    words = [f"w{i}" for i in range(60)]
+    rows += [(n, " ".join(words), "x"), (n, " ".join(words), "x"), (None, "ONE two\nONE two\n#### one", "y"), (n, None, "x")]
+    rows += [(n + 1, "", "y"), (n + 2, "alone 漢字 text of its language " * 20, "z"), (n + 3, None, "nothing"), (None, None, None)]
+    rows += [(n + 4, " ".join(words[:6] * 12), "x"), (n + 5, "\x1c \x85 " * 30, "x")]
+    return rows
+
+
+@pytest.mark.parametrize("block_entries", [quality.BLOCK_ENTRIES, 1500])
+def test_by_definition(spark, clashing, block_entries):
+    rows = made_rows()
+    docs = clashing(spark.createDataFrame(rows, SCHEMA).repartition(3))
+    made = quality.quality_report(docs, block_entries).collect()
+    models = {lang: SlowModel([t for _, t, g in rows if g == lang]) for lang in {r[2] for r in rows}}
+    wanted = Counter()
+    for doc, text, lang in rows:
+        loss = models[lang].loss(text)
+        wanted[(doc, *slow_counts(text), None if loss is None else round(math.exp(loss), 4))] += 1
+    got = Counter(
+        (r["doc_id"], *(r[n] for n in quality.BASE), None if r["perplexity"] is None else round(r["perplexity"], 4))
+        for r in made
+    )
+    assert got == wanted
+    for r in made:
+        failed = r["n_words"] < 50 or 100 * r["n_repeat_words"] > 50 * r["n_words"]
+        assert r["base_failed"] == failed
+        assert r["kept"] == (not failed and r["lower"] <= r["perplexity"] <= r["upper"])
+
+
+def test_probabilities_add_up(spark):
+    """Over the alphabet and the unknown character, after seen and unseen contexts."""
+    texts = [t for _, t, lang in made_rows() if lang == "y"]
+    docs = spark.createDataFrame([(n, t, "y") for n, t in enumerate(texts)], SCHEMA)
+    table = quality.kneser_ney(quality.count_sequences(docs)).cache()
+    ends = {r["lang"]: r["logp"] + (r["backoff"] or 0.0) for r in table.filter("ord = 0").collect()}
+    model = quality._hash_model(table, 0, 1, ends)
+    letters = sorted({c for t in texts for c in folded(t)}) + ["一"]
+    for context in ["\n\n\n\n", "abcd", "zzzz", "ab a", "hhh ", "q丁ab"]:
+        codes = np.array([ord(c) for x in letters for c in context + x], np.uint64)
+        places = np.arange(4, len(codes), 5)
+        logs = model.log_probabilities(codes, places, "y")
+        assert abs(np.exp(logs).sum() - 1) < 1e-4
+
+
+def test_base_counts():
+    rng = random.Random(2)
+    for _ in range(300):
+        text = "".join(rng.choice(["a", "b", "é", " ", "\n", "\t", "#", "|", "日", "\x1c"]) for _ in range(rng.randrange(60)))
+        assert list(quality.base_counts(text.encode()).values()) == slow_counts(text)
+
+
+def test_given_documents(spark, tables):
+    """Labelled good documents stay unless a base rule fails; rows, counts and verdicts fit the whole texts."""
+    made = {r["doc_id"]: r for r in QUERIES["op12_quality_rules"](spark, "/root/testdata/sf0.001").collect()}
+    docs = tables("documents").collect()
+    assert sorted(made) == sorted(r["doc_id"] for r in docs)
+    for r in docs:
+        assert [made[r["doc_id"]][n] for n in quality.BASE] == slow_counts(r["text"])
+    good = {r["doc_id"] for r in tables("labels").filter("quality = 1").collect()}
+    assert all(made[d]["kept"] or made[d]["base_failed"] for d in good)
+
+
+def test_strange_texts_go(spark, tables):
+    """Texts of another kind than their language leave the band on either side."""
+    rng = random.Random(1)
+    docs = tables("documents").filter("lang = 'en'").select("doc_id", "text", "lang").collect()
+    noise = ["".join(rng.choice("bcdfghjklmnpqrstvwxz0123") for _ in range(9)) for _ in range(3000)]
+    rows = [tuple(r) for r in docs]
+    rows += [(10**6 + n, " ".join(noise[100 * n : 100 * n + 100]), "en") for n in range(5)]
+    rows += [(2 * 10**6, " ".join(f"{'a' * (1 + n % 7)}" for n in range(400)), "en")]
+    kept = {r["doc_id"] for r in quality.keep_fluent(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert not any(d >= 10**6 for d in kept) and len(kept) > 0.8 * len(docs)
+
+
+def test_empty_and_odd_tables(spark, odd_docs, no_docs, clashing):
+    assert quality.quality_report(no_docs).count() == 0
+    assert quality.keep_fluent(no_docs).columns == no_docs.columns
+    docs = clashing(odd_docs)
+    made = quality.quality_report(docs).collect()
+    assert len(made) == docs.count()
+    kept = quality.keep_fluent(docs)
+    assert kept.columns == docs.columns and kept.count() == sum(r["kept"] for r in made)
