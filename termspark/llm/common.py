@@ -82,11 +82,23 @@ def struct(spec: str) -> T.StructType:
     return T.StructType.fromDDL(spec)
 
 
+# shuffle files of a write can go when it is done; nothing runs the same plan again
+CLEANED = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def read_once(df: DataFrame, label: str) -> tuple[DataFrame, str]:
-    """``df`` written below the shared folder and read back, with its path for ``drop_staged``."""
+    """``df`` written below the shared folder and read back, with its path for ``drop_staged``.
+
+    The shuffle files of the write go with its end.
+    """
     spark = df.sparkSession
     path = staging_path(spark, label)
-    df.write.parquet(path)
+    before = spark.conf.get(CLEANED)
+    spark.conf.set(CLEANED, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(CLEANED, before)
     return spark.read.schema(df.schema).parquet(path), path
 
 
