@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from termspark.sources.partitioned import Partitioned
+
 
 def latest_per_key(df: DataFrame, key: str, order: list[str]) -> DataFrame:
     """One row per key, the last by ``order``; combined before the shuffle, no sort of a group."""
@@ -36,3 +38,15 @@ def upsert(
         return F.when(takes, F.col(f"new.{name}")).otherwise(F.col(f"old.{name}")).alias(name)
 
     return joined.select(*[pick(c) for c in current.columns])
+
+
+def upsert_partitions(table: Partitioned, incoming: DataFrame, **rule) -> list[int]:
+    """``upsert`` into a stored table in partitions of its key; returns the partitions replaced.
+
+    Only the partitions of the incoming keys are read and written; the others keep their files. Doing it
+    again changes nothing.
+    """
+    numbers = table.numbers(incoming, table.key)
+    merged = upsert(table.read(numbers), incoming.select(*table.schema.names), table.key, **rule)
+    table.replace_parts(merged, numbers)
+    return numbers

@@ -28,17 +28,21 @@ def read_lines(
     whether it stands in its first block as ``_head``, and a number that rises inside a block as ``_at``.
     """
     lines = spark.read.option("lineSep", "\n").text(paths)
-    # one trailing \r belongs to the line end
-    text = F.when(F.col("value").endswith("\r"), F.expr("substring(value, 1, length(value) - 1)"))
     where = []
     if places:
         where.append(F.col("_metadata.file_path").alias("_file"))
         where.append((F.col("_metadata.file_block_start") == 0).alias("_head"))
         where.append(F.monotonically_increasing_id().alias("_at"))
-    lines = lines.select(F.coalesce(text, F.col("value")).alias("value"), *where).filter(F.col("value") != "")
+    lines = plain_lines(lines.select("value", *where))
     return lines if comment is None else lines.filter(~F.col("value").startswith(comment))
 
 
+def plain_lines(lines: DataFrame) -> DataFrame:
+    """Non-empty lines of a text scan (column ``value``); one trailing ``\\r`` belongs to the line end."""
+    text = F.when(F.col("value").endswith("\r"), F.expr("substring(value, 1, length(value) - 1)"))
+    return lines.withColumn("value", F.coalesce(text, F.col("value"))).filter(F.col("value") != "")
+
+
 def trim_left(text: Column) -> Column:
     return F.ltrim(text, F.lit(WHITE_SPACE))
 
@@ -86,6 +90,20 @@ def read_layout(
     read by one expression.
     """
     lines = read_lines(spark, paths, comment, places=True)
+    return parse_lines(lines, table, separator, strict, exact_width, strict_quotes, shift_empty)
+
+
+def parse_lines(
+    lines: DataFrame,
+    table: Table,
+    separator: str = TAB,
+    strict: bool = True,
+    exact_width: bool = False,
+    strict_quotes: bool = False,
+    shift_empty: bool = False,
+) -> DataFrame:
+    """Lines of whole files, with their places, as rows of ``table``; see ``read_layout``."""
+    spark = lines.sparkSession
     headers = lines.filter("_head").groupBy("_file").agg(F.min_by("value", "_at").alias("_header")).collect()
     if not headers:
         return spark.createDataFrame([], table.struct)
