@@ -422,3 +422,34 @@ with v as (
 select "column", value, count(*) as n from v group by all"""
 
 ORACLES["replaced_table"] = "select p_partkey, p_type, p_size * 2 as p_size from part where p_size > 10"
+
+ORACLES["merged_table"] = ORACLES["codelist_upsert"]
+
+ORACLES["incremental_concepts"] = f"with {CONCEPTS} select code, description, case_sig from concepts"
+
+ORACLES["incremental_lists"] = f"""
+select code, source, ord, target from ({ORACLES["codelist_lists"]}) where source <> 'MeSH'"""
+
+ORACLES["drop_load"] = """
+select o_orderkey as id, cast(o_orderdate as date) as effective_time, o_orderstatus <> 'P' as active, o_custkey as concept_id,
+       'the ' || o_orderpriority || ' of ' || o_orderkey || ' ' || o_orderstatus as term
+from orders"""
+
+ORACLES["tree_match"] = f"""
+with t as (select doc_id, {tokens("text")} as toks from documents),
+e as (select doc_id, unnest(toks) as tok, unnest(range(1, len(toks) + 1)) as pos, 'D' as weight from t),
+x as ({lexeme_rows("doc_id", "e")}),
+m as (
+  select doc_id, bool_or(lexeme = 'la') as la, bool_or(starts_with(lexeme, 'que')) as que, bool_or(lexeme = 'is') as "is"
+  from x group by doc_id),
+near as (
+  select distinct a.doc_id from x a join x b on a.doc_id = b.doc_id
+  where (a.lexeme = 'of' and b.lexeme = 'the' and b.pos = a.pos + 1)
+     or (a.lexeme = 'der' and b.lexeme = 'und' and b.pos = a.pos + 2))
+select m.doc_id from m left join near using (doc_id) where (near.doc_id is not null or (la and que)) and not "is"
+"""
+
+ORACLES["pattern_match"] = """
+select doc_id, 'like' as kind from documents where text like '%license%under%'
+union all
+select doc_id, 'rlike' from documents where regexp_matches(text, '(the|and) [a-z]*ation(al)? of')"""

@@ -15,14 +15,16 @@ from termspark import schemas as S
 from termspark.functions import decode as D
 from termspark.functions import scalar
 from termspark.functions import text as X
-from termspark.operators import checks, filters, lookup, maps, upsert, vectors
+from termspark.operators import checks, filters, lookup, maps, search, upsert, vectors
 from termspark.operators.numbering import dense_ids
-from termspark.plans import build, indexes
+from termspark.plans import build, increment, indexes
 from termspark.plans.classify import classify_descriptions
 from termspark.plans.codelist import Codelist, build_codelist, numbered_concepts
 from termspark.plans.ontology import number_tags, resolve_edges, tag_vectors
 from termspark.session import stage, staging_path, tune
 from termspark.sources import delimited, manifest, rf2, tables
+from termspark.sources.partitioned import Partitioned
+from termspark.streaming import load
 from termspark.streaming.ingest import ingest_new_files, stream_files
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -512,9 +514,8 @@ def codemap_pivot(spark, sf_dir):
     )
 
 
-@query
-def codelist_upsert(spark, sf_dir):
-    """Last order before 1996 per customer, updated from the last later order if active."""
+def order_versions(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
+    """Last order before 1996 per customer, and the last later one."""
     orders = table(spark, sf_dir, "orders").select(
         F.col("o_custkey").alias("code"),
         F.col("o_orderkey").alias("id"),
@@ -525,7 +526,24 @@ def codelist_upsert(spark, sf_dir):
     early = F.col("effective_time") < "1996-01-01"
     order = ["effective_time", "id"]
     current, incoming = [upsert.latest_per_key(orders.filter(side), "code", order) for side in (early, ~early)]
-    return upsert.upsert(current, incoming)
+    return current, incoming
+
+
+@query
+def codelist_upsert(spark, sf_dir):
+    """Last order before 1996 per customer, updated from the last later order if active."""
+    return upsert.upsert(*order_versions(spark, sf_dir))
+
+
+@query
+def merged_table(spark, sf_dir):
+    """The same update of a stored table in partitions, from two batches of which one comes twice."""
+    current, incoming = order_versions(spark, sf_dir)
+    stored = Partitioned(spark, staging_path(spark, "merged"), current.schema, "code", 16)
+    stored.replace_parts(current, stored.numbers(current, "code"))
+    for batch in (1, 0, 1):
+        upsert.upsert_partitions(stored, incoming.filter(F.col("code") % 2 == batch))
+    return stored.read()
 
 
 # ---------------------------------------------------------------- text vectors
@@ -739,6 +757,71 @@ def tag_vector(spark, sf_dir):
     return tag_vectors(built.concepts, stage(built.vectors, "vectors"), X.SIMPLE)
 
 
+def raw_frames(spark, sf_dir) -> dict[str, DataFrame]:
+    """Customers, orders and line items as raw tables, absent columns NULL."""
+    refset, read, _ = order_maps(spark, sf_dir)
+    day = F.lit("2020-01-01").cast("date")
+    given = {
+        "concept": customer_concepts(spark, sf_dir),
+        "description": order_descriptions(spark, sf_dir),
+        "refset_lang": item_refsets(spark, sf_dir),
+        "refset_map": refset,
+        "ctv_map": read,
+    }
+    frames = {}
+    for name, df in given.items():
+        df = df.withColumn("effective_time", day) if "effective_time" not in df.columns else df
+        fields = S.RAW_TABLES[name].struct
+        frames[name] = df.select(
+            *[(F.col(f.name) if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in fields]
+        )
+    return frames
+
+
+def incremental_store(spark, sf_dir) -> increment.Store:
+    """A store filled by two batches of raw rows, the second one applied twice. Built once for a session and folder."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _stores:
+        store = increment.Store(spark, staging_path(spark, "store"), parts=8, config=X.SIMPLE)
+        frames = raw_frames(spark, sf_dir)
+        for number in (1, 2, 2):
+            # rows of one concept come in both batches
+            batch = {n: df.filter(F.pmod(F.xxhash64(*df.columns), F.lit(2)) == number % 2) for n, df in frames.items()}
+            increment.apply_batch(store, batch, number)
+        _stores[key] = store
+    return _stores[key]
+
+
+_stores: dict[tuple[str, str], increment.Store] = {}
+
+
+@query
+def incremental_concepts(spark, sf_dir):
+    """Concepts derived batch by batch."""
+    return incremental_store(spark, sf_dir).table("concepts").select("code", "description", "case_sig")
+
+
+@query
+def incremental_lists(spark, sf_dir):
+    """Code lists derived batch by batch, in their order."""
+    return incremental_store(spark, sf_dir).table("lists").select("code", "source", "ord", "target")
+
+
+@query
+def drop_load(spark, sf_dir):
+    """Orders as description files of two drops, loaded by a stream that runs after each drop and once more."""
+    orders = order_descriptions(spark, sf_dir)
+    base, landing, checkpoint = (staging_path(spark, name) for name in ("drops", "landing", "checkpoint"))
+    for number, half in enumerate((F.col("active"), ~F.col("active"))):
+        write_release_table(orders.filter(half), base, f"release {number}", S.DESCRIPTION, S.DESCRIPTION.files[0])
+        for _ in range(number + 1):
+            load.land_table(spark, base, landing, checkpoint, "description")
+    rows = load.landed(spark, landing, "description")
+    return rows.select(
+        F.col("id").cast("bigint").alias("id"), "effective_time", "active", F.col("concept_id").cast("bigint").alias("concept_id"), "term"
+    )
+
+
 @contextmanager
 def built_release(spark, sf_dir):
     """Inside, every stored table of a whole build from release files is in the current database.
@@ -901,6 +984,27 @@ def posting_match(spark, sf_dir):
     return lookup.match_lexemes(postings, ["and", "the", "and"], owner="doc_id", weights="D")
 
 
+@query
+def tree_match(spark, sf_dir):
+    """Documents that hold a phrase, or two words of which one begins a given way, and not a third."""
+    rows = document_rows(spark, sf_dir, X.SIMPLE).withColumnRenamed("doc_id", "code")
+    word = search.Word
+    tree = (search.phrase("of", "the") | (word("la") & word("que", prefix=True)) | search.Phrase(word("der"), word("und"), 2)) & ~word("is")
+    return search.match_tree(rows, tree).select(F.col("code").alias("doc_id"))
+
+
+@query
+def pattern_match(spark, sf_dir):
+    """Documents that match a LIKE pattern, and a regular expression, through their trigrams."""
+    documents = table(spark, sf_dir, "documents")
+    grams = stage(search.word_trigrams(documents, "doc_id"), "word-trigrams")
+    found = [
+        search.match_pattern(documents, grams, pattern, kind, "doc_id").select("doc_id", F.lit(kind).alias("kind"))
+        for kind, pattern in (("like", "%license%under%"), ("rlike", "(the|and) [a-z]*ation(al)? of"))
+    ]
+    return found[0].unionByName(found[1])
+
+
 @query
 def array_lookup(spark, sf_dir):
     rows = maps.union_feeds(*item_feeds(spark, sf_dir))

@@ -17,8 +17,6 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from termspark.functions import text as X
-
 
 class Node:
     """A search tree; combine with ``&``, ``|`` and ``~``."""
@@ -255,10 +253,3 @@ def word_trigrams(texts: DataFrame, key: str = "code", text: str = "text") -> Da
     places = F.sequence(F.lit(1), F.length("word") - 2)
     pairs = grams.select("code", F.explode(F.transform(places, lambda i: F.substring("word", i, F.lit(3)))).alias("trigram"))
     return pairs.distinct()
-
-
-def document_vectors(texts: DataFrame, key: str = "code", text: str = "text", config: str = X.SIMPLE) -> DataFrame:
-    """``(code, lexeme, pos, weight)`` of plain texts, positions from 1."""
-    lexemes = X.lexize(X.tokenize(F.col(text)), config)
-    rows = texts.select(F.col(key).alias("code"), F.posexplode(lexemes).alias("place", "lexeme"))
-    return rows.filter("lexeme is not null").select("code", "lexeme", (F.col("place") + 1).alias("pos"), F.lit("D").alias("weight"))

@@ -46,11 +46,10 @@ def land_table(
     """
     table: Table = RAW_TABLES[name]
     for number, pattern in enumerate(table.files):
-        reader = spark.readStream.format("text").option("lineSep", "\n").option("pathGlobFilter", pattern.rsplit("/", 1)[-1])
+        reader = spark.readStream.format("text").option("lineSep", "\n")
         if files_a_batch:
             reader = reader.option("maxFilesPerTrigger", files_a_batch)
-        inner = "/".join([table.folder, *pattern.split("/")[:-1]])
-        raw = reader.load(f"{base.rstrip('/')}/*/{inner}")
+        raw = reader.load(f"{base.rstrip('/')}/*/{table.folder}/{pattern}")
         lines = rf2.plain_lines(
             raw.select("value", F.col("_metadata.file_path").alias("_file"), (F.col("_metadata.file_block_start") == 0).alias("_head"))
         )
