@@ -34,23 +34,34 @@ _PARTITION_BIT = 33
 MAP = "version int, virtual_slot int, shard int"
 
 
-def slot_records(docs: DataFrame, slots: int = SLOTS) -> DataFrame:
-    """doc_id, size, text_crc32, virtual_slot, and ``piece`` and ``at``, a record's place in the input.
-
-    The slot follows the id and the text, so that many records of one id, or of one text, spread out.
-    """
+def slot_records(docs: DataFrame) -> DataFrame:
+    """doc_id, size, text_crc32, ``hash`` of id and text, and ``piece`` and ``at``, a record's place in the input."""
     text = F.col("text").cast("binary")
     at = F.monotonically_increasing_id()
     return docs.select(
         F.col("doc_id").cast("bigint").alias("doc_id"),
         (F.coalesce(F.octet_length(text), F.lit(0)) + OVERHEAD).cast("bigint").alias("size"),
         F.crc32(F.coalesce(text, F.lit("").cast("binary"))).alias("text_crc32"),
-        F.pmod(F.xxhash64("doc_id", text), F.lit(slots)).cast("int").alias("virtual_slot"),
+        F.xxhash64("doc_id", text).alias("hash"),
         F.shiftright(at, _PARTITION_BIT).cast("int").alias("piece"),
         at.alias("at"),
     )
 
 
+def with_slots(records: DataFrame, slots: int = SLOTS) -> DataFrame:
+    """``records`` with their ``virtual_slot`` instead of the hash.
+
+    The slot follows the id and the text, so that many records of one id, or of one text, spread out. Of repeated
+    rows each copy also has its number in its part of the input, so that they spread out as well.
+    """
+    repeated = records.groupBy("hash").agg(F.count("*").alias("_n")).filter("_n > 1").select("hash")
+    copy = F.row_number().over(Window.partitionBy("hash", "piece").orderBy("at"))
+    single = records.join(repeated, "hash", "left_anti").withColumn("_slot", F.col("hash"))
+    copies = records.join(repeated, "hash", "left_semi").withColumn("_slot", F.xxhash64("hash", "piece", copy))
+    every = single.unionByName(copies)
+    return every.withColumn("virtual_slot", F.pmod("_slot", F.lit(slots)).cast("int")).drop("hash", "_slot")
+
+
 def rebalance(
     sizes: dict[int, int], current: dict[int, int], shards: int, slots: int, tolerance: float = TOLERANCE
 ) -> dict[int, int]:
@@ -112,9 +123,10 @@ def shard_documents(docs: DataFrame, shards: int = SHARDS, slots: int = SLOTS) -
 
     Columns: doc_id, size (UTF-8 bytes of the text and 8), text_crc32, law (``bytes``), shard, slot
     (gapless from 0 in each shard), grown_shard (NULL under this law), virtual_slot, version. A NULL
-    text has no bytes. Repeated rows stay, in one virtual slot. No rows: no rows.
+    text has no bytes. Repeated rows stay and spread over slots. No rows: no rows.
     """
-    records, _ = read_once(slot_records(docs, slots), "records")
+    hashed, _ = read_once(slot_records(docs), "hashed-records")
+    records, _ = read_once(with_slots(hashed, slots), "records")
     counted, _ = read_once(
         records.groupBy("virtual_slot", "piece").agg(F.sum("size").alias("bytes"), F.count("*").alias("n")), "counts"
     )

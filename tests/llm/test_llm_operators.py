@@ -493,6 +493,20 @@ def test_sharding(spark, tables, odd_docs, no_docs, clashing):
     assert sharding.shard_documents(no_docs).count() == 0
 
 
+def test_repeated_rows_keep_the_law(spark):
+    """Half of all rows are one row."""
+    rows = [(n, f"text {n}") for n in range(2000)] + [(-1, "the same row again")] * 2000
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(6)
+    made = sharding.shard_documents(docs).collect()
+    sizes, slots = {}, {}
+    for r in made:
+        sizes[r["shard"]] = sizes.get(r["shard"], 0) + r["size"]
+        slots.setdefault(r["shard"], []).append(r["slot"])
+    assert len(made) == 4000 and len(sizes) == 24
+    assert max(sizes.values()) - min(sizes.values()) < 0.05 * max(sizes.values())
+    assert all(sorted(own) == list(range(len(own))) for own in slots.values())
+
+
 def test_even_shards(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     sizes = [r["b"] for r in sharding.shard_documents(docs).groupBy("shard").agg(F.sum("size").alias("b")).collect()]
