@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from termspark.functions import scalar
+from termspark.sources import quoted as quoted_text
 
 
 def load_delimited(
@@ -19,14 +20,15 @@ def load_delimited(
 ) -> DataFrame:
     """Standard quoted text, columns by position, header line skipped; unquoted empty is NULL.
 
-    ``line_ends`` allows them inside quoted fields; each file is then read by one task, so large data
-    should come as many files. Without it files are split, and a line end in a field fails the job.
+    ``line_ends`` allows them inside quoted fields; without it a line end in a field fails the job. Large
+    files are split in either case. Quotes come in pairs in a file; a field with one is quoted.
     """
-    reader = spark.read.schema(schema).options(
-        sep=separator, header=header, quote='"', escape='"', encoding="UTF-8",
-        enforceSchema=True, multiLine=line_ends, mode="FAILFAST",
-    )
-    return reader.csv(paths)
+    options = {"sep": separator, "quote": '"', "escape": '"', "encoding": "UTF-8", "mode": "FAILFAST"}
+    if line_ends:
+        records = quoted_text.read_records(spark, paths, header)
+        parsed = F.from_csv("text", schema.simpleString(), {**options, "multiLine": "true"})
+        return records.select(parsed.alias("r")).select("r.*")
+    return spark.read.schema(schema).options(header=header, enforceSchema=True, **options).csv(paths)
 
 
 def load_code_lists(spark: SparkSession, paths: str | list[str], separator: str = ",") -> DataFrame:
