@@ -62,6 +62,15 @@ GENERIC = frozenset(
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 # elements that belong to the text next to them
 BESIDE_TEXT = HEADINGS | frozenset("p pre ul ol dl blockquote table figure hgroup".split())
+# words for what readers wrote, and words that such names have beside them
+COMMENT_WORDS = frozenset("comment comments commentlist disqus".split())
+COMMENT_BESIDE = frozenset(
+    "user users reader readers visitor visitors section list area thread threads box wrapper wrap container block feed"
+    " item items body content text tree children count meta author form holder inner form template main the all".split()
+)
+COMMENT_TAGS = frozenset("div section ul ol li dl table details article aside footer".split())
+# words of a name that says that the element is part of the text
+CONTENT_WORDS = frozenset("article articles entry post story content result results text".split())
 # words that say that something else is beside an element, not what it is
 BESIDE = frozenset("has with without no".split())
 # --- end of fixed values ---
@@ -75,6 +84,8 @@ SHARES = (1.0, 1 / 2, 1 / 6, 1 / 9, 1 / 12)
 SIBLING_SHARE = 0.2
 # an element with a doubtful name is left out with this share of its text in links
 DOUBTFUL_DENSITY = 0.5
+# an element with a name of other words too stays with this share of the page's text outside links
+TEXT_SHARE = 0.75
 # a list or division of at least so many links, with this share of its text in them, is a menu
 MENU_LINKS, MENU_DENSITY = 3, 0.6
 
@@ -89,37 +100,48 @@ _NAMES = frozenset("class id role hidden aria-hidden".split())
 _PART = re.compile(r"[a-z]+")
 
 
-def _unwanted(tag: str, attributes: str, inside_article: bool) -> tuple[bool, bool]:
-    """Whether an element is left out with all it contains, and whether that depends on its links.
+# how sure a name is: not at all, if the element is mostly links, unless the element holds the page's text, wholly
+STAYS, BY_LINKS, BY_SHARE, GOES = range(4)
+
 
+def _unwanted(tag: str, attributes: str, inside_article: bool) -> int:
+    """How sure it is that an element is left out with all it contains.
+
+    Names of reader comments decide anywhere. Outside an article, other names of listed words alone decide,
+    and names with other words unless the element holds the text; a word for the text leaves it to the links.
     Inside an article, and on headings and paragraphs, a name has to consist of listed words, not all of
-    them generic; another name with a listed word is doubtful. A heading's id says nothing.
+    them generic; another name with a listed word is left to the links. A heading's id says nothing.
     """
     if tag in LEFT_OUT or tag == "header" and not inside_article:
-        return True, False
-    if not attributes or tag in ("html", "body", "main", "article"):
-        return False, False
-    doubtful = False
+        return GOES
+    if not attributes or tag in ("html", "body", "main"):
+        return STAYS
+    sure = STAYS
     for name, a, b, c in _ATTRIBUTE.findall(attributes):
         name, value = name.lower(), (a or b or c).lower()
         if name not in _NAMES:
             continue
         if name == "hidden" or name == "aria-hidden" and value == "true":
-            return True, False
-        if name == "aria-hidden" or name == "id" and tag in HEADINGS:
+            if tag != "article":
+                return GOES
+        if name in ("hidden", "aria-hidden") or name == "id" and tag in HEADINGS:
             continue
         for word in value.split():
-            parts = _PART.findall(word)
+            parts = set(_PART.findall(word))
             if UNWANTED.isdisjoint(parts) or not BESIDE.isdisjoint(parts):
                 continue
-            whole = UNWANTED.issuperset(parts)
-            if not (inside_article or tag in HEADINGS or tag == "p") or whole and not GENERIC.issuperset(parts):
-                return True, False
+            if tag in COMMENT_TAGS and COMMENT_WORDS & parts and parts <= COMMENT_WORDS | COMMENT_BESIDE | UNWANTED:
+                return GOES
+            if tag == "article":
+                continue
+            whole, outside = parts <= UNWANTED, not (inside_article or tag in HEADINGS or tag == "p")
             # a link by itself is all link
-            if whole and tag == "a":
-                return True, False
-            doubtful = True
-    return False, doubtful
+            if whole and (outside or not parts <= GENERIC or tag == "a"):
+                return GOES
+            if outside and tag not in BLOCK:
+                return GOES
+            sure = max(sure, BY_SHARE if outside and not CONTENT_WORDS & parts else BY_LINKS)
+    return sure
 
 
 class Page:
@@ -127,8 +149,8 @@ class Page:
 
     def __init__(self, html: str):
         self.tags, self.parents, self.out = ["#root"], [-1], [False]
-        # elements that are left out if their text is mostly links
-        self.doubtful: list[int] = []
+        # elements whose names don't decide alone, and what does
+        self.doubtful: list[tuple[int, int]] = []
         # (element, text, characters in links, number of links)
         self.blocks: list[tuple[int, str, int, int]] = []
         self._parse(html)
@@ -221,11 +243,11 @@ class Page:
             if attributes.endswith("/") and tag not in BLOCK and tag != "a":
                 continue
             parent = stack[-1]
-            unwanted, doubtful = _unwanted(tag, attributes, articles > 0)
-            out = self.out[parent] or unwanted
+            sure = _unwanted(tag, attributes, articles > 0)
+            out = self.out[parent] or sure == GOES
             element = self._open(tag, parent, out)
-            if doubtful:
-                self.doubtful.append(element)
+            if sure in (BY_LINKS, BY_SHARE):
+                self.doubtful.append((element, sure))
             stack.append(element)
             owners.append(element if tag in BLOCK else owners[-1])
             opened[tag] += 1
@@ -252,8 +274,18 @@ class Page:
     def main_text(self) -> str:
         """The blocks of the best container and its kept siblings, one to a line."""
         chars, in_links, links = self._sums()
-        for element in self.doubtful:
+        if any(sure == BY_SHARE for _, sure in self.doubtful):
+            # where the text is: in the articles, or else in what holds nearly all characters outside links
+            articles = [0] * len(self.tags)
+            for element in range(len(self.tags) - 1, 0, -1):
+                if self.tags[element] in ("article", "main") and not self.out[element] and chars[element]:
+                    articles[element] = 1
+                articles[self.parents[element]] |= articles[element]
+        for element, sure in self.doubtful:
             self.out[element] |= bool(links[element]) and in_links[element] >= DOUBTFUL_DENSITY * chars[element]
+            if sure == BY_SHARE and not articles[element]:
+                share = (chars[element] - in_links[element]) / max(1, chars[0] - in_links[0])
+                self.out[element] |= bool(articles[0]) or share < TEXT_SHARE
         if self.doubtful:
             # a parent is settled before its children
             for element in range(1, len(self.tags)):
@@ -316,6 +348,11 @@ class Page:
 
     def _beside(self, siblings: list[int], kept: set[int], chars: list[int], in_links: list[int]) -> set[int]:
         """Siblings of the text: all but links between kept ones, headings and short blocks next to them."""
+        headed = [0] * len(self.tags)
+        for element, text, *_ in self.blocks:
+            headed[element] += len(text) if self.tags[element] in HEADINGS else 0
+        for element in range(len(self.tags) - 1, 0, -1):
+            headed[self.parents[element]] += headed[element]
         shown = [e for e in siblings if not self.out[e] and chars[e]]
         at = [i for i, e in enumerate(shown) if e in kept]
         if not at:
@@ -323,7 +360,8 @@ class Page:
         found = {e for e in shown[at[0] : at[-1]] if 2 * in_links[e] < chars[e]}
         for run in (reversed(shown[: at[0]]), shown[at[-1] + 1 :]):
             for e in run:
-                if self.tags[e] not in BESIDE_TEXT or 4 * in_links[e] >= chars[e]:
+                # a division of headings alone is a heading
+                if not (self.tags[e] in BESIDE_TEXT or headed[e] == chars[e]) or 4 * in_links[e] >= chars[e]:
                     break
                 found.add(e)
         return found

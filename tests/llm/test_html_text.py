@@ -56,3 +56,35 @@ LINKS = "<ul><li><a href=1>one</a><li><a href=2>two</a><li><a href=3>three</a></
 def test_text_beside_the_best(page, parts):
     wanted = [p.removeprefix("<p>").removesuffix("</p>") for p in parts]
     assert html_text.extract(page).split("\n") == wanted
+
+
+SHORT = "<p>Short article, of few words.</p>"
+CROWD = "".join(f"<div class='comment'><b>Ann {i}</b>{LONG}</div>" for i in range(4))
+
+
+@pytest.mark.parametrize(
+    "page, parts",
+    [
+        # one listed word in a wrapper's name
+        (f"<body><div class='search-result-article'>{LONG}</div></body>", [LONG]),
+        (f"<body><div class='header-layout'><h1>Title</h1>{LONG}</div><div class='page-footer'>About us</div></body>",
+         ["Title", LONG]),
+        (f"<body><div class='no-frills sidebar-left-page'><article>{SHORT}</article></div></body>", [SHORT]),
+        (f"<body><div class='entry-header'><h1>Title</h1></div><div>{LONG}</div></body>", ["Title", LONG]),
+        # such a name still goes where the text is elsewhere
+        (f"<body><article>{SHORT}</article><div class='left-sidebar-column'>{LONG}</div></body>", [SHORT]),
+        (f"<body><div>{LONG}</div><div class='site-footer'><p>We are a company, of sorts.</p></div></body>", [LONG]),
+        # comments of readers
+        (f"<article>{SHORT}<section id='comments'>{CROWD}</section></article>", [SHORT]),
+        (f"<main>{SHORT}<div class='user-comments'>{CROWD}</div></main>", [SHORT]),
+        (f"<article>{SHORT}</article><article class='comment'>{LONG}</article>", [SHORT]),
+        (f"<article>{SHORT}<ol class='comment-list'><li>{LONG}</li></ol></article>", [SHORT]),
+        (f"<body><div>{SHORT}</div><div class='comments'>{CROWD}</div></body>", [SHORT]),
+        # an article about comments
+        (f"<article>{LONG}<section id='comments-on-the-law'>{SHORT}</section></article>", [LONG, SHORT]),
+        ("<article><pre>x = 1 <span class='comment'># one</span></pre></article>", ["x = 1 # one"]),
+    ],
+)
+def test_names_and_text(page, parts):
+    wanted = [html_text.unescape(p.removeprefix("<p>").removesuffix("</p>")) for p in parts]
+    assert html_text.extract(page).split("\n") == wanted
