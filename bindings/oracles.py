@@ -188,6 +188,7 @@ select code, 'MeSH' as source, target, row_number() over (partition by code orde
 select c_custkey, ' "' || c_name || '",' || chr(10) || c_mktsegment as label,
        case when c_acctbal < 0 then null else c_mktsegment end as segment
 from customer""",
+    "quoted_documents": "select doc_id, md5(nullif(text, '')) as digest, nullif(lang, '') as lang from documents",
     "incremental_ingest": "select event_type, count(*) as n from events group by 1",
     "drop_empty_id": "select p_partkey, p_name from part where p_type <> 'SMALL'",
     "origin_lookup": """

@@ -281,6 +281,16 @@ def delimited_roundtrip(spark, sf_dir):
     return delimited.load_delimited(spark, path, schema, header=False)
 
 
+@query
+def quoted_documents(spark, sf_dir):
+    """Whole texts with their line ends and quotes through quoted files; empty text comes back as NULL."""
+    path = staging_path(spark, "texts")
+    delimited.export_delimited(table(spark, sf_dir, "documents").select("doc_id", "text", "lang"), path)
+    schema = T.StructType([T.StructField("doc_id", T.LongType()), *[T.StructField(n, T.StringType()) for n in ("text", "lang")]])
+    loaded = delimited.load_delimited(spark, path, schema, header=False)
+    return loaded.select("doc_id", F.md5(F.col("text").cast("binary")).alias("digest"), "lang")
+
+
 @query
 def incremental_ingest(spark, sf_dir):
     """File stream into a table, run twice: every row is there once."""
