@@ -432,14 +432,18 @@ def slow_top(docs, queries, k):
         yield from ((q, n + 1, doc, -s) for n, (s, doc) in enumerate(sorted(scores)[:k]))
 
 
-@pytest.mark.parametrize("shard_docs", [16_384, 37])
-def test_search(spark, tables, odd_docs, monkeypatch, shard_docs):
+@pytest.mark.parametrize("shard_docs, group_terms", [(16_384, 1 << 23), (37, 1 << 23), (50, 700)])
+def test_search(spark, tables, odd_docs, monkeypatch, shard_docs, group_terms):
     monkeypatch.setattr(search, "SHARD_DOCS", shard_docs)
+    monkeypatch.setattr(search, "GROUP_TERMS", group_terms)
     docs = tables("documents").select("doc_id", "text")
     docs = docs.unionByName(odd_docs.select(F.col("doc_id") + 1000, "text").toDF("doc_id", "text"))
     asked = docs.filter("doc_id % 20 = 0 or doc_id >= 1000").select(F.col("doc_id").alias("query_id"), "text")
     asked = asked.dropDuplicates(["query_id"])
-    found = search.top_documents(docs, asked, 5)
+    asked = asked.withColumn("doc_id", F.lit("x")).unionByName(spark.sql("select cast(null as bigint) query_id, 'the' text, '' doc_id"))
+    found = search.top_documents(docs.withColumns({"terms": F.lit(1), "place": F.lit("x"), "group": F.lit(2)}), asked, 5)
+    asked = asked.filter("query_id is not null").select("query_id", "text")
+    docs = docs.select("doc_id", "text")
     wanted = slow_top([tuple(r) for r in docs.collect()], [tuple(r) for r in asked.collect()], 5)
     assert rows_of(found) == sorted(map(repr, wanted))
 
