@@ -228,7 +228,7 @@ def needed_trigrams(pieces: list[str]) -> list[str]:
 def match_pattern(
     texts: DataFrame, trigrams: DataFrame, pattern: str, kind: str = "like", key: str = "code", text: str = "text"
 ) -> DataFrame:
-    """The rows of ``texts`` whose text matches, found through ``trigrams(code, trigram)``, one row per pair.
+    """The rows of ``texts`` whose text matches, found through ``trigrams(code, trigram)``; pairs may repeat.
 
     ``kind`` is ``like``, ``ilike`` or ``rlike``. Exact: candidates are tested on their text; NULL texts
     match nothing. Only the postings of the pattern's trigrams are read.
@@ -246,10 +246,15 @@ def match_pattern(
 
 
 def word_trigrams(texts: DataFrame, key: str = "code", text: str = "text") -> DataFrame:
-    """``(code, trigram)``, each pair once: the trigrams inside the words of each text, for ``match_pattern``."""
-    words = F.regexp_extract_all(F.lower(F.col(text)), F.lit(r"[\p{L}\p{N}]+"), 0)
-    grams = texts.select(F.col(key).alias("code"), F.explode(F.array_distinct(words)).alias("word"))
-    grams = grams.filter(F.length("word") > 2).distinct()
-    places = F.sequence(F.lit(1), F.length("word") - 2)
-    pairs = grams.select("code", F.explode(F.transform(places, lambda i: F.substring("word", i, F.lit(3)))).alias("trigram"))
-    return pairs.distinct()
+    """``(code, trigram)``, each pair once for a row: the trigrams inside the words of each text, for ``match_pattern``.
+
+    Each row is worked on where it is: there is no shuffle. Rows with the same key may repeat a pair. The outer form
+    keeps the optimizer from adding a size filter that would build the trigrams twice.
+    """
+    words = F.array_distinct(F.regexp_extract_all(F.lower(F.col(text)), F.lit(r"[\p{L}\p{N}]+"), 0))
+    grams = F.transform(
+        F.filter(words, lambda w: F.length(w) > 2),
+        lambda w: F.transform(F.sequence(F.lit(1), F.length(w) - 2), lambda i: F.substring(w, i, F.lit(3))),
+    )
+    pairs = texts.select(F.col(key).alias("code"), F.explode_outer(F.array_distinct(F.flatten(grams))).alias("trigram"))
+    return pairs.filter(F.col("trigram").isNotNull())

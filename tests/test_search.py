@@ -112,3 +112,14 @@ def test_reads_its_keys_only(spark, texts, tmp_path):
     plan = found._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters: [In(trigram" in plan
     assert search.needed_trigrams(search.like_pieces("%reed\\%x%gr_een%")) == ["ree", "eed", "een"]
+
+
+def test_trigrams_without_a_shuffle(spark):
+    """Pairs are made where the rows are; rows of one key count together."""
+    df = spark.createDataFrame([(1, "green green"), (1, "blue"), (2, "blue"), (3, None), (4, "a bc")], "code bigint, text string")
+    grams = search.word_trigrams(df)
+    assert "Exchange" not in grams._jdf.queryExecution().executedPlan().toString()
+    assert sorted(map(tuple, grams.collect())) == [
+        (1, "blu"), (1, "een"), (1, "gre"), (1, "lue"), (1, "ree"), (2, "blu"), (2, "lue")
+    ]
+    assert sorted(map(tuple, search.match_pattern(df, grams.unionByName(grams), "%blue%").collect())) == [(1, "blue"), (2, "blue")]
