@@ -93,6 +93,16 @@ def read_layout(
     return parse_lines(lines, table, separator, strict, exact_width, strict_quotes, shift_empty)
 
 
+def header_lines(lines: DataFrame) -> DataFrame:
+    """``(_file, _header)``: the first line of each file.
+
+    Its place is found first: with the text in the aggregate all lines of the first blocks would be sorted.
+    """
+    head = lines.filter("_head")
+    first = head.groupBy("_file").agg(F.min("_at").alias("_at"))
+    return head.join(F.broadcast(first), ["_file", "_at"]).select("_file", F.col("value").alias("_header"))
+
+
 def parse_lines(
     lines: DataFrame,
     table: Table,
@@ -104,7 +114,7 @@ def parse_lines(
 ) -> DataFrame:
     """Lines of whole files, with their places, as rows of ``table``; see ``read_layout``."""
     spark = lines.sparkSession
-    headers = lines.filter("_head").groupBy("_file").agg(F.min_by("value", "_at").alias("_header")).collect()
+    headers = header_lines(lines).collect()
     if not headers:
         return spark.createDataFrame([], table.struct)
     layouts = sorted({r["_header"] for r in headers})

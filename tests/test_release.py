@@ -310,3 +310,13 @@ def test_external_file(spark, tmp_path):
     path.write_text('snomed_code|codes\n200|{D1,D2}\n300|{}\n400|\n500|"{""a b"",c}"\n')
     found = rows(delimited.load_code_lists(spark, str(path), "|"), "snomed_code", F.coalesce("codes", F.array(F.lit("null"))))
     assert found == [("200", ["D1", "D2"]), ("300", []), ("400", ["null"]), ("500", ["a b", "c"])]
+
+
+def test_headers_without_a_sort(spark, tmp_path):
+    """The lines of the first blocks are not sorted to find the headers."""
+    for n in range(3):
+        (tmp_path / f"{n}.txt").write_text("\n" + "".join(f"{n}-{i}\n" for i in range(2000)))
+    found = rf2.header_lines(rf2.read_lines(spark, str(tmp_path / "*.txt"), places=True))
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in plan and "Sort " not in plan
+    assert sorted(r["_header"] for r in found.collect()) == ["0-0", "1-0", "2-0"]
