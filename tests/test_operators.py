@@ -4,7 +4,9 @@ import datetime
 import json
 import random
 from collections import defaultdict
+from collections.abc import Iterator
 
+import pyarrow as pa
 import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
@@ -538,3 +540,17 @@ def test_stream_of_release_lines(spark, tmp_path):
     target, checkpoint = str(tmp_path / "out"), str(tmp_path / "cp")
     ingest.ingest_new_files(ingest.stream_lines(spark, str(tmp_path / "in")), target, checkpoint)
     assert sorted(r["value"] for r in spark.read.parquet(target).collect()) == ["1\ta\rb", "id\tx"]
+
+
+def test_batches_are_bounded(spark):
+    """Batches that go to Python hold 2,000 rows, and few of long texts."""
+
+    def batch_sizes(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for batch in batches:
+            yield pa.array([len(batch)] * len(batch), pa.int64())
+
+    session.tune(spark)
+    sizes = F.arrow_udf(batch_sizes, "bigint")
+    for words, most in ((1, 2000), (5000, 400)):
+        df = spark.range(0, 3000, 1, 1).select(sizes(F.array_repeat(F.lit("lexeme"), words)).alias("n"))
+        assert df.agg(F.max("n")).first()[0] <= most
