@@ -8,12 +8,17 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from termspark.functions import running
 from termspark.session import stage
 
+# workers get this function with the job, so the package need not be installed on them
+cloudpickle.register_pickle_by_value(running)
+
 # --- fixed value: monotonically_increasing_id keeps the partition above this bit ---
 _PARTITION_BIT = 33
 
@@ -73,21 +78,38 @@ def running_totals(
     totals: dict[str, Column],
     after: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
-    """Per group, the sum of each value over the rows before this one (``order`` unique inside).
+    """Per group, the sum of each whole number over the rows before this one (``order`` unique inside).
 
-    Rows are cut into range pieces, so that no task ever holds a large group. ``totals`` may use
-    columns that ``after`` adds to the rows in place.
+    Rows are cut into range pieces, so that no task ever holds a large group; each piece is summed where its
+    rows are. Only the first group of a piece may have begun in earlier ones, so what is sent to all tasks is one
+    row per piece, and the rows move once. ``totals`` may use columns that ``after`` adds to the rows in place.
     """
-    placed = _ordered_pieces(df, [F.col(c) for c in (*group, *order)], after)
-    sums = placed.groupBy(*group, "_piece").agg(*[F.sum(value).alias(f"_sum_{out}") for out, value in totals.items()])
-    starts = _before(list(totals), group, sums).drop(*[f"_sum_{out}" for out in totals])
-    inside = Window.partitionBy(*group, "_piece").orderBy("_row").rowsBetween(Window.unboundedPreceding, -1)
-    counted = placed.withColumns(
-        {out: F.coalesce(F.sum(value).over(inside), F.lit(0)) for out, value in totals.items()}
+    before = F.arrow_udf(running.sums_before, ", ".join(f"`{out}` bigint" for out in totals)).asNondeterministic()
+    values = [F.coalesce(value.cast("bigint"), F.lit(0)).alias(out) for out, value in totals.items()]
+
+    def summed(rows: DataFrame) -> DataFrame:
+        rows = after(rows) if after else rows
+        return rows.withColumn("_values", F.struct(*values)).withColumn("_before", before(F.struct(*group), "_values"))
+
+    placed = _ordered_pieces(df, [F.col(c) for c in (*group, *order)], summed)
+    # one row per range piece: its last row, with the sums up to it, and its first one
+    ends = placed.groupBy("_piece").agg(F.max("_row").alias("_row"))
+    last = placed.join(F.broadcast(ends), ["_piece", "_row"]).select(
+        F.col("_piece").alias("_earlier"),
+        *[F.col(c).alias(f"_last_{c}") for c in group],
+        *[(F.col(f"_before.{out}") + F.col(f"_values.{out}")).alias(f"_sum_{out}") for out in totals],
     )
-    joined = _join_groups(counted, starts, [*group, "_piece"])
-    kept = [c for c in placed.columns if c not in ("_piece", "_row")]
-    return joined.select(*kept, *[(F.col(out) + F.col(f"_start_{out}")).alias(out) for out in totals])
+    first = placed.filter("_row = 0").select("_piece", *[F.col(c).alias(f"_key_{c}") for c in group])
+    same = [F.col(f"_key_{c}").eqNullSafe(F.col(f"_last_{c}")) for c in group]
+    keys = ["_piece", *[f"_key_{c}" for c in group]]
+    starts = first.join(F.broadcast(last), [F.col("_earlier") < F.col("_piece"), *same])
+    starts = starts.groupBy(*keys).agg(*[F.sum(f"_sum_{out}").alias(f"_start_{out}") for out in totals])
+    starts = stage(starts.withColumnRenamed("_piece", "_begun"), "starts")
+    begun = [F.col("_piece") == F.col("_begun"), *[F.col(c).eqNullSafe(F.col(f"_key_{c}")) for c in group]]
+    joined = placed.join(F.broadcast(starts), begun, "left")
+    kept = [c for c in placed.columns if c not in ("_piece", "_row", "_values", "_before")]
+    sums = [(F.col(f"_before.{out}") + F.coalesce(f"_start_{out}", F.lit(0))).alias(out) for out in totals]
+    return joined.select(*kept, *sums)
 
 
 def ordinals(df: DataFrame, group: list[str], order: list[str], out: str = "ord") -> DataFrame:

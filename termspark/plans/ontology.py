@@ -24,11 +24,16 @@ def tag_vectors(concepts: DataFrame, found: DataFrame, config: str = X.ENGLISH)
     ``concepts`` is (code, description), unique by code; ``found`` is the codelist's vector table.
     """
     own = vectors.text_vectors(concepts, ["code"], [(F.col("description"), "A"), (F.col("code"), "A")], config)
-    rows = own
-    for kind in ("relation", "synonyms"):
-        one = found.filter(F.col("vector") == kind).select("code", "lexeme", "pos", "weight")
-        rows = vectors.concatenate(rows, vectors.set_weight(one, "B"), ["code"])
-    return rows.join(concepts.select("code"), "code", "left_semi")
+    own = own.filter(F.col("code").isNotNull())
+    none = F.lit(None).cast("bigint")
+    related = found.filter(F.col("vector") == "relation").select("code", none.alias("own"), F.col("pos").alias("related"))
+    tops = own.select("code", F.col("pos").alias("own"), none.alias("related")).unionByName(related)
+    tops = tops.groupBy("code").agg(F.max("own").alias("own"), F.max("related").alias("related"))
+    # relation goes on from the tag's own texts, synonyms from both; the vectors move once, to their code
+    shifted = F.coalesce("own", F.lit(0)) + F.when(F.col("vector") == "synonyms", F.coalesce("related", F.lit(0))).otherwise(0)
+    rest = found.filter(F.col("vector").isin("relation", "synonyms")).join(tops, "code", "left")
+    rest = rest.select("code", "lexeme", (F.col("pos") + shifted).alias("pos"), F.lit("B").alias("weight"))
+    return own.unionByName(rest.join(concepts.select("code"), "code", "left_semi"))
 
 
 def build_tags(concepts: DataFrame) -> DataFrame:

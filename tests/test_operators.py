@@ -15,7 +15,7 @@ from termspark import constants as C
 from termspark import schemas as S
 from termspark import session
 from termspark.functions import decode as D
-from termspark.functions import scalar
+from termspark.functions import running, scalar
 from termspark.functions import text as X
 from termspark.functions.english import stem
 from termspark.operators import checks, lookup, maps, numbering, upsert, vectors
@@ -554,3 +554,29 @@ def test_batches_are_bounded(spark):
     for words, most in ((1, 2000), (5000, 400)):
         df = spark.range(0, 3000, 1, 1).select(sizes(F.array_repeat(F.lit("lexeme"), words)).alias("n"))
         assert df.agg(F.max("n")).first()[0] <= most
+
+
+def test_running_totals_move_rows_once(spark, skewed, pieces):
+    """After the range sort the rows are neither shuffled nor sorted again; NULL is a group like any other."""
+    df, rows = skewed
+    df = df.withColumn("g", F.when(F.col("g") > 0, F.col("g")))
+    made = numbering.running_totals(df, ["g"], ["k"], {"t": F.col("v")})
+    plan = made._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in plan and "Window" not in plan
+    wanted, total = {}, defaultdict(int)
+    for g, k, v in sorted(rows, key=lambda r: r[1]):
+        g = g if g and g > 0 else None
+        wanted[g, k] = total[g]
+        total[g] += v
+    assert {(r["g"], r["k"]): r["t"] for r in made.collect()} == wanted
+
+
+def test_sums_go_on_over_batches():
+    rows = [("a", 1), ("a", 2), ("a", 3), (None, 4), (None, 5), ("b", 6), ("b", 7)]
+    for size in range(1, 8):
+        parts = [rows[i : i + size] for i in range(0, len(rows), size)]
+        batches = [
+            (pa.array([{"g": g} for g, _ in p], pa.struct([("g", pa.string())])), pa.array([{"t": v} for _, v in p], pa.struct([("t", pa.int64())])))
+            for p in parts
+        ]
+        assert [r["t"] for made in running.sums_before(iter(batches)) for r in made.to_pylist()] == [0, 1, 3, 0, 4, 0, 6]
