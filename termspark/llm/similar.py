@@ -7,10 +7,13 @@ the cells up, and a hash stands where its cell's count puts it, then by its valu
 only make the order less sharp; any one order for all texts finds all pairs. A passage that many otherwise different
 texts share is thus no key of them, as each has rarer hashes.
 
-Texts with the same shingles count once. Of each key's texts a few hubs are compared with all others first;
-then only texts whose components differ meet, and a key's largest component stands on one side only. Pairs of
-candidates are first tested on bit maps of their hashes, which never reject a similar pair; those that pass
-are verified with all shingle hashes (64 bits) of both texts, in whole numbers.
+Texts with the same shingles count once. First the SimHash operator links fingerprints (``simhash``), and every text
+of such a component is compared with its first one. What SimHash does not reach is found by keys: of each key's texts
+a few hubs are compared with the others, then only texts whose components differ meet, and a key's largest component
+stands on one side only. Two texts are candidates of a key only if it may be the first that they share: the hashes
+from it on must then hold all they need to have in common. Candidates are first tested on bit maps of their
+hashes, which never reject a similar pair; those that pass are verified with all shingle hashes (64 bits) of both
+texts, in whole numbers.
 """
 
 from __future__ import annotations
@@ -23,6 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from termspark.llm import simhash
 from termspark.llm.common import connected_components, map_rows, read_once, struct, texts_of, with_batch_bounds
 from termspark.session import drop_staged
 
@@ -112,27 +116,28 @@ def bit_map(hashes: np.ndarray) -> np.ndarray:
 
 
 def with_keys(numbered: DataFrame, counts: np.ndarray) -> DataFrame:
-    """``at, same`` (alike for equal sets of shingles), ``n``, ``bits`` (the text's map) and ``keys``."""
+    """``at, same`` (alike for equal sets of shingles), ``n``, ``bits`` (the text's map), ``keys`` in order and ``fp``."""
     held = numbered.sparkSession.sparkContext.broadcast(counts)
 
     def start():
         import xxhash
 
         def work(batch: pa.RecordBatch) -> dict:
-            made: dict[str, list] = {"same": [], "n": [], "bits": [], "keys": []}
+            made: dict[str, list] = {"same": [], "n": [], "bits": [], "keys": [], "fp": []}
             for text in texts_of(batch["text"]):
                 hashes = shingle_hashes(text)
                 made["same"].append(xxhash.xxh3_128_digest(hashes.tobytes()))
                 made["n"].append(len(hashes))
                 made["bits"].append(bit_map(hashes))
                 made["keys"].append(ordered_keys(hashes, held.value))
+                made["fp"].append(simhash._signed(simhash.fingerprint(text)))
             return made
 
         return work
 
-    out = struct("same binary, n bigint, bits array<bigint>, keys array<bigint>")
+    out = struct("same binary, n bigint, bits array<bigint>, keys array<bigint>, fp bigint")
     found = map_rows(numbered, {"text": "binary"}, out, start, ["at", "doc_id"])
-    return found.select("_row.at", "_row.doc_id", "same", "n", "bits", "keys")
+    return found.select("_row.at", "_row.doc_id", "same", "n", "bits", "keys", "fp")
 
 
 def _sets(texts: DataFrame) -> DataFrame:
@@ -148,8 +153,17 @@ def _sets(texts: DataFrame) -> DataFrame:
     return found.select(F.col("_row.at").alias("at"), "hashes")
 
 
-def _similar_sizes(a: Column, b: Column) -> Column:
-    return ALL * F.least(a, b) >= OF_ALL * F.greatest(a, b)
+def _first_shared(n: Column, rest: Column, other_n: Column, other_rest: Column) -> Column:
+    """Whether a key may be the first that two similar texts share, by their sizes and how many hashes it begins.
+
+    All shared hashes then stand in both rests, and ``OF_ALL (x + y) / (ALL + OF_ALL)`` are needed.
+    """
+    return (ALL + OF_ALL) * F.least(rest, other_rest) >= OF_ALL * (n + other_n)
+
+
+def _leads(n: Column, rest: Column) -> Column:
+    """Whether a key may be the first shared one for the smaller of two texts."""
+    return (ALL + OF_ALL) * rest >= 2 * OF_ALL * n
 
 
 def _folded(one: str, other: str) -> Column:
@@ -192,30 +206,57 @@ def verified(pairs: DataFrame, maps: DataFrame, texts: DataFrame) -> DataFrame:
     return made
 
 
+def fingerprint_links(standing: DataFrame, texts: DataFrame) -> DataFrame:
+    """Similar pairs ``(a, b)`` among texts whose fingerprints SimHash links, each with the first of its component."""
+    fps, fps_path = read_once(standing.groupBy("fp").agg(F.count("*").alias("n")), "fingerprints")
+    roots, roots_path = read_once(simhash.link_fingerprints(fps), "fingerprint-roots")
+    rooted = standing.select("at", "fp").join(roots, "fp")
+    firsts = rooted.groupBy("root").agg(F.min("at").alias("a"))
+    pairs = rooted.join(firsts, "root").filter("at <> a").select("a", F.col("at").alias("b"))
+    found = verified(pairs, standing.select("at", "n", "bits"), texts)
+    for path in (fps_path, roots_path):
+        drop_staged(standing.sparkSession, path)
+    return found
+
+
 def link_sets(standing: DataFrame, texts: DataFrame) -> DataFrame:
-    """``(at, root)`` for those of ``standing(at, n, bits, keys)``, one per set of shingles, similar to another one.
+    """``(at, root)`` for those of ``standing(at, n, bits, keys, fp)``, one per set of shingles, similar to another one.
 
     ``root`` is the smallest ``at`` reachable over links. Exact: no similar pair is missed.
     """
     spark = standing.sparkSession
     pair = [F.least("at", "_at").alias("a"), F.greatest("at", "_at").alias("b")]
     maps = standing.select("at", "n", "bits")
-    tokens = standing.select("at", "n", F.explode("keys").alias("key"))
+    near, near_path = read_once(connected_components(fingerprint_links(standing, texts), "near-links"), "near-components")
 
-    # links to a few hubs of every key that several texts have
-    picks = [F.min_by(F.struct("at", "n"), F.struct(F.xxhash64("at", F.lit(seed)), "at")) for seed in range(HUBS)]
-    common = tokens.groupBy("key").agg(F.count("*").alias("df")).filter("df > 1").select("key")
-    held, held_path = read_once(tokens.join(common, "key"), "keys")
+    # keys that texts of several components have, one of them as a leading key; all tokens move once
+    labelled = standing.join(near, standing["at"] == near["node"], "left").select(
+        "at", "n", F.coalesce("component", "at").alias("label"), F.posexplode("keys").alias("place", "key")
+    )
+    tokens = labelled.select("key", "at", "n", (F.col("n") - F.col("place")).alias("rest"), "label").repartition("key")
+    leads = _leads(F.col("n"), F.col("rest"))
+    # the aggregate asks for every column, so that the join finds the same shuffle
+    common = tokens.groupBy("key").agg(
+        F.min("label").alias("low"), F.max("label").alias("high"), F.max(leads).alias("leads"),
+        F.min("at").alias("least"), F.max("at").alias("most"),
+    )
+    common = common.filter("least < most and low < high and leads").select("key")
+    held, held_path = read_once(tokens.filter("key is not null").join(common, "key"), "keys")
+
+    # links to a few hubs of every such key
+    hub = F.struct("at", "n", "rest", "label")
+    picks = [F.min_by(hub, F.struct(F.xxhash64("at", F.lit(seed)), "at")) for seed in range(HUBS)]
     hubs = held.groupBy("key").agg(F.array_distinct(F.array(*picks)).alias("hubs"))
-    met = held.join(hubs, "key").select("at", "n", F.explode("hubs").alias("hub"))
-    met = met.select("at", "n", F.col("hub.at").alias("_at"), F.col("hub.n").alias("_n"))
-    met = met.filter(F.col("at") != F.col("_at")).filter(_similar_sizes(F.col("n"), F.col("_n")))
+    met = held.join(hubs, "key").select("at", "n", "rest", "label", F.explode("hubs").alias("hub"))
+    may = _first_shared(F.col("n"), F.col("rest"), F.col("hub.n"), F.col("hub.rest"))
+    met = met.filter((F.col("label") != F.col("hub.label")) & may).withColumn("_at", F.col("hub.at"))
     links = verified(met.select(*pair).distinct(), maps, texts)
-    first, first_path = read_once(connected_components(links, "hub-links"), "hub-components")
+    chains = near.select(F.col("node").alias("a"), F.col("component").alias("b"))
+    first, first_path = read_once(connected_components(chains.unionByName(links), "hub-links"), "hub-components")
 
     # the rest: only between components, and of a key's largest one on one side
     labelled = held.join(first, held["at"] == first["node"], "left").select(
-        "at", "n", "key", F.coalesce("component", "at").alias("label")
+        "at", "n", "rest", "key", F.coalesce("component", "at").alias("label")
     )
     labelled, labelled_path = read_once(labelled, "labelled")
     drop_staged(spark, held_path)
@@ -225,16 +266,16 @@ def link_sets(standing: DataFrame, texts: DataFrame) -> DataFrame:
     )
     apart_keys = labelled.join(buckets.filter("labels > 1").select("key", "most"), "key")
     probes = apart_keys.filter("label <> most").select(
-        "key", F.col("at").alias("_at"), F.col("n").alias("_n"), F.col("label").alias("_label")
+        "key", *[F.col(c).alias(f"_{c}") for c in ("at", "n", "rest", "label")]
     )
-    apart = (F.col("label") != F.col("_label")) & _similar_sizes(F.col("n"), F.col("_n"))
+    apart = (F.col("label") != F.col("_label")) & _first_shared(F.col("n"), F.col("rest"), F.col("_n"), F.col("_rest"))
     # of two that are both outside the largest one, the first in order probes
     apart &= (F.col("label") == F.col("most")) | (F.col("_at") < F.col("at"))
     rest = verified(apart_keys.join(probes, "key").filter(apart).select(*pair).distinct(), maps, texts)
     chains = first.select(F.col("node").alias("a"), F.col("component").alias("b"))
     made, _ = read_once(connected_components(chains.unionByName(rest), "links"), "linked")
-    drop_staged(spark, labelled_path)
-    drop_staged(spark, first_path)
+    for path in (labelled_path, near_path, first_path):
+        drop_staged(spark, path)
     return made.select(F.col("node").alias("at"), F.col("component").alias("root"))
 
 
@@ -250,7 +291,7 @@ def drop_similar(docs: DataFrame) -> DataFrame:
     texts = numbered.select("at", F.col("given.doc_id").alias("doc_id"), F.col("given.text").cast("string").alias("text"))
     order = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), "at")
     hashed = with_keys(texts, sketch_counts(texts)).withColumn("first", order)
-    alike = hashed.groupBy("same").agg(F.min("first").alias("first"), F.min_by(F.struct("n", "bits", "keys"), "first").alias("set"))
+    alike = hashed.groupBy("same").agg(F.min("first").alias("first"), F.min_by(F.struct("n", "bits", "keys", "fp"), "first").alias("set"))
     standing, standing_path = read_once(alike.select("first", F.col("first.at").alias("at"), "set.*"), "sets")
     roots = link_sets(standing, texts)
     grouped = standing.select("first", "at").join(roots, "at", "left")

@@ -113,3 +113,43 @@ def test_maps_reject_no_similar_pair(spark):
     assert found.filter("folded").count() > 10
     assert found.filter("bits > missing").count() == 0
     assert found.filter("missing > 100 and bits < missing / 3").count() == 0
+
+
+def test_fingerprint_links(spark, monkeypatch):
+    """The stage links fingerprints by the SimHash operator first; of its components only similar texts stay linked."""
+    asked, link = [], similar.simhash.link_fingerprints
+    monkeypatch.setattr(similar.simhash, "link_fingerprints", lambda fps: asked.append(fps.count()) or link(fps))
+    rng = random.Random(9)
+    words = [f"w{n}" for n in range(400)]
+    texts = [" ".join(edited(rng, words, n % 2)) for n in range(20)] + ["", "other words here"]
+    # the same fingerprint by hand, and nothing in common
+    texts += [" ".join(f"{side}{n}" for n in range(200)) for side in "xy"]
+    rows = [(n, n, t) for n, t in enumerate(dict.fromkeys(texts))]
+    docs = spark.createDataFrame(rows, "at bigint, doc_id bigint, text string")
+    standing = similar.with_keys(docs, np.zeros(similar.CELLS, np.int64)).drop("doc_id", "same")
+    last = [n for n, _, t in rows if t[0:1] in ("x", "y")]
+    standing = standing.withColumn("fp", F.when(F.col("at").isin(last), F.lit(77)).otherwise(F.col("fp")))
+    found = similar.fingerprint_links(standing, docs).collect()
+    sets = [shingles(t) for _, _, t in rows]
+    assert found and all(5 * len(sets[r["a"]] & sets[r["b"]]) >= 4 * len(sets[r["a"]] | sets[r["b"]]) for r in found)
+    assert asked == [standing.select("fp").distinct().count()]
+    asked.clear()
+    assert DEDUP(spark, docs, None).count() == len(slow_kept([(n, t) for n, _, t in rows])) and len(asked) == 1
+
+
+def test_first_shared_key(spark):
+    """Every similar pair passes at the first key that it shares; keys that come late in a text pair it with no one."""
+    rng, rows = random.Random(10), []
+    for n in range(400):
+        x = sorted({rng.getrandbits(40) for _ in range(rng.randrange(1, 120))})
+        y = {h for h in x if rng.random() > 0.1} | {rng.getrandbits(40) for _ in range(rng.randrange(1 + len(x) // 6))}
+        y, both = sorted(y), sorted(set(x) & set(y))
+        if both and 5 * len(both) >= 4 * len({*x, *y}):
+            rows.append((len(x), len(x) - x.index(both[0]), len(y), len(y) - y.index(both[0])))
+    assert len(rows) > 100
+    near = spark.createDataFrame(rows, "n bigint, rest bigint, m bigint, left bigint")
+    passes = similar._first_shared(*map(F.col, ("n", "rest", "m", "left")))
+    small = similar._leads(F.least("n", "m"), F.when(F.col("n") <= F.col("m"), F.col("rest")).otherwise(F.col("left")))
+    assert near.filter(passes & (small | (F.col("n") == F.col("m")))).count() == len(rows)
+    late = spark.createDataFrame([(100, 85, 100, 100), (100, 100, 82, 80)], near.schema)
+    assert late.filter(passes).count() == 0
