@@ -26,11 +26,12 @@ _BYTE_LEVEL = (
 _WORD_END = rf"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTERS}]+|[{_NUMBERS}]|[^\s{_LETTERS}{_NUMBERS}]+"
 # --- end of fixed values ---
 
-# stops and commas that stand next to another sign are one piece with it
-_TOUCHING = re.compile(r"[.,][^\sA-Za-z0-9ªµºÀ-ÖØ-öø-ſ²³¹¼-¾]|[^\sA-Za-z0-9ªµºÀ-ÖØ-öø-ſ²³¹¼-¾][.,]")
+# stops and commas that stand next to another sign are one piece with it; looked for from the stop or comma on
+_SIGN = r"[^\sA-Za-z0-9ªµºÀ-ÖØ-öø-ſ²³¹¼-¾]"
+_TOUCHING = re.compile(rf"[.,](?:{_SIGN}|(?<={_SIGN}[.,]))")
 # Outside this alphabet (line feed, printable ASCII, Latin letters but for the dotted capital I), or
 # with the brackets of a special token, a text is encoded whole.
-_UNCERTAIN = re.compile(r"[^\n\x20-\x7e¡-įı-ſ]|<\|")
+_OUTSIDE = re.compile(r"[^\n\x20-\x7e¡-įı-ſ]")
 # Words kept in each of the two generations of a worker's cache: when the new one is full it becomes
 # the old one, and words still in use move over. This bounds the memory.
 CACHED_WORDS = 200_000
@@ -40,6 +41,18 @@ LONGEST_CACHED = 64
 GROUP_CHARS = 2 << 20
 
 
+def _uncertain(text: str) -> bool:
+    return "<|" in text or _OUTSIDE.search(text) is not None
+
+
+def _listed(words: pa.Array) -> list[str]:
+    """Words without NUL as Python strings, through one string of all."""
+    if not len(words) or words.nbytes > 1 << 30:
+        return words.to_pylist()
+    whole = pa.ListArray.from_arrays(pa.array([0, len(words)], pa.int32()), words.cast(pa.string()))
+    return pc.binary_join(whole, "\0")[0].as_py().split("\0")
+
+
 def _byte_letters() -> dict[int, int]:
     """The letter that stands for each byte in a byte-level vocabulary: itself, if it is printable."""
     printable = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
@@ -121,11 +134,11 @@ class Encoder:
 
     def _encode_group(self, texts: list[str]) -> list[np.ndarray]:
         """Looks every different word of the texts up once and deals its ids out to its places."""
-        heads = [self.whole(t) if _UNCERTAIN.search(t) else None for t in texts]
+        heads = [self.whole(t) if _uncertain(t) else None for t in texts]
         rests = [self.part(t) if h is None else None for t, h in zip(texts, heads)]
         split = pc.split_pattern(pa.array(rests, pa.large_string()), "\0")
         words = split.flatten().dictionary_encode()
-        made = [self.words[w] if w else b"" for w in words.dictionary.to_pylist()]
+        made = [self.words[w] if w else b"" for w in _listed(words.dictionary)]
         ids = np.frombuffer(b"".join(made), "<u4")
         lengths = np.array([len(m) // 4 for m in made], np.int64)
         starts = np.cumsum(lengths) - lengths

@@ -9,7 +9,7 @@ import pyarrow.fs
 import pytest
 from tokenizers import Tokenizer
 
-from termspark.llm import packing, token_files
+from termspark.llm import packing, token_files, tokens
 from termspark.llm.tokens import Encoder, tokenizer_path
 from termspark.session import staging_path
 
@@ -144,3 +144,24 @@ def test_random_access_without_copies(tmp_path):
         assert sum(b.num_rows for b in pa.ipc.open_stream(source)) == -(-len(random_ids) // 16)
     with pytest.raises((EOFError, OSError, pa.ArrowException)):
         list(reader.ids(len(random_ids), 5000))
+
+
+def test_signs_beside_stops():
+    """A stop or comma with a sign before or after it is found from the stop on, as by looking at every two characters."""
+    import re
+    from itertools import product
+
+    sign = r"[^\sA-Za-z0-9ªµºÀ-ÖØ-öø-ſ²³¹¼-¾]"
+    slow = re.compile(f"[.,]{sign}|{sign}[.,]")
+    for letters in product("a.,!é 1\n", repeat=4):
+        text = "".join(letters)
+        assert bool(tokens._TOUCHING.search(text)) == bool(slow.search(text)), text
+
+
+def test_listed_words():
+    """Words come out as they stand in the Arrow array, empty ones and none at all too."""
+    import pyarrow as pa
+
+    for words in ([], [""], ["a"], ["", "é́", " b", "", "x" * 10**6, "\n"]):
+        assert tokens._listed(pa.array(words, pa.large_string())) == words
+    assert [tokens._uncertain(t) for t in ("plain é\n", "a<|b", "tab\t", "中")] == [False, True, True, True]
