@@ -580,3 +580,17 @@ def test_sums_go_on_over_batches():
             for p in parts
         ]
         assert [r["t"] for made in running.sums_before(iter(batches)) for r in made.to_pylist()] == [0, 1, 3, 0, 4, 0, 6]
+
+
+def test_shuffle_partitions_stay_small(spark):
+    """Partitions are put together up to a size, not up to one per core, so that a task's memory does not grow with the table."""
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "200")
+    try:
+        rows = spark.range(2_000_000).select(F.sha2(F.col("id").cast("string"), 256).alias("x")).repartition("x")
+        sizes = rows.groupBy(F.spark_partition_id().alias("at")).agg(F.count("*").alias("n")).collect()
+        # 32 bytes of a hash at least can't be packed
+        assert sum(r["n"] for r in sizes) == 2_000_000
+        assert max(r["n"] for r in sizes) * 32 < 4 << 20
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
