@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from array import array
 from functools import cache
 
 import numpy as np
@@ -29,12 +30,13 @@ from termspark.llm.tokens import Encoder, _byte_letters
 
 # pairs of ids whose counts are sent to the tasks at once: 17 bytes each
 BLOCK_PAIRS = 4_000_000
-# Words kept in each of the two generations of a worker's cache; this bounds the memory, as does the
-# length of a word worth keeping.
-CACHED_WORDS = 200_000
+# Words kept in each of the two generations of each of a worker's caches; this bounds the memory, as does the
+# length of a word worth keeping. Words that come once fill most of a larger cache.
+CACHED_WORDS = 30_000
 LONGEST_CACHED = 64
-# characters of text aligned at once
+# characters of text tokenized, and aligned, at once
 GROUP_CHARS = 1 << 20
+ALIGNED_CHARS = 1 << 18
 
 # a space that is not the first of its run, or of the text
 _LATER_SPACE = re.compile(r"(?<=[^ ]) ")
@@ -140,18 +142,22 @@ class PieceEncoder:
         ]
         self.parted = not any("▁" in name.lstrip("▁") for name in names)
         # a text that ends in a single space ends in the piece of that space
-        self.young: dict[str, np.ndarray] = {"": np.array([self.model.piece_to_id("▁")], "<i4")}
-        self.old: dict[str, np.ndarray] = {}
+        self.young: dict[str, bytes] = {"": array("i", [self.model.piece_to_id("▁")]).tobytes()}
+        self.old: dict[str, bytes] = {}
 
-    def _ids(self, words: list[str]) -> list[np.ndarray]:
-        """The ids of distinct words."""
-        known = [self.young.get(w) if w in self.young else self.old.get(w) for w in words]
+    def _ids(self, words: list[str]) -> list[bytes]:
+        """The 32-bit ids of distinct words."""
+        known = [self.young.get(w) or self.old.get(w) for w in words]
         new = [n for n, ids in enumerate(known) if ids is None]
-        for n, ids in zip(new, self.model.encode([words[n] for n in new], num_threads=1)):
-            known[n] = np.array(ids, "<i4")
-        if len(self.young) > CACHED_WORDS:
-            self.old, self.young = self.young, {"": self.young[""]}
-        self.young.update((w, ids) for w, ids in zip(words, known) if len(w) <= LONGEST_CACHED)
+        for first in range(0, len(new), CACHED_WORDS):
+            part = new[first : first + CACHED_WORDS]
+            for n, ids in zip(part, self.model.encode([words[n] for n in part], num_threads=1)):
+                known[n] = array("i", ids).tobytes()
+        for word, ids in zip(words, known):
+            if len(word) <= LONGEST_CACHED:
+                if len(self.young) >= CACHED_WORDS:
+                    self.old, self.young = self.young, {"": self.young[""]}
+                self.young[word] = ids
         return known
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
@@ -167,8 +173,8 @@ class PieceEncoder:
         split = pc.split_pattern(pa.array(marked, pa.large_string()), "\0")
         words = split.flatten().dictionary_encode()
         made = self._ids(words.dictionary.to_pylist())
-        flat = np.concatenate([*made, np.zeros(0, "<i4")])
-        lengths = np.array([len(m) for m in made], np.int64)
+        flat = np.frombuffer(b"".join(made), "<i4")
+        lengths = np.fromiter(map(len, made), np.int64, len(made)) // 4
         codes = words.indices.to_numpy()
         dealt = flat[_dealt(_edges(lengths), codes)]
         cuts = _edges(lengths[codes])
@@ -192,7 +198,7 @@ class Aligner:
     """Tokenizes texts by a byte-level file (A) and a piece file (B), and aligns the tokens."""
 
     def __init__(self, byte_level: str, pieces: str):
-        self.a, self.b = Encoder(byte_level), PieceEncoder(pieces)
+        self.a, self.b = Encoder(byte_level, CACHED_WORDS), PieceEncoder(pieces)
         # strings of special tokens inside texts are plain text
         self.a.tokenizer.encode_special_tokens = True
         letters = {chr(c): bytes([b]) for b, c in _byte_letters().items()}
@@ -251,8 +257,19 @@ class Aligner:
         shown = [n for n, t in enumerate(texts) if t]
         out = [(0, 0, np.zeros(0, np.int64), "")] * len(texts)
         found = [(n, f) for n, f in zip(shown, self.ids([texts[n] for n in shown]) if shown else []) if f is not None]
-        if not found:
-            return out
+        part, size = [], 0
+        for n, ids in found:
+            part.append((n, ids))
+            size += len(texts[n])
+            if size > ALIGNED_CHARS:
+                self._aligned(part, out)
+                part, size = [], 0
+        if part:
+            self._aligned(part, out)
+        return out
+
+    def _aligned(self, found: list[tuple[int, tuple[np.ndarray, np.ndarray]]], out: list) -> None:
+        """The digests of texts by both tokenizers' ids, put at their places of ``out``."""
         a_ids, b_ids = (np.concatenate([f[side] for _, f in found]).astype(np.int64) for side in (0, 1))
         a_edges, b_edges = (_edges(np.array([len(f[side]) for _, f in found])) for side in (0, 1))
         links = align(self.lengths(0, a_ids), self.lengths(1, b_ids))
@@ -272,7 +289,6 @@ class Aligner:
         for i, (n, (a, b)) in enumerate(found):
             digest = hashlib.sha256(b"".join(shown_names[ends[i] : ends[i + 1]])[:-1]).hexdigest()
             out[n] = (len(a), len(b), codes[cuts[i] : cuts[i + 1]], digest)
-        return out
 
 
 @cache

@@ -63,14 +63,14 @@ def _byte_letters() -> dict[int, int]:
 class _Words(dict):
     """Little-endian unsigned 32-bit ids of each word, made on first use."""
 
-    def __init__(self, encode):
+    def __init__(self, encode, most: int):
         super().__init__()
-        self.encode, self.old = encode, {}
+        self.encode, self.most, self.old = encode, most, {}
 
     def __missing__(self, word: str) -> bytes:
         made = self.old.get(word) or self.encode(word)
         if len(word) <= LONGEST_CACHED:
-            if len(self) >= CACHED_WORDS:
+            if len(self) >= self.most:
                 self.old = dict(self)
                 self.clear()
             self[word] = made
@@ -78,9 +78,10 @@ class _Words(dict):
 
 
 class Encoder:
-    """``encode(texts)``: the ids of whole texts, by one tokenizer file."""
+    """``encode(texts)``: the ids of whole texts, by one tokenizer file, with caches of up to twice ``cached`` words."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, cached: int | None = None):
+        cached = cached or CACHED_WORDS
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -88,8 +89,8 @@ class Encoder:
         self.lower = self.tokenizer.normalizer is not None
         self.cut = re.compile(_WORD_END if self.lower else _BYTE_LEVEL).findall
         self.letters = _byte_letters()
-        self.pieces = _Words(self.piece)
-        self.words = _Words(self.word)
+        self.pieces = _Words(self.piece, cached)
+        self.words = _Words(self.word, cached)
 
     def whole(self, text: str) -> bytes:
         """All steps by the library."""

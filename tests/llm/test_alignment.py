@@ -149,3 +149,23 @@ def sparse(dense):
     rows, columns = np.nonzero(dense)
     starts = np.searchsorted(rows, np.arange(len(dense) + 1))
     return alignment.Csr(starts, columns, dense[rows, columns], dense.shape[1])
+
+
+def test_words_that_come_once_do_not_fill_a_worker(monkeypatch):
+    monkeypatch.setattr(alignment, "CACHED_WORDS", 10)
+    tool, plain = alignment.Aligner(A, B), sentencepiece.SentencePieceProcessor(model_file=B)
+    texts = [" ".join(f"w{n}x{m}" for m in range(50)) + " the end" for n in range(5)]
+    for text, (first, second) in zip(texts, tool.ids(texts), strict=True):
+        assert second.tolist() == plain.encode(text)
+        assert first.tolist() == tool.a.tokenizer.encode(" " + text, add_special_tokens=False).ids
+    kept = (tool.b.young, tool.b.old, tool.a.words, tool.a.words.old, tool.a.pieces, tool.a.pieces.old)
+    assert max(map(len, kept)) <= 10
+
+
+def test_digests_of_texts_aligned_in_parts(monkeypatch):
+    tool = alignment.aligner(A, B)
+    texts = [*STRANGE, "", "plain words " * 9] * 2
+    whole = tool.digests(texts)
+    monkeypatch.setattr(alignment, "ALIGNED_CHARS", 20)
+    for one, other in zip(whole, tool.digests(texts), strict=True):
+        assert one[:2] == other[:2] and one[3] == other[3] and one[2].tolist() == other[2].tolist()
