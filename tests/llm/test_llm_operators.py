@@ -5,6 +5,9 @@ import random
 import re
 from collections import Counter
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -472,6 +475,25 @@ def test_pruning_changes_nothing(monkeypatch):
             assert top == [(s, d) for s, d in sorted(((s, d) for d, s in scores.items()), key=lambda x: (-x[0], x[1]))[:7]]
 
 
+def test_a_group_of_queries_is_held_as_numbers(tmp_path, monkeypatch):
+    monkeypatch.setattr(search, "QUERY_BLOCK", 3)
+    monkeypatch.setattr(search, "MERGED_TERMS", 5)
+    pick = random.Random(3)
+    terms = [pick.sample(range(-40, 40), pick.randint(0, 12)) for _ in range(20)]
+    for n in range(2):
+        lists = terms[n * 10 : n * 10 + 10]
+        kept = {"query_id": range(n * 10, n * 10 + 10), "terms": lists, "dfs": [[t + 100 for t in x] for x in lists]}
+        pq.write_table(pa.table({c: pa.array(list(v)) for c, v in kept.items()}), f"{tmp_path}/part-{n}.parquet")
+    asked = search.Asked(str(tmp_path))
+    assert asked.names.tolist() == sorted({t for x in terms for t in x})
+    assert (asked.df == asked.names + 100).all() and asked.ids.tolist() == list(range(20))
+    assert asked.names[asked.numbers].tolist() == [t for x in terms for t in x]
+    assert asked.lengths.tolist() == [len(x) for x in terms]
+    names = np.arange(50)
+    shard = search.Shard(np.arange(300), np.arange(50), names, np.arange(50) + 1.0, names)
+    assert {a.itemsize for a in (asked.numbers, shard.weights, shard.listed_max, shard.places, shard.local)} == {4}
+
+
 def test_empty_search(spark, no_docs, tables):
     asked = tables("documents").select(F.col("doc_id").alias("query_id"), "text")
     assert search.top_documents(no_docs, asked).count() == 0
