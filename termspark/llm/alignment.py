@@ -36,7 +36,7 @@ CACHED_WORDS = 30_000
 LONGEST_CACHED = 64
 # characters of text tokenized, and aligned, at once
 GROUP_CHARS = 1 << 20
-ALIGNED_CHARS = 1 << 18
+ALIGNED_CHARS = 1 << 16
 
 # a space that is not the first of its run, or of the text
 _LATER_SPACE = re.compile(r"(?<=[^ ]) ")
@@ -147,17 +147,20 @@ class PieceEncoder:
 
     def _ids(self, words: list[str]) -> list[bytes]:
         """The 32-bit ids of distinct words."""
-        known = [self.young.get(w) or self.old.get(w) for w in words]
-        new = [n for n, ids in enumerate(known) if ids is None]
+        known = list(map(self.young.get, words))
+        missing = [n for n, ids in enumerate(known) if ids is None]
+        for n in missing:
+            known[n] = self.old.get(words[n])
+        new = [n for n in missing if known[n] is None]
         for first in range(0, len(new), CACHED_WORDS):
             part = new[first : first + CACHED_WORDS]
             for n, ids in zip(part, self.model.encode([words[n] for n in part], num_threads=1)):
                 known[n] = array("i", ids).tobytes()
-        for word, ids in zip(words, known):
-            if len(word) <= LONGEST_CACHED:
+        for n in missing:
+            if len(words[n]) <= LONGEST_CACHED:
                 if len(self.young) >= CACHED_WORDS:
                     self.old, self.young = self.young, {"": self.young[""]}
-                self.young[word] = ids
+                self.young[words[n]] = known[n]
         return known
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:

@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import re
 import struct
+from array import array
 from functools import cache
 
 import numpy as np
@@ -89,6 +90,7 @@ class Encoder:
         self.lower = self.tokenizer.normalizer is not None
         self.cut = re.compile(_WORD_END if self.lower else _BYTE_LEVEL).findall
         self.letters = _byte_letters()
+        self.space = chr(self.letters[ord(" ")])
         self.pieces = _Words(self.piece, cached)
         self.words = _Words(self.word, cached)
 
@@ -99,8 +101,12 @@ class Encoder:
 
     def piece(self, piece: str) -> bytes:
         """One piece by the library's model."""
-        tokens = self.model.tokenize(piece.encode().decode("latin-1").translate(self.letters))
-        return struct.pack(f"<{len(tokens)}I", *[t.id for t in tokens])
+        if piece.isascii() and piece.isprintable():
+            # the letter of a byte is then the byte itself, but for the space
+            letters = piece.replace(" ", self.space)
+        else:
+            letters = piece.encode().decode("latin-1").translate(self.letters)
+        return array("I", [t.id for t in self.model.tokenize(letters)]).tobytes()
 
     def cut_up(self, text: str) -> bytes:
         return b"".join(map(self.pieces.__getitem__, self.cut(text)))
