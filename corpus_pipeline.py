@@ -14,6 +14,10 @@ from termspark.llm.common import read_once
 from termspark.llm.tokens import tokenizer_path
 from termspark.session import drop_staged, tune
 
+# Words in each generation of the packer's caches: its workers share an executor with a heap that the stages
+# before have filled.
+PACKING_WORDS = 50_000
+
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is known; those without letters or between languages go."""
@@ -33,7 +37,7 @@ def remove_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of sequences of up to 1024 ids."""
-    return packing.pack_documents(docs, tokenizer_path("byte_bpe_50k.json"))
+    return packing.pack_documents(docs, tokenizer_path("byte_bpe_50k.json"), cached=PACKING_WORDS)
 
 
 STAGES = [

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from termspark.llm.common import map_rows, struct
+from termspark.llm.common import map_rows, release, struct
 
 DIMENSIONS = 4096
 SAMPLE_PER_LANGUAGE = 400
@@ -172,7 +172,11 @@ def train(docs: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE) -> Model | N
     rows = map_rows(sample, columns, struct("lang string, h bigint, vector binary"), start).collect()
     rows.sort(key=lambda r: (r["h"], r["lang"]))
     vectors = np.array([np.frombuffer(r["vector"], np.float32) for r in rows])
-    return fit([r["lang"] for r in rows], vectors)
+    model = fit([r["lang"] for r in rows], vectors)
+    # the driver goes on without the sample
+    del rows, vectors
+    release()
+    return model
 
 
 def predict(docs: DataFrame, model: Model | None, keep: list[str]) -> DataFrame:

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from termspark.llm.common import struct, with_batch_bounds
+from termspark.llm.common import release, struct, with_batch_bounds
 from termspark.llm.tokens import encoder
 
 CONTEXT_SIZES = (1024, 512, 256, 128)
@@ -166,9 +166,12 @@ def pack_documents(
     sizes: tuple[int, ...] = CONTEXT_SIZES,
     end_id: int = END_ID,
     with_ids: bool = False,
+    cached: int | None = None,
 ) -> DataFrame:
     """One row per piece of ``docs(doc_id, text)``; ``tokenizer`` is the path of a tokenizers file.
 
+    A worker's encoder keeps up to about four times ``cached`` words (as a rule ``tokens.CACHED_WORDS``).
+
     Columns: doc_id, start (ids of the document before the piece), length, ids_crc32 (of the ids as
     little-endian unsigned 32-bit integers), doc_tokens (with the end id), sequence_id, offset (place
     in the sequence), tier (the sequence's context size), step_group, and ids with ``with_ids``.
@@ -182,7 +185,7 @@ def pack_documents(
     fields = to_arrow_schema(out)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, task = encoder(tokenizer).encode, TaskContext.get().partitionId() << TASK_BIT
+        encode, task = encoder(tokenizer, cached).encode, TaskContext.get().partitionId() << TASK_BIT
         packer, done, steps = Packer(sizes), 0, 0
 
         def rows() -> pa.RecordBatch:
@@ -214,6 +217,7 @@ def pack_documents(
                     packer.pack()
                     yield rows()
                     waiting = 0
+            release()
         packer.finish()
         yield rows()
 

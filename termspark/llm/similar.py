@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from termspark.llm import simhash
-from termspark.llm.common import connected_components, map_rows, read_once, struct, texts_of, with_batch_bounds
+from termspark.llm.common import connected_components, map_rows, read_once, release, struct, texts_of, with_batch_bounds
 from termspark.session import drop_staged
 
 SHINGLE_WORDS = 5
@@ -74,6 +74,8 @@ def sketch_counts(texts: DataFrame, cells: int = CELLS) -> np.ndarray:
             hashes = [shingle_hashes(t) for t in texts_of(batch["text"])]
             places = np.concatenate([*hashes, np.zeros(0, "<i8")]) & (cells - 1)
             sums += np.bincount(places, minlength=cells)
+            del hashes, places
+            release()
         yield from chunks({n: sums[n * CHUNK : (n + 1) * CHUNK] for n in range(-(-cells // CHUNK))})
 
     def chunks(sums: dict[int, np.ndarray]) -> Iterator[pa.RecordBatch]:

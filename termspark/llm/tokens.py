@@ -164,9 +164,9 @@ class Encoder:
 
 
 @cache
-def encoder(path: str) -> Encoder:
+def encoder(path: str, cached: int | None = None) -> Encoder:
     """One encoder for each worker process, as its cache is worth keeping between tasks."""
-    return Encoder(path)
+    return Encoder(path, cached)
 
 
 def tokenizer_path(name: str) -> str:
