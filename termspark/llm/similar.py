@@ -39,6 +39,8 @@ HUBS = 3
 CELLS, CHUNK = 1 << 20, 1 << 12
 # 64-bit words of the smallest map, and bits for each hash at least; sizes are powers of two
 MAP_WORDS, MAP_BITS = 8, 2
+# words of 64 rows each that are sent to every task, some 50 bytes each there, so that the rows need not move
+SENT_WORDS = 1 << 20
 
 
 def shingle_hashes(text: bytes, k: int = SHINGLE_WORDS) -> np.ndarray:
@@ -281,6 +283,21 @@ def link_sets(standing: DataFrame, texts: DataFrame) -> DataFrame:
     return made.select(F.col("node").alias("at"), F.col("component").alias("root"))
 
 
+def rows_at(numbered: DataFrame, kept: DataFrame) -> DataFrame:
+    """The rows of ``numbered(at, ...)`` whose ``at`` is in ``kept(at)``, by a bit for each row.
+
+    The rows, which hold whole texts, stay where they are, unless there are too many bits to send.
+    """
+    bits = kept.groupBy(F.shiftright("at", 6).alias("_word")).agg(
+        F.expr("bit_or(shiftleft(1L, cast(at & 63 as int)))").alias("_bits")
+    )
+    bits, _ = read_once(bits, "kept")
+    if bits.count() <= SENT_WORDS:
+        bits = F.broadcast(bits)
+    joined = numbered.join(bits, F.shiftright("at", 6) == F.col("_word"))
+    return joined.filter("shiftright(_bits, cast(at & 63 as int)) & 1 = 1").select(numbered.columns)
+
+
 def drop_similar(docs: DataFrame) -> DataFrame:
     """One row of every group of similar texts: that of the smallest doc_id, in the columns of ``docs``.
 
@@ -298,6 +315,6 @@ def drop_similar(docs: DataFrame) -> DataFrame:
     roots = link_sets(standing, texts)
     grouped = standing.select("first", "at").join(roots, "at", "left")
     kept = grouped.groupBy(F.coalesce("root", "at").alias("root")).agg(F.min("first").alias("first"))
-    kept, _ = read_once(kept.select(F.col("first.at").alias("at")), "kept")
+    made = rows_at(numbered, kept.select(F.col("first.at").alias("at"))).select("given.*")
     drop_staged(spark, standing_path)
-    return numbered.join(kept, "at", "left_semi").select("given.*")
+    return made

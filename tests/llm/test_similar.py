@@ -153,3 +153,29 @@ def test_first_shared_key(spark):
     assert near.filter(passes & (small | (F.col("n") == F.col("m")))).count() == len(rows)
     late = spark.createDataFrame([(100, 85, 100, 100), (100, 100, 82, 80)], near.schema)
     assert late.filter(passes).count() == 0
+
+
+@pytest.mark.parametrize("sent", [0, similar.SENT_WORDS])
+def test_rows_at_every_place(spark, monkeypatch, sent):
+    monkeypatch.setattr(similar, "SENT_WORDS", sent)
+    rows = [(n + (part << 33), {"doc_id": n}) for part in (0, 1, 70) for n in range(200)]
+    wanted = [at for at, _ in rows if at % 3 == 0 or at & 63 == 63]
+    numbered = spark.createDataFrame(rows, "at bigint, given struct<doc_id: bigint>")
+    kept = spark.createDataFrame([(at,) for at in wanted], "at bigint")
+    found = similar.rows_at(numbered, kept)
+    assert found.columns == numbered.columns
+    assert sorted(r["at"] for r in found.collect()) == wanted
+    assert similar.rows_at(numbered, kept.limit(0)).collect() == []
+
+
+def test_kept_texts_do_not_move(spark):
+    """The last join is the only one in the plan; it has the whole texts on one side."""
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        docs = spark.createDataFrame([(1, "a b c d e f"), (2, "a b c d e f"), (3, "x")], "doc_id bigint, text string")
+        found = similar.drop_similar(docs)
+        assert sorted(r["doc_id"] for r in found.collect()) == [1, 3]
+        assert "hashpartitioning" not in found._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
