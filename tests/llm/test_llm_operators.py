@@ -494,6 +494,39 @@ def test_a_group_of_queries_is_held_as_numbers(tmp_path, monkeypatch):
     assert {a.itemsize for a in (asked.numbers, shard.weights, shard.listed_max, shard.places, shard.local)} == {4}
 
 
+def test_more_groups_of_queries_move_no_more_documents(spark, monkeypatch):
+    pick = random.Random(5)
+    docs = [(n, " ".join(pick.choices([f"w{n}" for n in range(60)], k=30))) for n in range(300)]
+    asked, table = docs[::10], spark.createDataFrame(docs, "doc_id bigint, text string").repartition(5)
+    monkeypatch.setattr(search, "SHARD_DOCS", 40)
+    monkeypatch.setattr(search, "GROUP_TERMS", 90)
+    found = search.top_documents(table, spark.createDataFrame(asked, "query_id bigint, text string"), 4)
+    assert rows_of(found) == sorted(map(repr, slow_top(docs, asked, 4)))
+    # of the groups, only the tasks' results are shuffled
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert set(re.findall(r"Exchange (\w+\(\w+)", plan)) == {"hashpartitioning(query_id"} and "Generate" not in plan
+
+
+@pytest.mark.parametrize("shares", [1, 3, 40])
+def test_shares_of_a_group_have_each_document_once(tmp_path, shares):
+    pick, ids = random.Random(6), list(range(200))
+    terms = [pick.sample(range(90), pick.randint(1, 9)) for _ in ids]
+    for n, (first, end, size) in enumerate([(0, 120, 25), (120, 121, 25), (121, 200, 10), (200, 200, 10)]):
+        lists = terms[first:end]
+        kept = {"doc_id": ids[first:end], "length": [len(t) for t in lists], "terms": lists, "checks": lists, "tfs": lists}
+        kinds = {"doc_id": pa.int64(), "length": pa.int64(), "terms": pa.list_(pa.int64())}
+        made = pa.table({c: pa.array(v, kinds.get(c, pa.list_(pa.int32()))) for c, v in kept.items()})
+        pq.write_table(made, f"{tmp_path}/part-{n}.parquet", row_group_size=size)
+    seen, counts = [], []
+    for share in range(shares):
+        shards = [pa.Table.from_batches(parts) for parts in search._shards(str(tmp_path), share, shares, 16)]
+        counts.append(sum(map(len, shards)))
+        assert search._share(str(tmp_path), share, shares)[0] == counts[-1]
+        assert all(len(s) <= 25 for s in shards) and len({len(s) for s in shards[:-1]}) < 2
+        seen += [row for s in shards for row in zip(s["doc_id"].to_pylist(), s["terms"].to_pylist())]
+    assert sorted(seen) == list(zip(ids, terms)) and max(counts) - min(counts) <= 25
+
+
 def test_empty_search(spark, no_docs, tables):
     asked = tables("documents").select(F.col("doc_id").alias("query_id"), "text")
     assert search.top_documents(no_docs, asked).count() == 0
